@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeloom.llm import decontam, packing, rules, simhash
+from edgeloom.llm import decontam, packing, rules, secrets, simhash
 from edgeloom.llm.common import table, written
 from edgeloom.llm.queries import byte_vocabulary
 
@@ -21,6 +21,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, byte_vocabulary(), end_id=1, window=2048)
 
@@ -29,6 +33,7 @@ STAGES = [
     ("quality rules", quality),
     ("SimHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontaminate),
+    ("secret scans", redact_secrets),
     ("packing", pack),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm.common import table
+from edgeloom.llm.common import crc_fold, table
 
 
 def byte_vocabulary() -> str:
@@ -16,6 +16,28 @@ def byte_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edgeloom.llm import toxicity
+
+    fold = crc_fold(F.col("doc_id"), 5)
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold != 0)
+    return found.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edgeloom.llm import quality
+
+    fold = crc_fold(F.col("doc_id"), 5)
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold != 0)
+    return found.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import decontam
 
@@ -39,12 +61,28 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edgeloom.llm import language
+
+    fold = crc_fold(F.col("doc_id"), 4)
+    found = language.identify(table(spark, sf_dir, "documents"), piece_vocabulary(), fold != 2)
+    return found.select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import tokenfile
 
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), byte_vocabulary(), end_id=0)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per candidate, with the value as a digest."""
+    from edgeloom.llm import secrets
+
+    found = secrets.findings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("at").cast("long").alias("word_index"), F.sha2("value", 256).alias("value_sha256"), F.length("value").cast("long").alias("value_length"), "score", "is_secret")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import simhash
 
@@ -53,10 +91,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
+    "op6_language": op6_language,
     "op7_token_file": op7_token_file,
+    "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
 }
 
