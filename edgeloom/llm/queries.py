@@ -75,6 +75,13 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), byte_vocabulary(), end_id=0)
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edgeloom.llm import suffix
+
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"), least=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per candidate, with the value as a digest."""
     from edgeloom.llm import secrets
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_language": op6_language,
     "op7_token_file": op7_token_file,
+    "op8_repeats": op8_repeats,
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
 }
