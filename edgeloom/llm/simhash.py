@@ -86,9 +86,9 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def tile_links(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of tile ``a`` and of tile ``b`` within the radius, as a spanning forest of their links."""
-    found = []
+    found, bits_a, bits_b = [], a.view(np.uint64), b.view(np.uint64)  # of a signed number, the absolute value's bits would count
     for at in range(0, len(a), 512):
-        x, y = np.nonzero(np.bitwise_count(a[at : at + 512, None] ^ b[None, :]) <= radius)
+        x, y = np.nonzero(np.bitwise_count(bits_a[at : at + 512, None] ^ bits_b[None, :]) <= radius)
         u, v = a[at + x], b[y]
         keep = u != v
         found.append((u[keep], v[keep]))
