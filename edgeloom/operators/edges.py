@@ -34,7 +34,8 @@ def within(edges: DataFrame, ids: DataFrame, *ends: str) -> DataFrame:
     """Edges whose ``ends`` (source and target by default) are all in the one-column table ``ids``."""
     key = ids.columns[0]
     for end in ends or ("source", "target"):
-        edges = edges.join(ids.select(F.col(key).alias(end)).distinct(), end, "left_semi")
+        inside = ids.select(F.col(key).alias("_inside")).distinct()
+        edges = edges.join(inside, F.col(end) == F.col("_inside"), "left_semi")
     return edges
 
 

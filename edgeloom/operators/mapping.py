@@ -15,8 +15,8 @@ def first_xref(xrefs: DataFrame, key: str = "accession", value: str = "vfb_id")
 
 def xrefs_of_site(rels: DataFrame, site: str) -> DataFrame:
     """accession and vfb_id of everything that a site refers to."""
-    found = graph.of_type(rels, *graph.XREF_TYPES).filter(F.col("dst") == site)
-    return found.select(graph.first_item(F.col("accession")).alias("accession"), F.col("src").alias("vfb_id")).filter("accession IS NOT NULL")
+    found = graph.undirected(graph.of_type(rels, *graph.XREF_TYPES), "accession").filter(F.col("there") == site)
+    return found.select(graph.first_item(F.col("accession")).alias("accession"), F.col("here").alias("vfb_id")).filter("accession IS NOT NULL")
 
 
 def mapped(edges: DataFrame, xrefs: DataFrame, *columns: str) -> DataFrame:
