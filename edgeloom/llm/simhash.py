@@ -164,7 +164,7 @@ def components(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = S
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id.
 
     Of repeated rows of that id one stays.  A component of null ids only keeps one row too.
