@@ -216,7 +216,7 @@ def predict(docs: DataFrame, model_path: str, languages: list[str], table: np.nd
 
             def flush():
                 for words, total in zip(held, scorer.texts(held) if scorer else held, strict=True):
-                    if not words or scorer is None:
+                    if scorer is None or not any(c.isalpha() for w in words for c in w):  # number signs such as ½ count as words
                         names.append("und")
                         scores.append(0.0)
                         continue
