@@ -44,3 +44,8 @@ def lacking(df: DataFrame, *columns: str) -> DataFrame:
     for c in columns:
         condition = condition | F.col(c).isNull()
     return df.filter(condition)
+
+
+def watched(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with its row count observed under ``name`` while it is used; no job of its own."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"))
