@@ -299,6 +299,44 @@ def nodes_limited(spark, d):
     return graph.nodes_where(nodes, "Individual", F.col("label").isNotNull(), order=("short_form",), limit=100).select("short_form", "label")
 
 
+def edge_pairs(spark, d):
+    """Edges between suppliers as a tracing service gives them, both ends in one registry."""
+    return edges.from_pairs(supply_edges(spark, d), supplier_ids(spark, d), 5)
+
+
+def edge_downstream(spark, d):
+    c = F.col
+    held = table(spark, d, "lineitem").select(c("l_suppkey").alias("pre"), c("l_partkey").alias("post"), c("l_quantity").cast("bigint").alias("weight"), (c("l_returnflag") != "R").alias("clean"))
+    return edges.from_downstream(held, table(spark, d, "supplier").select("s_suppkey"), 20, flags=("clean",))
+
+
+def edge_regions(spark, d):
+    c = F.col
+    held = table(spark, d, "lineitem").select(c("l_suppkey").alias("bodyId_pre"), c("l_partkey").alias("bodyId_post"), c("l_shipdate").cast("string").alias("roi"), c("l_quantity").cast("bigint").alias("weight"))
+    return edges.from_regions(held, table(spark, d, "supplier").select("s_suppkey"), 30)
+
+
+def registered_images(spark, d):
+    """Images of a data set's customers: one per order, registered to the template of its priority."""
+    nodes, rels = customer_graph(spark, d)
+    orders, c = table(spark, d, "orders"), F.col
+    image, empty = F.concat(F.lit("O_"), c("o_orderkey")), F.lit(None).cast("array<string>")
+    nodes = nodes.union(orders.select(image, F.lit(None).cast("string"), F.array(F.lit("Individual")))).union(orders.select("o_orderpriority").distinct().select("o_orderpriority", "o_orderpriority", F.array(F.lit("Template"))))
+    all_rels = rels.select("src", "dst", "type", empty.alias("filename"), empty.alias("folder")).union(
+        orders.select(image, F.concat(F.lit("C_"), c("o_custkey")), F.lit("depicts"), empty, empty)
+    ).union(orders.select(image, "o_orderpriority", F.lit("in_register_with"), F.array(F.concat(image, F.lit(".swc"))), F.array(F.concat(F.lit("/images/"), c("o_orderpriority")))))
+    return graph.registered_images(nodes, all_rels, "ASIA", template="1-URGENT")
+
+
+def rows_with_gaps(spark, d):
+    documents, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    return quality.lacking(documents.select("doc_id").join(labels, "doc_id", "left"), "quality", "toxic").select("doc_id")
+
+
+def preview_rows(spark, d):
+    return slices.preview(supply_edges(spark, d), 5, "source", "target", "weight")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -306,6 +344,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         template_induced, template_assertions, unmapped_ids, missing_report, missing_rows, curation_neuprint, curation_regex, curation_banc, curation_flywire, curation_minimal, drop_ambiguous,
         ambiguous_report, value_counts, batch_number, chunk_per_sample, try_int_cast, registry_malformed, in_out_strength, path_query_bag, url_rewrite, voxel_occupancy, first_xref, json_envelope,
         envelope_rows, artifact_plan, matrix_unpivot, bool_checks, limit_offset, supervoxel_roots, volume_edges, nodes_limited,
+        edge_pairs, edge_downstream, edge_regions, registered_images, rows_with_gaps, preview_rows,
     )
 }
 
@@ -362,4 +401,10 @@ ORACLES: dict[str, str] = {
     "supervoxel_roots": "SELECT c_custkey AS supervoxel_id, CAST(root AS VARCHAR) AS mapped_root FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS root FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey",
     "volume_edges": "SELECT l_suppkey AS source, l_partkey AS target, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS weight FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL HAVING sum(CAST(l_quantity AS BIGINT)) != 0",
     "nodes_limited": "SELECT 'C_' || c_custkey AS short_form, c_name AS label FROM customer WHERE c_name IS NOT NULL ORDER BY short_form LIMIT 100",
+    "edge_pairs": f"SELECT * FROM ({_EDGES}) WHERE weight > 5 AND source IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AND target IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)",
+    "edge_downstream": "SELECT l_suppkey AS source, l_partkey AS target, CAST(l_quantity AS BIGINT) AS weight FROM lineitem WHERE l_returnflag != 'R' AND l_quantity > 20 AND l_suppkey IN (SELECT s_suppkey FROM supplier) AND l_partkey IN (SELECT s_suppkey FROM supplier)",
+    "edge_regions": f"SELECT source, target, CAST(sum(weight) AS BIGINT) AS weight FROM ({_EDGES}) WHERE source IN (SELECT s_suppkey FROM supplier) AND target IN (SELECT s_suppkey FROM supplier) GROUP BY ALL HAVING sum(weight) > 30",
+    "registered_images": "SELECT 'O_' || o_orderkey || '.swc' AS body_id, '/images/' || o_orderpriority AS folder FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND o_orderpriority = '1-URGENT'",
+    "rows_with_gaps": "SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL OR toxic IS NULL",
+    "preview_rows": f"SELECT * FROM ({_EDGES}) ORDER BY source, target, weight LIMIT 5",
 }
