@@ -47,8 +47,9 @@ _FIXED = {
     "insults_de": "idiot dumm trottel abschaum versager ekelhaft arschloch dreckig nutzlos",
     "insults_romance": "imbécile crétin connard stupide nul ordure dégoûtant estúpido tonto basura inútil asqueroso escoria",
 }
+#: Voters of mined words, and as many of mined beginnings: two for units that are less sure, two for the surest.
 MINED = 4
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7)
 VOTERS = (*_FIXED, *(f"mined_words_{i}" for i in range(MINED)), *(f"mined_stems_{i}" for i in range(MINED)), "addressed", "dense", "shouting")
 _BIT = {name: 1 << i for i, name in enumerate(VOTERS)}
 
@@ -71,9 +72,10 @@ def distinct_texts(texts: list[str | None]) -> list[int]:
 def mine(sample: list[tuple[str | None, int]], chance: float = 0.01) -> dict[str, int]:
     """Words and beginnings (ending in ``*``) that stand out in toxic documents, with the voter bit of each.
 
-    Near copies count once.  A unit stands out if it is in 20 times the share of toxic documents that it has of clean
+    Near copies count once.  A unit stands out if it is in 8 times the share of toxic documents that it has of clean
     ones, and so many toxic documents are improbable (exact binomial, at ``chance`` over all units together).  A
-    beginning is only taken where several words share it.
+    beginning is only taken where several words share it.  Units of 60 times the share and others are dealt to voters
+    of their own, so that the label model can tell how far to believe either.
     """
     seen = {0: Counter(), 1: Counter()}
     forms: dict[str, set[str]] = {}
@@ -95,9 +97,10 @@ def mine(sample: list[tuple[str | None, int]], chance: float = 0.01) -> dict[str
     found = {}
     for unit, a in seen[1].items():
         b = seen[0][unit]
-        if a * total[0] >= 20 * b * total[1] and (unit[-1] != "*" or len(forms[unit]) >= 3) and binomial_tail(b, a + b, clean) < level:
+        if a * total[0] >= 8 * b * total[1] and (unit[-1] != "*" or len(forms[unit]) >= 3) and binomial_tail(b, a + b, clean) < level:
             kind = "mined_stems" if unit[-1] == "*" else "mined_words"
-            found[unit] = _BIT[f"{kind}_{zlib.crc32(unit.encode('utf-8', 'surrogatepass')) % MINED}"]
+            pure = a * total[0] >= 60 * b * total[1]
+            found[unit] = _BIT[f"{kind}_{zlib.crc32(unit.encode('utf-8', 'surrogatepass')) % 2 + 2 * pure}"]
     return found
 
 
@@ -208,9 +211,17 @@ def word_features(word: str, mask: int = 0, size: int = SIZE) -> tuple[int, ...]
     return tuple(zlib.crc32(u.encode("utf-8", "surrogatepass")) % size for u in units)
 
 
+def _unit(name: str, size: int) -> int:
+    return zlib.crc32(f"\x00{name}".encode()) % size
+
+
 def features(text: str | None, masks, size: int = SIZE) -> np.ndarray:
-    """Distinct hashed words, beginnings and lexicons; ``masks`` has the lexicons of a word."""
-    return np.array(sorted({f for w in set(_WORDS.findall((text or "").lower())) for f in word_features(w, masks[w], size)}), np.int64)
+    """Distinct hashed words, beginnings and lexicons, and whether two or three words are in any lexicon; ``masks`` has the lexicons of a word."""
+    words = set(_WORDS.findall((text or "").lower()))
+    found = {f for w in words for f in word_features(w, masks[w], size)}
+    listed = sum(1 for w in words if masks[w])
+    found.update(_unit(f"listed {k}", size) for k in (2, 3) if listed >= k)
+    return np.array(sorted(found), np.int64)
 
 
 def score(docs: DataFrame, mined: dict[str, int], weights: tuple[np.ndarray, np.ndarray, float], size: int = SIZE) -> DataFrame:
@@ -220,13 +231,13 @@ def score(docs: DataFrame, mined: dict[str, int], weights: tuple[np.ndarray, np.
     def run(batches):
         import pyarrow as pa
 
-        masks = Votes(mined).masks
+        masks, any_list = Votes(mined).masks, _unit("any", size)
 
         class Weighed(dict):
-            """The features of a word that have a weight."""
+            """The features of a word that have a weight, and the mark of words in any lexicon."""
 
             def __missing__(self, word: str) -> tuple[int, ...]:
-                out = tuple(f for f in word_features(word, masks[word], size) if f in table)
+                out = tuple(f for f in word_features(word, masks[word], size) if f in table or (f == any_list and masks[word]))
                 if len(self) >= _CACHE_WORDS:
                     self.clear()
                 self[word] = out
@@ -237,7 +248,12 @@ def score(docs: DataFrame, mined: dict[str, int], weights: tuple[np.ndarray, np.
             out = np.empty(batch.num_rows)
             for i, text in enumerate(batch.column(1)):
                 words = set(_WORDS.findall((text.as_py() or "").lower()))
-                out[i] = bias + sum(table[f] for f in {f for some in filter(None, map(weighed.__getitem__, words)) for f in some})
+                found, listed = set(), 0
+                for some in filter(None, map(weighed.__getitem__, words)):
+                    found.update(some)
+                    listed += any_list in some
+                found.update(_unit(f"listed {k}", size) for k in (2, 3) if listed >= k)
+                out[i] = bias + sum(table.get(f, 0.0) for f in sorted(found))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(out))], names=["doc_id", "score"])
 
     return map_batches(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
