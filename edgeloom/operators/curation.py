@@ -10,82 +10,108 @@ from edgeloom.operators.mapping import current_roots
 from edgeloom.operators.quality import drop_ambiguous
 from edgeloom.sources.schemas import require
 
-#: Words of type names that mark a neuron as not yet settled.
-UNSETTLED = r"unclear|TBD|\("
+# The texts of the curation tables, and the words of type names that mark a neuron as not yet settled.
+ADULT = "adult neuron"
+WHOLE_SYSTEM = {"part_of": "adult brain|adult ventral nerve cord", "label": "BANC:", "comment": "BANC connectome neuron", "dbxrefs": "flywire_banc"}
+NERVE_CORD = {
+    "part_of": "male organism|adult ventral nerve cord",
+    "label": " (MANC:",
+    "comment": ("tracing status-", ", cropped-", ", MANC classification: class-", ", subclass-", ", systematic type-"),
+    "dbxrefs": "neuprint_JRC_Manc",
+}
+OPTIC_LOBE = {
+    "part_of": "male organism",
+    "label": " (JRC_OpticLobe:",
+    "comment": ("status-", ", status label-", ", Optic Lobe classification: type-"),
+    "dbxrefs": "neuprint_JRC_OpticLobe_v1_0",
+    "unsettled": r"unclear|TBD|\(",
+}
+ANNOTATED = {
+    "anat_id": "VFB_",
+    "part_of": "female organism|adult brain",
+    "label": "FlyWire:",
+    "status": "status-",
+    "comment": ("FlyWire classification: flow-", ", superclass-", ", class-", ", subclass-", ", cell type-", ", hemibrain type-", ". FBbt_id annotation-", ". supervoxel id-"),
+    "dbxrefs": ("flywire783", "|flywire_supervoxel:"),
+}
+MINIMAL = {"is_a": "neuron", "part_of": "female organism|adult brain", "label": " - ", "comment": ("tracing status-", ", cropped-"), "dbxrefs": "neuprint_JRC_Hemibrain_1point1"}
 
 
-def from_ids(ids: DataFrame, prefix: str = "flywire_banc") -> DataFrame:
+def from_ids(ids: DataFrame, prefix: str = WHOLE_SYSTEM["dbxrefs"]) -> DataFrame:
     """Whole-nervous-system neurons known by id alone (column ``filename``)."""
-    name = F.col("filename")
+    name, fixed = F.col("filename"), WHOLE_SYSTEM
     return require(ids, "filename").select(
         "filename",
-        F.lit("adult neuron").alias("is_a"),
-        F.lit("adult brain|adult ventral nerve cord").alias("part_of"),
-        joined("BANC:", name).alias("label"),
-        F.lit("BANC connectome neuron").alias("comment"),
+        F.lit(ADULT).alias("is_a"),
+        F.lit(fixed["part_of"]).alias("part_of"),
+        joined(fixed["label"], name).alias("label"),
+        F.lit(fixed["comment"]).alias("comment"),
         joined(prefix + ":", name).alias("dbxrefs"),
     )
 
 
-def nerve_cord(neurons: DataFrame, prefix: str = "neuprint_JRC_Manc") -> DataFrame:
+def nerve_cord(neurons: DataFrame, prefix: str = NERVE_CORD["dbxrefs"]) -> DataFrame:
     """Nerve cord neurons that have an id in the knowledge base.
 
     A null status makes the whole comment null; other missing classifications read ``None``.
     """
-    c = F.col
-    status = joined("tracing status-", c("statusLabel"))
-    traced = F.when(c("cropped").isNull(), status).otherwise(F.concat(status, F.lit(", cropped-"), title_bool(c("cropped"))))
-    classes = joined(", MANC classification: class-", or_none(c("class")), ", subclass-", or_none(c("subclass")), ", systematic type-", or_none(c("systematicType")))
+    c, fixed = F.col, NERVE_CORD
+    before, cropped, *classes = fixed["comment"]
+    status = joined(before, c("statusLabel"))
+    traced = F.when(c("cropped").isNull(), status).otherwise(F.concat(status, F.lit(cropped), title_bool(c("cropped"))))
+    classified = [x for name, column in zip(classes, ("class", "subclass", "systematicType"), strict=True) for x in (F.lit(name), or_none(c(column)))]
     return neurons.filter("vfbId IS NOT NULL").select(
         c("vfbId").alias("anat_id"),
         c("bodyId").alias("filename"),
-        F.lit("adult neuron").alias("is_a"),
-        F.lit("male organism|adult ventral nerve cord").alias("part_of"),
-        joined(c("instance"), " (MANC:", c("bodyId"), ")").alias("label"),
-        F.concat(traced, classes).alias("comment"),
+        F.lit(ADULT).alias("is_a"),
+        F.lit(fixed["part_of"]).alias("part_of"),
+        joined(c("instance"), fixed["label"], c("bodyId"), ")").alias("label"),
+        F.concat(traced, *classified).alias("comment"),
         joined(prefix + ":", c("bodyId")).alias("dbxrefs"),
     )
 
 
-def optic_lobe(neurons: DataFrame, prefix: str = "neuprint_JRC_OpticLobe_v1_0") -> DataFrame:
+def optic_lobe(neurons: DataFrame, prefix: str = OPTIC_LOBE["dbxrefs"]) -> DataFrame:
     """Optic lobe neurons with a settled type and an instance name; a null type counts as settled."""
-    c = F.col
-    settled = neurons.filter(~matches(c("type"), UNSETTLED)).filter("instance IS NOT NULL")
+    c, fixed = F.col, OPTIC_LOBE
+    settled = neurons.filter(~matches(c("type"), fixed["unsettled"])).filter("instance IS NOT NULL")
+    comment = [x for name, column in zip(fixed["comment"], ("status", "statusLabel", "type"), strict=True) for x in (name, c(column))]
     return settled.select(
         c("bodyId").alias("filename"),
-        F.lit("adult neuron").alias("is_a"),
-        F.lit("male organism").alias("part_of"),
-        joined(c("instance"), " (JRC_OpticLobe:", c("bodyId"), ")").alias("label"),
-        joined("status-", c("status"), ", status label-", c("statusLabel"), ", Optic Lobe classification: type-", c("type")).alias("comment"),
+        F.lit(ADULT).alias("is_a"),
+        F.lit(fixed["part_of"]).alias("part_of"),
+        joined(c("instance"), fixed["label"], c("bodyId"), ")").alias("label"),
+        joined(*comment).alias("comment"),
         joined(prefix + ":", c("bodyId")).alias("dbxrefs"),
     )
 
 
-def annotated_roots(annotations: DataFrame, supervoxels: DataFrame, snapshot: str | None = None, prefix: str = "flywire783") -> DataFrame:
+def annotated_roots(annotations: DataFrame, supervoxels: DataFrame, snapshot: str | None = None, prefix: str = ANNOTATED["dbxrefs"][0]) -> DataFrame:
     """Annotated whole-brain neurons, on the roots of a snapshot; a root that several annotations share is left out."""
-    c = F.col
+    c, fixed = F.col, ANNOTATED
     found = drop_ambiguous(current_roots(annotations.filter("vfb_id IS NOT NULL"), supervoxels, snapshot), "mapped_root")
-    parts = (("flow-", "flow"), (", superclass-", "super_class"), (", class-", "cell_class"), (", subclass-", "cell_sub_class"), (", cell type-", "cell_type"), (", hemibrain type-", "hemibrain_type"), (". FBbt_id annotation-", "fbbt_id"), (". supervoxel id-", "supervoxel_id"))
-    status = F.when(c("status").isNull(), F.lit("")).otherwise(joined("status-", c("status")))
+    columns = ("flow", "super_class", "cell_class", "cell_sub_class", "cell_type", "hemibrain_type", "fbbt_id", "supervoxel_id")
+    status = F.when(c("status").isNull(), F.lit("")).otherwise(joined(fixed["status"], c("status")))
     return found.select(
-        joined("VFB_", c("vfb_id")).alias("anat_id"),
+        joined(fixed["anat_id"], c("vfb_id")).alias("anat_id"),
         c("mapped_root").alias("filename"),
-        F.lit("adult neuron").alias("is_a"),
-        F.lit("female organism|adult brain").alias("part_of"),
-        joined("FlyWire:", c("root_id")).alias("label"),
-        F.concat(status, F.lit("FlyWire classification: "), *[x for before, name in parts for x in (F.lit(before), or_none(c(name)))]).alias("comment"),
-        F.concat(F.lit(prefix + ":"), or_none(c("mapped_root")), F.lit("|flywire_supervoxel:"), or_none(c("supervoxel_id"))).alias("dbxrefs"),
+        F.lit(ADULT).alias("is_a"),
+        F.lit(fixed["part_of"]).alias("part_of"),
+        joined(fixed["label"], c("root_id")).alias("label"),
+        F.concat(status, *[x for name, column in zip(fixed["comment"], columns, strict=True) for x in (F.lit(name), or_none(c(column)))]).alias("comment"),
+        F.concat(F.lit(prefix + ":"), or_none(c("mapped_root")), F.lit(fixed["dbxrefs"][1]), or_none(c("supervoxel_id"))).alias("dbxrefs"),
     )
 
 
-def hemibrain_minimal(neurons: DataFrame, prefix: str = "neuprint_JRC_Hemibrain_1point1") -> DataFrame:
+def hemibrain_minimal(neurons: DataFrame, prefix: str = MINIMAL["dbxrefs"]) -> DataFrame:
     """Least metadata of neurons with a type."""
-    c = F.col
+    c, fixed = F.col, MINIMAL
+    before, cropped = fixed["comment"]
     return neurons.filter("type IS NOT NULL").select(
         text(c("bodyId")).alias("filename"),
-        joined(c("instance"), " - ", c("bodyId")).alias("label"),
-        F.lit("neuron").alias("is_a"),
-        F.lit("female organism|adult brain").alias("part_of"),
+        joined(c("instance"), fixed["label"], c("bodyId")).alias("label"),
+        F.lit(fixed["is_a"]).alias("is_a"),
+        F.lit(fixed["part_of"]).alias("part_of"),
         joined(prefix + ":", c("bodyId")).alias("dbxrefs"),
-        F.concat(joined("tracing status-", c("statusLabel"), ", cropped-"), title_bool(c("cropped"))).alias("comment"),
+        F.concat(joined(before, c("statusLabel"), cropped), title_bool(c("cropped"))).alias("comment"),
     )
