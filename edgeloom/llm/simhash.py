@@ -47,17 +47,17 @@ def text_fingerprint(text: str | None, shingle: int = 3, seed: int = SEED) -> in
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint's bits as a long) of each row of ``docs``."""
+    """``doc_id``, ``text_key`` (a hash of the text) and ``fp`` (the fingerprint's bits as a long) of each row of ``docs``."""
 
     def scan(batches):
         import pyarrow as pa
 
         for batch in batches:
             fps = np.fromiter((text_fingerprint(t, shingle, seed) for t in (x.as_py() for x in batch.column(1))), dtype="<u8", count=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view("<i8"))], names=["doc_id", "text_key", "fp"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), scan, f"doc_id {id_type}, fp long")
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), scan, f"doc_id {id_type}, text_key long, fp long")
 
 
 def _near_keys(radius: int) -> list[int]:
@@ -154,25 +154,27 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def components(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = SEED) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` (the smallest id reachable over links, its own included) of each row."""
+    """``doc_id``, ``text_key``, ``fp``, ``root`` and ``component_id`` of each row.
+
+    ``root`` is the same within a component; ``component_id`` is the smallest id reachable over links, its own included.
+    """
     fps = written(fingerprints(docs, shingle, seed), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = connected(links(distinct.select("fp"), radius))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     named = written(named, "roots")
-    named = named.join(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = named.join(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id.
-
-    Of repeated rows of that id one stays.  A component of null ids only keeps one row too.
-    """
+    """``docs`` with one row of each component: the one with the smallest id, null ids last, then by the text's hash."""
     columns = docs.columns
     marked = components(docs, shingle, radius)
-    keys = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep_id")).distinct()
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("doc_id").alias("row_id"))
-    kept = held.join(keys, held.row_id.eqNullSafe(keys.keep_id), "left_semi")
-    first = kept.withColumn("nth", F.row_number().over(Window.partitionBy("row_id").orderBy(F.xxhash64("row.text")))).filter("nth = 1")
-    return first.select("row.*")
+    first = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"))
+    keys = first.select(F.col("first.doc_id").alias("keep_id"), F.col("first.text_key").alias("keep_key"))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_key"))
+    kept = held.join(keys, held.row_id.eqNullSafe(keys.keep_id) & (held.row_key == keys.keep_key), "left_semi")
+    # of rows that are equal in both, one stays
+    nth = F.row_number().over(Window.partitionBy("row_id", "row_key").orderBy("row_key"))
+    return kept.withColumn("nth", nth).filter("nth = 1").select("row.*")
