@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from edgeloom.llm.common import crc_fold, table
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt over all cores where the files alone would leave most of them idle."""
+    docs, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() * 2 > cores else docs.repartition(cores, "doc_id")
+
+
 def byte_vocabulary() -> str:
     import public_tokenizers
 
@@ -26,7 +32,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import toxicity
 
     fold = crc_fold(F.col("doc_id"), 5)
-    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold != 0)
+    found = toxicity.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), fold != 0)
     return found.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
 
 
@@ -34,7 +40,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import quality
 
     fold = crc_fold(F.col("doc_id"), 5)
-    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold != 0)
+    found = quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), fold != 0)
     return found.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
 
 
@@ -50,14 +56,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import rules
 
-    found = rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = rules.verdicts(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import packing
 
-    found = packing.pack(table(spark, sf_dir, "documents"), byte_vocabulary(), end_id=1, window=2048)
+    found = packing.pack(documents(spark, sf_dir), byte_vocabulary(), end_id=1, window=2048)
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -65,7 +71,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import language
 
     fold = crc_fold(F.col("doc_id"), 4)
-    found = language.identify(table(spark, sf_dir, "documents"), piece_vocabulary(), fold != 2)
+    found = language.identify(documents(spark, sf_dir), piece_vocabulary(), fold != 2)
     return found.select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
 
 
@@ -78,7 +84,7 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import suffix
 
-    found = suffix.remove_repeats(table(spark, sf_dir, "documents"), least=400)
+    found = suffix.remove_repeats(documents(spark, sf_dir), least=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
@@ -93,7 +99,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import simhash
 
-    found = simhash.components(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    found = simhash.components(documents(spark, sf_dir), shingle=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
