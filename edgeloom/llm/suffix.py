@@ -12,7 +12,10 @@ Neighbouring windows share an anchor; such a run of windows is a context, the by
    scan over its common-prefix intervals.  An interval is a maximal repeat if it is at least ``least`` long and its
    occurrences are preceded by different bytes; all of its occurrences are its group.
 3. Anchor hashes with over ``MOST_CONTEXTS`` different contexts would make one task too large.  Their windows are
-   compared by 128-bit digests in an aggregation instead, which is exact but for digest collisions (odds 2 ** -128).
+   compared in aggregations instead, by ranges of the window's distance from the anchor: a range whose windows' common
+   bytes are nobody else's holds no repeat, one whose bytes all occur elsewhere is a repeat as a whole, and what is
+   neither goes on in narrower ranges, down to single windows.  Bytes are compared by 128-bit digests, which is exact
+   but for collisions (odds 2 ** -128).
 
 The spans of all maximal repeats of a document, joined, are what every window that occurs elsewhere covers.
 
@@ -36,6 +39,8 @@ LEAST = 400
 GRAM = 64  # a power of two
 #: Different contexts of one anchor hash that go into one suffix array.
 MOST_CONTEXTS = 2048
+#: Windows in a range, round by round, where there are more.
+RANGES = (32, 6, 1)
 #: Window starts that are hashed at a time, and bytes of contexts that share a suffix array.
 SEGMENT, ARRAY_BYTES = 1 << 20, 1 << 19
 _MULTIPLY, _ROTATE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -223,7 +228,7 @@ def _same(a: DataFrame, b: DataFrame):
 
 
 def _cut_out(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """The bytes of the contexts in ``wanted`` (fp, digest, doc_id, text_key, at, runs, hot); for hot ones, their windows' digests."""
+    """The bytes of the contexts in ``wanted`` (fp, digest, doc_id, text_key, at, runs, hot)."""
     lists = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("fp", "digest", "at", "runs", "hot")).alias("wanted"))
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     joined = keyed.join(lists, _same(keyed, lists)).select("text", "wanted")
@@ -239,8 +244,7 @@ def _cut_out(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
                     fps.append(x["fp"])
                     digests.append(x["digest"])
                     hots.append(x["hot"])
-                    s, e = x["at"], x["at"] + x["runs"]
-                    data.append(b"".join(xxhash.xxh3_128_digest(raw[p : p + least]) for p in range(s, e)) if x["hot"] else raw[s : e + least - 1])
+                    data.append(raw[x["at"] : x["at"] + x["runs"] + least - 1])
             yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(digests, pa.int64()), pa.array(hots, pa.bool_()), pa.array(data, pa.binary())], names=["fp", "digest", "hot", "data"])
 
     # repeated rows bring the same context twice
@@ -276,13 +280,50 @@ def _by_suffix_array(cut: DataFrame, least: int) -> DataFrame:
     return map_batches(dealt, scan, "fp long, digest long, spans array<bigint>")
 
 
-def _by_digests(cut: DataFrame, least: int) -> DataFrame:
-    """As :func:`_by_suffix_array`, for contexts whose windows are given as digests."""
-    places = F.expr("transform(sequence(0, CAST(length(data) / 16 AS INT) - 1), i -> named_struct('i', CAST(i AS BIGINT), 'window', substring(data, 16 * i + 1, 16)))")
-    rows = cut.filter("hot AND length(data) > 0").select("fp", "digest", F.inline(places))
-    twice = rows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window")
-    hit = rows.join(twice, "window", "left_semi").groupBy("fp", "digest").agg(F.array_sort(F.collect_list("i")).alias("at"))
-    return hit.select("fp", "digest", F.flatten(F.transform("at", lambda p: F.array(p, p + least))).alias("spans"))
+def ranges(data: bytes, width: int, least: int, inside: list[int] | None = None) -> list[tuple[int, bytes, bytes, int, int]]:
+    """(range, digest of its windows' common bytes, digest of all bytes of the own windows in it, first window, last) of a context.
+
+    Range r holds the windows that start r * width to r * width + width - 1 bytes before the anchor.  With ``inside``,
+    only for those windows (flat first and last numbers).
+    """
+    runs = len(data) - least + 1
+    h = gram_hashes(np.frombuffer(data[:least], np.uint8))
+    anchor = int(((h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)).min() & _PLACE)
+    out = []
+    for lo, hi in zip(inside[::2], inside[1::2], strict=True) if inside is not None else [(0, runs - 1)]:
+        for r in range((anchor - hi) // width, (anchor - lo) // width + 1):
+            first, last = max(lo, anchor - (r * width + width - 1)), min(hi, anchor - r * width)
+            common = data[anchor - r * width : anchor - (r * width + width - 1) + least]
+            out.append((r, xxhash.xxh3_128_digest(common), xxhash.xxh3_128_digest(data[first : last + least]), first, last))
+    return out
+
+
+def _by_ranges(cut: DataFrame, least: int) -> DataFrame:
+    """As :func:`_by_suffix_array`, for contexts of crowded anchor hashes: by ranges of windows, ever narrower."""
+    crowd = cut.filter("hot").select("fp", "digest", "data", F.lit(None).cast("array<bigint>").alias("inside"))
+    found = None
+    for width in RANGES:
+
+        def split(batches, width=width):
+            import pyarrow as pa
+
+            for batch in batches:
+                rows = [(fp, digest, *x) for fp, digest, data, inside in zip(*(c.to_pylist() for c in batch.columns), strict=True) for x in ranges(data, width, least, inside)]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["fp", "digest", "range", "common", "all", "first", "last"])
+
+        rows = written(map_batches(crowd, split, "fp long, digest long, range long, common binary, all binary, first long, last long"), "ranges")
+        same = ["fp", "range", "common"]
+        kinds = rows.groupBy(*same, "all").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("one"))
+        several = kinds.groupBy(*same).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+        twice = rows.join(kinds.filter("n > 1").select(*same, "all"), [*same, "all"], "left_semi").select("fp", "digest", F.array("first", F.col("last") + least).alias("spans"))
+        found = twice if found is None else found.union(twice)
+        # what meets others in part goes on, one context for each kind
+        ones = kinds.join(several, same).select(*same, "all", F.col("one").alias("digest"))
+        left = rows.join(ones, [*same, "all", "digest"], "left_semi").groupBy("fp", "digest").agg(F.flatten(F.collect_list(F.array("first", "last"))).alias("inside"))
+        if width > 1:
+            crowd = cut.filter("hot").select("fp", "digest", "data").join(left, ["fp", "digest"])
+    return found.groupBy("fp", "digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def repeats(docs: DataFrame, least: int = LEAST, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
@@ -293,7 +334,7 @@ def repeats(docs: DataFrame, least: int = LEAST, most_contexts: int = MOST_CONTE
     several = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     wanted = kinds.join(several, "fp").select("fp", "digest", "one.*", (F.col("kinds") > most_contexts).alias("hot"))
     cut = written(_cut_out(docs, wanted, least), "context-bytes")
-    parts = written(_by_suffix_array(cut, least).union(_by_digests(cut, least)), "context-repeats")
+    parts = written(_by_suffix_array(cut, least).union(_by_ranges(cut, least)), "context-repeats")
     whole = kinds.filter("n > 1").select("fp", "digest", F.lit(True).alias("whole"))
     marks = whole.join(parts, ["fp", "digest"], "full_outer").select("fp", "digest", "whole", "spans")
     absolute = F.when(F.col("own").isNotNull(), F.col("own")).when(F.col("whole"), F.array(F.col("at"), F.col("at") + F.col("runs") + least - 1)).otherwise(F.transform("spans", lambda x: x + F.col("at")))
