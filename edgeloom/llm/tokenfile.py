@@ -8,8 +8,8 @@ self-contained bytes:
     n_blocks + 1 block starts, u32 each, from the beginning of the block area: the index
     the block area
 
-A block holds up to 128 ids: count u8 | width u8 | n_exceptions u8 | minimum u32 | the low ``width`` bits of each
-id less the minimum, packed | exception positions u8 each | the exceptions' high parts, u32 each.  The width is the
+A block holds up to 512 ids: count u16 | width u8 | n_exceptions u8 | minimum u32 | the low ``width`` bits of each
+id less the minimum, packed | exception positions u16 each | the exceptions' high parts, u32 each.  The width is the
 least that holds a given percentile of the block's values; the rest are exceptions.
 
 Chunks lie in ascending doc_id order: rows of ``shard`` (the range partition) and ``chunk``, with the ids before
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from edgeloom.llm.common import fresh_folder, map_batches
 
 MAGIC = b"PFR1"
-BLOCK = 128
+BLOCK = 512
 PERCENTILE = 0.9
 CHUNK_IDS = 1 << 17
 
@@ -55,29 +55,26 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[byte
     sizes[-1] = n - (n_blocks - 1) * BLOCK
     width = np.sort(bits, axis=1)[:, int(np.ceil(percentile * BLOCK)) - 1]
     over = (bits > width[:, None]) & (np.arange(BLOCK)[None, :] < sizes[:, None])
-    n_over = over.sum(1)
     parts: list[bytes | None] = [None] * n_blocks
+    where, which = np.nonzero(over)
+    first = np.searchsorted(where, np.arange(n_blocks + 1))
+    high = (rest[where, which] >> width[where].astype(np.uint32)).astype("<u4")
+    which = which.astype("<u2")
     for w in np.unique(width):
-        mine = np.flatnonzero(width == w)
-        w = int(w)
-        low = rest[mine] & np.uint32((1 << w) - 1)
-        flags = ((low[:, :, None] >> np.arange(w, dtype=np.uint32)) & 1).astype(np.uint8)
+        mine, w = np.flatnonzero(width == w), int(w)
+        flags = np.unpackbits(rest[mine].astype("<u4").view(np.uint8).reshape(len(mine), BLOCK, 4), axis=2, bitorder="little")[:, :, :w]
         packed = np.packbits(flags.reshape(len(mine), BLOCK * w), axis=1, bitorder="little")
-        for row, b in zip(packed, mine, strict=True):
-            size = int(sizes[b])
-            head = struct.pack("<BBBI", size, w, int(n_over[b]), int(least[b])) + row[: (size * w + 7) // 8].tobytes()
-            if n_over[b]:
-                at = np.flatnonzero(over[b])
-                head += at.astype(np.uint8).tobytes() + (rest[b, at] >> np.uint32(w)).astype("<u4").tobytes()
-            parts[b] = head
+        for row, b in zip(packed, mine.tolist(), strict=True):
+            size, lo, hi = int(sizes[b]), int(first[b]), int(first[b + 1])
+            parts[b] = struct.pack("<HBBI", size, w, hi - lo, int(least[b])) + row[: (size * w + 7) // 8].tobytes() + which[lo:hi].tobytes() + high[lo:hi].tobytes()
     starts = np.zeros(n_blocks + 1, "<u4")
     np.cumsum([len(p) for p in parts], out=starts[1:])
     return b"".join(parts), starts
 
 
 def decode_block(area: bytes, start: int) -> np.ndarray:
-    size, width, n_over, least = struct.unpack_from("<BBBI", area, start)
-    at = start + 7
+    size, width, n_over, least = struct.unpack_from("<HBBI", area, start)
+    at = start + 8
     n_packed = (size * width + 7) // 8
     if width:
         flags = np.unpackbits(np.frombuffer(area, np.uint8, n_packed, at), bitorder="little")[: size * width]
@@ -85,8 +82,8 @@ def decode_block(area: bytes, start: int) -> np.ndarray:
     else:
         values = np.zeros(size, np.uint32)
     if n_over:
-        where = np.frombuffer(area, np.uint8, n_over, at + n_packed)
-        values[where] |= np.frombuffer(area, "<u4", n_over, at + n_packed + n_over) << np.uint32(width)
+        where = np.frombuffer(area, "<u2", n_over, at + n_packed)
+        values[where] |= np.frombuffer(area, "<u4", n_over, at + n_packed + 2 * n_over) << np.uint32(width)
     return values + np.uint32(least)
 
 
@@ -96,20 +93,20 @@ def decode_blocks(area: bytes, starts: np.ndarray) -> np.ndarray:
     if not n_blocks:
         return np.zeros(0, np.uint32)
     raw, first = np.frombuffer(area, np.uint8), starts[:-1].astype(np.int64)
-    size, width, n_over = raw[first].astype(np.int64), raw[first + 1].astype(np.int64), raw[first + 2]
-    least = raw[first[:, None] + np.arange(3, 7)].view("<u4").ravel()
+    size, width, n_over = raw[first].astype(np.int64) + 256 * raw[first + 1].astype(np.int64), raw[first + 2].astype(np.int64), raw[first + 3]
+    least = raw[first[:, None] + np.arange(4, 8)].view("<u4").ravel()
     out = np.zeros((n_blocks, BLOCK), np.uint32)
     for w in np.unique(width[size == BLOCK]):
         mine, w = np.flatnonzero((width == w) & (size == BLOCK)), int(w)
         if w:
-            packed = raw[(first[mine] + 7)[:, None] + np.arange(BLOCK * w // 8)]
+            packed = raw[(first[mine] + 8)[:, None] + np.arange(BLOCK * w // 8)]
             flags = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(mine) * BLOCK, w)
             wide = np.zeros((len(flags), 32), np.uint8)
             wide[:, :w] = flags
             out[mine] = np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(len(mine), BLOCK)
     for b in np.flatnonzero((n_over > 0) & (size == BLOCK)):
-        at, w, k = int(first[b]) + 7 + BLOCK * int(width[b]) // 8, int(width[b]), int(n_over[b])
-        out[b, np.frombuffer(area, np.uint8, k, at)] |= np.frombuffer(area, "<u4", k, at + k) << np.uint32(w)
+        at, w, k = int(first[b]) + 8 + BLOCK * int(width[b]) // 8, int(width[b]), int(n_over[b])
+        out[b, np.frombuffer(area, "<u2", k, at)] |= np.frombuffer(area, "<u4", k, at + 2 * k) << np.uint32(w)
     out += least[:, None]
     flat = out.ravel()
     if size[-1] == BLOCK:

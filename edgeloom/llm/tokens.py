@@ -14,9 +14,12 @@ from array import array
 
 import numpy as np
 
-#: Pieces that a worker's cache holds before it starts anew; about 150 bytes each.
-CACHE_PIECES = 300_000
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: Pieces in each of the two generations of a worker's cache, about 200 bytes each.
+CACHE_PIECES = 350_000
+_L = "A-Za-zÀ-ÖØ-öø-ɏ"
+_LETTERS = re.compile(f"[{_L}]+")
+#: Letters and then signs: the pattern always parts these.
+_WORD_SIGNS = re.compile(f"([{_L}]+)([!-/:-@\\[-`{{-~]+)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -26,6 +29,24 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Generations(dict):
+    """A bounded cache: when it is full it becomes the old generation, from which what is used again comes back."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -37,43 +58,24 @@ class PieceEncoder:
         self.tokenize = self.tokenizer.model.tokenize
         self.table = _byte_letters()
         self.space = self.table[32]
-        outer, whole, word = self, self.whole, self.word
-
-        class Spaced(dict):
-            """Ids of a piece after a space, or of one that begins with a newline."""
-
-            def __missing__(self, piece: str) -> bytes:
-                head, last = piece[:-1], piece[-1]
-                if piece[0] == "\n":
-                    ids = outer.newline + outer.bare[piece[1:]]
-                elif _LETTERS.fullmatch(piece):
-                    ids = word(outer.space, piece)
-                elif last in ".,;:!?" and _LETTERS.fullmatch(head):
-                    ids = self[head] + outer.bare[last]
-                else:
-                    ids = whole(" " + piece)
-                if len(self) >= cache_pieces:
-                    self.clear()
-                self[piece] = ids
-                return ids
-
-        class Bare(dict):
-            """Ids of a piece at the start of a text or line."""
-
-            def __missing__(self, piece: str) -> bytes:
-                if _LETTERS.fullmatch(piece):
-                    ids = word("", piece)
-                elif piece[-1] in ".,;:!?" and _LETTERS.fullmatch(piece[:-1]):
-                    ids = self[piece[:-1]] + self[piece[-1]]
-                else:
-                    ids = whole(piece)
-                if len(self) >= cache_pieces // 4:
-                    self.clear()
-                self[piece] = ids
-                return ids
-
         self.newline = self.whole("\n")
-        self.bare, self.spaced = Bare(), Spaced()
+        self.spaced, self.bare = _Generations(self._spaced, cache_pieces), _Generations(self._bare, cache_pieces // 4)
+
+    def _spaced(self, piece: str) -> bytes:
+        """Ids of a piece after a space, or of one that begins with a newline."""
+        if piece[0] == "\n":
+            return self.newline + self.bare[piece[1:]]
+        if _LETTERS.fullmatch(piece):
+            return self.word(self.space, piece)
+        parts = _WORD_SIGNS.fullmatch(piece)
+        return self.spaced[parts[1]] + self.bare[parts[2]] if parts else self.whole(" " + piece)
+
+    def _bare(self, piece: str) -> bytes:
+        """Ids of a piece at the start of a text or line, or of signs after letters."""
+        if _LETTERS.fullmatch(piece):
+            return self.word("", piece)
+        parts = _WORD_SIGNS.fullmatch(piece)
+        return self.bare[parts[1]] + self.bare[parts[2]] if parts else self.whole(piece)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -89,7 +91,7 @@ class PieceEncoder:
         pieces = text.replace("\n", " \n").split(" ")
         first = pieces[0]
         # equal counts: no empty piece and no white space but the single spaces and newlines between the pieces
-        if not first or first[0] == "\n" or len(text.split()) != len(pieces) or "᠎" in text or "\n" in pieces:
+        if not first or first[0] == "\n" or len(text.split()) != len(pieces) or "\u180e" in text or "\n" in pieces:
             return self.whole(text)
         return self.bare[first] + b"".join(map(self.spaced.__getitem__, pieces[1:]))
 
