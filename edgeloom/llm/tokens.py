@@ -22,6 +22,11 @@ _LETTERS = re.compile(f"[{_L}]+")
 _WORD_SIGNS = re.compile(f"([{_L}]+)([!-/:-@\\[-`{{-~]+)")
 
 
+#: White space other than the space and the newline, up to U+00FF and beyond.
+_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+_WIDE_SPACES = re.compile("[\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable stand-in for each byte in byte-level vocabularies: itself, or the next unused code point from 256 on."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -90,8 +95,8 @@ class PieceEncoder:
             return b""
         pieces = text.replace("\n", " \n").split(" ")
         first = pieces[0]
-        # equal counts: no empty piece and no white space but the single spaces and newlines between the pieces
-        if not first or first[0] == "\n" or len(text.split()) != len(pieces) or "\u180e" in text or "\n" in pieces:
+        # no white space but the single spaces and newlines between the pieces, and none at either end
+        if "" in pieces or "\n" in pieces or first[0] == "\n" or any(c in text for c in _SPACES) or not text.isascii() and _WIDE_SPACES.search(text):
             return self.whole(text)
         return self.bare[first] + b"".join(map(self.spaced.__getitem__, pieces[1:]))
 
