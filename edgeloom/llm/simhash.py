@@ -11,6 +11,9 @@ shared folder.
 Defined cases: null text and text without words have fingerprint zero; with fewer words than a shingle has,
 the whole sequence is the one shingle; repeated rows each get a result row; rows with null ids are linked like any
 other but never name a component (a component of null ids only has a null id); extra columns are ignored.
+
+:func:`similar` is for near copies in the sense of a Jaccard similarity of five-word shingles: four fingerprints a text
+find candidates in a radius wide enough for 0.8, and exact similarities decide.
 """
 
 from __future__ import annotations
@@ -169,8 +172,12 @@ def components(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = S
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id, null ids last, then by the text's hash."""
+    return _first_of_each(docs, components(docs, shingle, radius))
+
+
+def _first_of_each(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """The row of ``docs`` with the smallest id, then text hash, of each ``root`` of ``marked``."""
     columns = docs.columns
-    marked = components(docs, shingle, radius)
     first = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"))
     keys = first.select(F.col("first.doc_id").alias("keep_id"), F.col("first.text_key").alias("keep_key"))
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_key"))
@@ -178,3 +185,200 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     # of rows that are equal in both, one stays
     nth = F.row_number().over(Window.partitionBy("row_id", "row_key").orderBy("row_key"))
     return kept.withColumn("nth", nth).filter("nth = 1").select("row.*")
+
+
+#: Bits in which wide fingerprints of texts with a Jaccard similarity of 0.8 may differ: 39 of 256 are expected, 48 for sets
+#: of four or five shingles, with a deviation of about six.
+WIDE_RADIUS = 75
+_WIDE_HALF = 48  # the same for the first 128 bits: 19 to 24 expected, with a deviation of about four
+WIDE_TILE_ROWS = 16_384
+#: Shingles of the texts that one verification holds on either side, about; each text counts as 200 more.
+VERIFIED_SHINGLES = 200_000
+_MIXES = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+
+
+def shingle_set(text: str | None, shingle: int = 5, seed: int = SEED) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of a text's shingles; none without words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    spelled = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False)) if len(words) >= shingle else [b" ".join(words)]
+    digest = xxhash.xxh64_intdigest
+    return np.array(sorted({digest(s, seed) for s in spelled}), np.uint64)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """Four fingerprints of 64 bits of a shingle set, each over its own mix of the hashes."""
+    words = np.zeros(4, np.uint64)
+    for k, mix in enumerate(_MIXES if len(hashes) else []):
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 1 << 16):
+            h = (hashes[at : at + (1 << 16)] ^ mix) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+            h ^= h >> np.uint64(32)
+            counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        words[k] = np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0]
+    return words
+
+
+def wide_links(a: np.ndarray, b: np.ndarray, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``a`` and of ``b`` (four words each) within the radius."""
+    found, step = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], max(1, (1 << 18) // max(1, len(b)))
+    b0, b1 = np.ascontiguousarray(b[:, 0]), np.ascontiguousarray(b[:, 1])
+    for at in range(0, len(a), step):
+        part = a[at : at + step]
+        half = np.bitwise_count(part[:, :1] ^ b0) + np.bitwise_count(part[:, 1:2] ^ b1)
+        x, y = np.nonzero(half <= _WIDE_HALF)
+        near = np.bitwise_count(part[x] ^ b[y]).sum(1, dtype=np.int64) <= radius
+        found.append((at + x[near], y[near]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Pairs of the sets with the components of all pairs of at least this Jaccard similarity: a spanning forest."""
+    root, found = list(range(len(sets))), []
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    for p, i in enumerate(order):
+        for j in order[p + 1 :]:
+            n, m = len(sets[i]), len(sets[j])
+            if n < similarity * m:
+                break  # the sets after j are larger still
+            if top(i) == top(j):
+                continue
+            both = n + m - len(np.union1d(sets[i], sets[j]))
+            if both >= similarity * (n + m - both) - 1e-9:
+                root[top(j)] = top(i)
+                found.append((i, j))
+        if len(found) == len(sets) - 1:
+            break
+    return found
+
+
+def _set_rows(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, text_key, node (a hash of the shingle set), n (its size) and f0 to f3 of each row."""
+
+    def scan(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            nodes, sizes, words = [], [], np.zeros((batch.num_rows, 4), np.uint64)
+            for i, text in enumerate(batch.column(1)):
+                hashes = shingle_set(text.as_py(), shingle)
+                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                sizes.append(len(hashes))
+                words[i] = wide_fingerprint(hashes)
+            columns = [np.array(nodes, np.uint64).view(np.int64), np.array(sizes, np.int64), *(np.ascontiguousarray(words[:, k]).view(np.int64) for k in range(4))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, columns)], names=["doc_id", "text_key", "node", "n", "f0", "f1", "f2", "f3"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), scan, f"doc_id {id_type}, text_key long, node long, n long, f0 long, f1 long, f2 long, f3 long")
+
+
+def _candidate_links(nodes: DataFrame, similarity: float, tile_rows: int) -> DataFrame:
+    """Links ``u < v`` between nodes, with the components of all links within the wide radius whose sizes allow the similarity.
+
+    A tile holds sets of sizes within a factor of ``similarity``; similar sets lie in the same tile or in neighbours.
+    """
+    size = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / float(-np.log(similarity) * (1 + 1e-6))).cast("long")
+    keyed = nodes.select("node", "f0", "f1", "f2", "f3", size.alias("tile"))
+    # sizes of texts give a few dozen tiles, whatever the data
+    subs = {r["tile"]: r["subs"] for r in keyed.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / tile_rows).alias("subs")).collect()}
+    if not subs:
+        return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    number = F.create_map(*[F.lit(x) for pair in subs.items() for x in pair])
+    sub = F.pmod(F.xxhash64("node"), F.coalesce(number[F.col("tile")], F.lit(1)))
+    tiles = keyed.withColumn("sub", sub).groupBy("tile", "sub").agg(F.collect_list(F.array("node", "f0", "f1", "f2", "f3")).alias("rows"))
+    tiles = written(tiles.select("tile", "sub", F.flatten("rows").alias("rows")), "wide-tiles")
+    ids = lambda tile: F.when(number[tile].isNotNull(), F.sequence(F.lit(0).cast("long"), number[tile] - 1)).otherwise(F.array().cast("array<bigint>"))
+    t, s = F.col("tile"), F.col("sub")
+    meets = F.concat(
+        F.transform(ids(t), lambda o: F.struct(t.alias("ta"), F.least(s, o).alias("sa"), t.alias("tb"), F.greatest(s, o).alias("sb"))),
+        F.transform(ids(t + 1), lambda o: F.struct(t.alias("ta"), s.alias("sa"), (t + 1).alias("tb"), o.alias("sb"))),
+        F.transform(ids(t - 1), lambda o: F.struct((t - 1).alias("ta"), o.alias("sa"), t.alias("tb"), s.alias("sb"))),
+    )
+    pairs = tiles.select(F.explode(meets).alias("pair"), "rows").groupBy("pair").agg(F.collect_list("rows").alias("sides")).select("sides")
+
+    def compare(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            us, vs = [], []
+            for sides in batch.column(0):
+                sides = [x.values.to_numpy(zero_copy_only=False).reshape(-1, 5) for x in sides.values]
+                a, b = sides[0], sides[-1]
+                x, y = wide_links(np.ascontiguousarray(a[:, 1:]).view(np.uint64), np.ascontiguousarray(b[:, 1:]).view(np.uint64))
+                u, v = a[x, 0], b[y, 0]
+                u, v = u[u != v], v[u != v]
+                if len(u) > len(a) + len(b):
+                    u, v = _forest(u, v)
+                us.append(np.minimum(u, v))
+                vs.append(np.maximum(u, v))
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+
+    return map_batches(pairs, compare, "u long, v long")
+
+
+def _verified_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, shingle: int, similarity: float, most: int) -> DataFrame:
+    """Links with the components of all pairs of at least this similarity, within the groups of ``members`` (node, root)."""
+    wanted = written(members.join(nodes, "node").select("node", "root", "n", "text_key"), "near-members")
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    blocks = wanted.groupBy("root").agg(F.ceil(F.sum(F.col("n") + 200) / most).cast("long").alias("blocks"))
+    placed = wanted.join(blocks, "root").join(texts, "text_key").select("root", "node", "text", F.greatest("blocks", F.lit(1)).alias("blocks"))
+
+    def spell(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in batch.column(3)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), sets], names=["root", "node", "blocks", "hashes"])
+
+    spelled = map_batches(placed.select("root", "node", "blocks", "text"), spell, "root long, node long, blocks long, hashes binary")
+    spelled = spelled.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    other = F.explode(F.expr("sequence(0L, blocks - 1)"))
+    pairs = spelled.withColumn("other", other).select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.struct("node", "hashes").alias("held"))
+    pairs = pairs.groupBy("root", "i", "j").agg(F.collect_list("held").alias("held")).select("held")
+
+    def verify(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            us, vs = [], []
+            for held in batch.column(0):
+                rows = held.as_py()
+                sets = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
+                for i, j in similar_links(sets, similarity):
+                    us.append(min(rows[i]["node"], rows[j]["node"]))
+                    vs.append(max(rows[i]["node"], rows[j]["node"]))
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    return map_batches(pairs, verify, "u long, v long")
+
+
+def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tile_rows: int = WIDE_TILE_ROWS, most: int = VERIFIED_SHINGLES) -> DataFrame:
+    """``doc_id``, ``text_key`` and ``root`` of each row: the same root where a chain of texts of at least this Jaccard similarity links them.
+
+    Candidates are the pairs within ``WIDE_RADIUS`` bits of 256; exact similarities of their shingle sets decide.  Texts without
+    words are alike; with fewer words than a shingle has, the whole sequence is the one shingle.
+    """
+    if similarity < 0.8:
+        raise ValueError("the radius is made for similarities of at least 0.8")
+    rows = written(_set_rows(docs, shingle), "shingle-sets")
+    nodes = rows.groupBy("node").agg(F.min("text_key").alias("text_key"), *[F.first(c).alias(c) for c in ("n", "f0", "f1", "f2", "f3")])
+    nodes = written(nodes, "distinct-sets")
+    near = connected(_candidate_links(nodes, similarity, tile_rows))
+    members = near.union(near.select(F.col("root").alias("node"), "root")).distinct()
+    roots = connected(_verified_links(docs, nodes.select("node", "n", "text_key"), members, shingle, similarity, most))
+    return rows.join(roots, "node", "left").select("doc_id", "text_key", F.coalesce("root", "node").alias("root"))
+
+
+def keep_one_similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each group of :func:`similar`, chosen as :func:`keep_one` does."""
+    return _first_of_each(docs, similar(docs, shingle, similarity))

@@ -342,3 +342,41 @@ def test_empty_tables(spark, tmp_path):
         assert found.count() == 0
     docs = cases.documents(spark)
     assert decontam.contamination(docs, no_bench).filter("n_hit > 0").count() == 0
+
+
+def _jaccard(a: str, b: str) -> float:
+    x, y = (set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_duplicate_stage_keeps_one_of_planted_copies(spark):
+    import random
+
+    import corpus_pipeline
+
+    rng, rows, want, low = random.Random(4), [], set(), 1.0
+    for g in range(60):
+        words = cases.prose([24, 60, 200, 700][g % 4], 1000 + g).split()
+        rows.append((10 * g, " ".join(words), "en", "s", 0))
+        want.add(10 * g)
+        places = list(range(len(words)))
+        rng.shuffle(places)
+        copy, last = list(words), None
+        for at in places:  # as many words changed as the similarity allows
+            copy[at] = f"changed{at}"
+            if _jaccard(" ".join(words), " ".join(copy)) < 0.8:
+                break
+            last = " ".join(copy)
+        if last:
+            rows.append((10 * g + 1, last, "en", "s", 0))
+            low = min(low, _jaccard(" ".join(words), last))
+        rows.append((10 * g + 2, " ".join(copy), "en", "s", 0))  # below 0.8 of the first
+        if not last or max(_jaccard(" ".join(copy), x) for x in (" ".join(words), last)) < 0.8:
+            want.add(10 * g + 2)
+    assert low < 0.81
+    docs = cases.documents(spark, rows=rows)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+    small = simhash.similar(docs, tile_rows=7, most=500)  # many tiles and blocks lose nothing
+    assert small.select("root").distinct().count() == len(want)
