@@ -1,7 +1,8 @@
 """Secret scans with SQL expressions alone, and a random forest that removes false findings.
 
-A candidate is a word with a digit, or a value behind a word such as ``password=``, of at least 12 characters.  Its
-features: length; how often the character class changes and how common its letter pairs are (character transitions);
+A candidate is a value of a word with a digit, or with a key such as ``password=``, of at least 12 characters: each value
+with its key in JSON, connection strings and lists, the password of an address, and each run between quotes, brackets
+and separators.  Its features: length; how often the character class changes and how common its letter pairs are (character transitions);
 shares of digits, capitals and distinct characters; how much of it dictionary words cover; known issuers' beginnings;
 shapes of numbers, hashes and identifiers; words of secrecy and of harmlessness in its key, among the three words
 before and the two after; and the path it comes from.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 #: Labelled findings that the forest is trained on, at most.
 MOST_FINDINGS = 6000
 TREES, DEPTH, LEAST_LEAF = 25, 6, 4
-_KEYS = "pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private"
+_KEYS = "pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|(?:access|account|shared)[_-]?key|auth|bearer|credential|private"
 _HARMLESS = "example|sample|dummy|placeholder|commit|revision|sha\\d*|md5|checksum|digest|hash|uuid|guid|version|isbn|phone|card|order|invoice|ticket|build|etag"
 _PREFIXES = "(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|xox[baprs]-|sk_live_|sk-[A-Za-z0-9]{20,}|AIza[A-Za-z0-9_-]{30,}|glpat-|eyJ[A-Za-z0-9_-]{10,}"
 _PAIRS = "th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt|ng|se|ha|as|ou|io|le|ve|co|me|de|hi|ri|ro|ic|ne|ea"
@@ -36,6 +37,18 @@ _DICTIONARY = (
 )
 FEATURES = ("length", "changes", "pairs", "digits", "capitals", "distinct_signs", "dictionary", "issuer", "hex_only", "digits_only", "shaped", "keyed", "near_key", "harmless", "address", "test_path")
 
+
+def _literal(pattern: str) -> str:
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_KEY, _JOIN = "[A-Za-z_][A-Za-z0-9_.-]{1,40}", r"""\\*["']?[=:]+>?\\*["']?"""
+_RUN = r"""(?:(?![?&][A-Za-z_][A-Za-z0-9_.-]{0,40}=)[^"'`()<>\[\]{},;:@])+"""
+#: A user and a password in an address, a value with its key, or a value alone.
+_LOGIN = rf"""(?:{_KEY}{_JOIN})?[A-Za-z][A-Za-z0-9+.-]*://[^/?#"'<>:@]*:([^"'<>@]+)@"""
+_KEYED = rf"""[-$?&*.!#|~+%/\\]*({_KEY}){_JOIN}({_RUN})"""
+_PIECE = rf"{_LOGIN}|{_KEYED}|{_RUN}"
+
 _CANDIDATES = f"""
 transform(array(split(coalesce(@text@, ''), '[\\\\x20\\\\x09-\\\\x0D]+')), w ->
   transform(
@@ -46,10 +59,18 @@ transform(array(split(coalesce(@text@, ''), '[\\\\x20\\\\x09-\\\\x0D]+')), w ->
       'after', array_join(slice(w, i + 2, 2), ' '))))[0]
 """
 
-_PARTS = r"""
-transform(@found@, c -> named_struct('at', c.at, 'word', c.word, 'before', c.before, 'after', c.after,
-  'key', regexp_extract(c.word, '^["''(<{\\[]*([A-Za-z_][A-Za-z0-9_.-]{1,40})["'']?[=:]', 1),
-  'value', rtrim('.', regexp_extract(regexp_replace(c.word, '^["''(<{\\[]*[A-Za-z_][A-Za-z0-9_.-]{1,40}["'']?[=:]+', ''), '[^"''`()<>\\[\\]{},;:@]+', 0))))
+_PAIRS_OF_WORDS = f"""
+flatten(transform(@found@, c -> transform(regexp_extract_all(c.word, {_literal(_PIECE)}, 0), m -> named_struct('at', c.at, 'word', c.word, 'before', c.before, 'after', c.after,
+  'key', CASE WHEN m RLIKE {_literal(f"^{_LOGIN}$")} THEN 'password' ELSE regexp_extract(m, {_literal(f"^{_KEYED}$")}, 1) END,
+  'value', rtrim('.\\\\', CASE WHEN m RLIKE {_literal(f"^{_LOGIN}$")} THEN regexp_extract(m, {_literal(f"^{_LOGIN}$")}, 1)
+    WHEN m RLIKE {_literal(f"^{_KEYED}$")} THEN regexp_extract(m, {_literal(f"^{_KEYED}$")}, 2) ELSE m END)))))
+"""
+
+#: A value that is a key and its value (export:PASSWORD=...) gives that value too.
+_PARTS = f"""
+flatten(transform({_PAIRS_OF_WORDS}, c -> IF(c.value RLIKE {_literal(f"^{_KEYED}$")},
+  array(c, named_struct('at', c.at, 'word', c.word, 'before', c.before, 'after', c.after,
+    'key', regexp_extract(c.value, {_literal(f"^{_KEYED}$")}, 1), 'value', regexp_extract(c.value, {_literal(f"^{_KEYED}$")}, 2))), array(c))))
 """
 
 _FEATURES = rf"""
@@ -89,6 +110,7 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
     number = f"substr(translate({hexed}, 'abcdef', '123456'), 1, {{}})"
     uuid = f"concat_ws('-', substr({hexed}, 1, 8), substr({hexed}, 9, 4), substr({hexed}, 13, 4), substr({hexed}, 17, 4), substr({hexed}, 21, 12))"
     word = "element_at(array('orange', 'river', 'the', 'of', 'report', 'und', 'para', 'les', 'window', 'sunrise'), CAST(pmod(xxhash64(id, {}), 10) AS INT) + 1)"
+    name = "element_at(array('hunter', 'tiger', 'moon', 'blue', 'Falcon', 'rocket', 'Coffee'), CAST(pmod(xxhash64(id, 8), 7) AS INT) + 1)"
     secret = [
         f"concat('AKIA', substr({capitals}, 1, 16))",
         f"concat('token = \"', substr({hexed}, 1, 40), '\"')",
@@ -102,6 +124,12 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
         f"concat('secret=', substr({letters}, 1, 20))",
         f"concat('token: ', substr({hexed}, 1, 32))",
         f"concat('AKIA', substr({capitals}, 3, 16), '.')",
+        f"concat('{{\"user\":\"bob\",\"password\":\"', substr({letters}, 1, 14), '\"}}')",
+        f"concat('{{\"id\":\"', id % 1000, '\",\"api_key\":\"', substr({hexed}, 1, 24), '\"}}')",
+        f"concat(element_at(array('postgres', 'mysql', 'https', 'amqp'), CAST(id % 4 AS INT) + 1), '://admin:', substr({letters}, 1, CAST(10 + id % 12 AS INT)), '@', element_at(array('db/p', 'h1', 'a.com', 'b.org'), CAST(id % 4 AS INT) + 1))",
+        f"concat('{{\"user\":\"bob\",\"password\":\"', {name}, substr({letters}, 1, CAST(5 + id % 6 AS INT)), '\"}}')",
+        f"concat('password=', {name}, substr({letters}, 1, CAST(5 + id % 6 AS INT)))",
+        f"concat('Name=prod;AccountKey=', substr({letters}, 1, 40), '==;Port=1')",
     ]
     harmless = [
         f"concat('commit ', substr({hexed}, 1, 40))",
@@ -124,6 +152,11 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
         "concat('report2024summary', id % 100)",
         f"concat('etag \"', substr({hexed}, 1, 32), '\"')",
         f"concat({number.format(4)}, '-10-12T10:', {number.format(2)}, ':00Z')",
+        f"concat('{{\"id\":\"', {number.format(8)}, '\",\"name\":\"orange', id % 100, '\"}}')",
+        f"concat('{{\"created\":\"', {number.format(4)}, '-10-12\",\"commit\":\"', substr({hexed}, 1, 40), '\"}}')",
+        "concat('Server=db', id % 100, '.local.net;Database=reports', id % 10, ';Password=changeme', id % 100)",
+        f"concat('https://www.example.org:8080/page/', {number.format(6)}, '?item=', {number.format(8)}, '&order=', {number.format(7)})",
+        "concat('postgres://admin:password', id % 100, '@localhost:5432/reports')",
     ]
     kinds = [(x, 1) for x in secret] + [(x, 0) for x in harmless]
     core = "CASE " + " ".join(f"WHEN kind = {i} THEN {x}" for i, (x, _) in enumerate(kinds)) + " END"
