@@ -1,7 +1,7 @@
 """Secret scans with SQL expressions alone, and a random forest that removes false findings.
 
-A candidate is a value of a word with a digit, or with a key such as ``password=``, of at least 12 characters: each value
-with its key in JSON, connection strings and lists, the password of an address, and each run between quotes, brackets
+A candidate is a value of at least 6 characters, of a word of at least 12 with a digit, of a word with a key such as
+``password=``, or of one of the three words after a word that names a secret: each value with its key in JSON, connection strings and lists, the password of an address, and each run between quotes, brackets
 and separators.  Its features: length; how often the character class changes and how common its letter pairs are (character transitions);
 shares of digits, capitals and distinct characters; how much of it dictionary words cover; known issuers' beginnings;
 shapes of numbers, hashes and identifiers; words of secrecy and of harmlessness in its key, among the three words
@@ -49,14 +49,20 @@ _LOGIN = rf"""(?:{_KEY}{_JOIN})?[A-Za-z][A-Za-z0-9+.-]*://[^/?#"'<>:@]*:([^"'<>@
 _KEYED = rf"""[-$?&*.!#|~+%/\\]*({_KEY}){_JOIN}({_RUN})"""
 _PIECE = rf"{_LOGIN}|{_KEYED}|{_RUN}"
 
+#: A word that names a secret, alone or as part of a name such as DB_PASSWORD.
+_NAMES_SECRET = f"(?i)(?<![A-Za-z])(?:{_KEYS})(?![A-Za-z])"
+_HOLDS_KEY = rf"""(?i)(?:{_KEYS})[A-Za-z0-9_.-]*{_JOIN}.{{6,}}"""
+
 _CANDIDATES = f"""
-transform(array(split(coalesce(@text@, ''), '[\\\\x20\\\\x09-\\\\x0D]+')), w ->
+transform(array(split(coalesce(@text@, ''), '[\\\\x20\\\\x09-\\\\x0D]+')), w -> transform(array(transform(w, x -> length(x) >= 3 AND x RLIKE {_literal(_NAMES_SECRET)})), names ->
   transform(
-    filter(sequence(0, size(w) - 1), i -> length(w[i]) >= 12 AND (w[i] RLIKE '[0-9]' OR w[i] RLIKE '(?i)(?:{_KEYS})["'']?[=:].{{6,}}')),
+    filter(sequence(0, size(w) - 1), i -> length(w[i]) >= 6 AND (
+      length(w[i]) >= 12 AND w[i] RLIKE '[0-9]' OR w[i] RLIKE {_literal(_HOLDS_KEY)} OR w[i] RLIKE {_literal(_LOGIN)}
+      OR coalesce(get(names, i - 1), false) OR coalesce(get(names, i - 2), false) OR coalesce(get(names, i - 3), false))),
     i -> named_struct(
       'at', i, 'word', w[i],
       'before', array_join(slice(w, greatest(i - 2, 1), least(i, 3)), ' '),
-      'after', array_join(slice(w, i + 2, 2), ' '))))[0]
+      'after', array_join(slice(w, i + 2, 2), ' '))))[0])[0]
 """
 
 _PAIRS_OF_WORDS = f"""
@@ -87,7 +93,7 @@ transform(filter(@parts@, c -> length(c.value) >= 6), c -> named_struct('at', c.
   'digits_only', CAST(c.value RLIKE '^[0-9.,+()/-]+$' AS DOUBLE),
   'shaped', CAST(c.value RLIKE '^[0-9a-fA-F]{{8}}(?:-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$|^[0-9]{{1,4}}([.:/-][0-9]{{1,4}})+$|^v?[0-9]+[.][0-9]+' AS DOUBLE),
   'keyed', CAST(c.key RLIKE '(?i){_KEYS}' AS DOUBLE),
-  'near_key', CAST(c.before RLIKE '(?i)\\b(?:{_KEYS})\\b' AS DOUBLE),
+  'near_key', CAST(c.before RLIKE {_literal(_NAMES_SECRET)} AS DOUBLE),
   'harmless', CAST(concat_ws(' ', c.key, c.before, c.after) RLIKE '(?i)\\b(?:{_HARMLESS})\\b' AS DOUBLE),
   'address', CAST(c.word RLIKE '@|://|^/|[.](?:com|org|net|html)' AS DOUBLE),
   'test_path', CAST(@path@ RLIKE '(?i)test|example|sample|docs|fixture|mock' AS DOUBLE))))
@@ -110,6 +116,11 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
     number = f"substr(translate({hexed}, 'abcdef', '123456'), 1, {{}})"
     uuid = f"concat_ws('-', substr({hexed}, 1, 8), substr({hexed}, 9, 4), substr({hexed}, 13, 4), substr({hexed}, 17, 4), substr({hexed}, 21, 12))"
     word = "element_at(array('orange', 'river', 'the', 'of', 'report', 'und', 'para', 'les', 'window', 'sunrise'), CAST(pmod(xxhash64(id, {}), 10) AS INT) + 1)"
+    prose = (
+        "element_at(array('garden', 'management', 'zwischen', 'Vereinbarung', 'economics', 'histoire', 'personnes', 'ciudad', 'importante', 'recipes', 'yesterday', 'reports', 'everything', 'Gesellschaft', "
+        "'quelque', 'siempre', 'required', 'standard', 'Beteiligten', 'toujours', 'through', 'knowledge', 'trabajo', 'mystery', 'Ciónesó', 'Größenmaß', 'élémentaire', 'atención', 'Überprüfung', 'français'), CAST(pmod(xxhash64(id, {}), 30) AS INT) + 1)"
+    )
+    no_digits = f"substr(translate({letters}, '0123456789', 'kVbQmZpXtW'), 1, CAST(14 + id % 10 AS INT))"
     name = "element_at(array('hunter', 'tiger', 'moon', 'blue', 'Falcon', 'rocket', 'Coffee'), CAST(pmod(xxhash64(id, 8), 7) AS INT) + 1)"
     secret = [
         f"concat('AKIA', substr({capitals}, 1, 16))",
@@ -129,6 +140,11 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
         f"concat(element_at(array('postgres', 'mysql', 'https', 'amqp'), CAST(id % 4 AS INT) + 1), '://admin:', substr({letters}, 1, CAST(10 + id % 12 AS INT)), '@', element_at(array('db/p', 'h1', 'a.com', 'b.org'), CAST(id % 4 AS INT) + 1))",
         f"concat('{{\"user\":\"bob\",\"password\":\"', {name}, substr({letters}, 1, CAST(5 + id % 6 AS INT)), '\"}}')",
         f"concat('password=', {name}, substr({letters}, 1, CAST(5 + id % 6 AS INT)))",
+        f"concat('password: ', substr({letters}, 1, CAST(8 + id % 6 AS INT)))",
+        f"concat('pwd=', substr({letters}, 1, CAST(7 + id % 8 AS INT)))",
+        f"concat('secret: ', {no_digits})",
+        f"concat('Bearer ', {no_digits})",
+        f"concat('DB_PASSWORD: ', {name}, substr({letters}, 1, CAST(5 + id % 6 AS INT)))",
         f"concat('Name=prod;AccountKey=', substr({letters}, 1, 40), '==;Port=1')",
     ]
     harmless = [
@@ -157,12 +173,20 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
         "concat('Server=db', id % 100, '.local.net;Database=reports', id % 10, ';Password=changeme', id % 100)",
         f"concat('https://www.example.org:8080/page/', {number.format(6)}, '?item=', {number.format(8)}, '&order=', {number.format(7)})",
         "concat('postgres://admin:password', id % 100, '@localhost:5432/reports')",
+        f"concat('the secret ', {prose.format(6)}, ' ', {prose.format(7)})",
+        f"concat('password ', {prose.format(6)}, ' ', {prose.format(7)})",
+        f"concat('Private ', initcap({prose.format(6)}), ' ', {prose.format(7)})",
+        f"concat('token ', {prose.format(6)}, ', ', {number.format(6)}, ' ', {prose.format(7)}, '.')",
+        "concat('secret password: ', element_at(array('changeme', 'example', 'placeholder', 'required', 'password'), CAST(id % 5 AS INT) + 1))",
+        f"concat('auth ', upper({prose.format(6)}), ' ', {prose.format(7)}, '-', {prose.format(5)})",
     ]
     kinds = [(x, 1) for x in secret] + [(x, 0) for x in harmless]
     core = "CASE " + " ".join(f"WHEN kind = {i} THEN {x}" for i, (x, _) in enumerate(kinds)) + " END"
     rows = spark.range(n).selectExpr("id", f"CAST(pmod(id, {len(kinds)}) AS INT) AS kind")
+    # after a secret only words too short for candidates, so that its text holds one finding
+    after = lambda k: f"IF(kind < {len(secret)} AND length({word.format(k)}) >= 6, 'para', {word.format(k)})"
     return rows.selectExpr(
-        f"concat_ws(' ', {word.format(1)}, {word.format(2)}, {word.format(3)}, {core}, {word.format(4)}, {word.format(5)}) AS text",
+        f"concat_ws(' ', {word.format(1)}, {word.format(2)}, {word.format(3)}, {core}, {after(4)}, {after(5)}) AS text",
         "element_at(array('src/main', 'src3', 'docs/readme', 'tests/unit', 'crawl'), CAST(pmod(xxhash64(id, 9), 5) AS INT) + 1) AS path",
         f"CAST(kind < {len(secret)} AS INT) AS label",
     )

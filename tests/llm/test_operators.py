@@ -402,3 +402,13 @@ def test_each_value_of_a_word_is_a_candidate(spark):
     found, clean = _found_secrets(spark, [f"we saw {t} in it" for t in texts])
     assert found == list(texts.values())
     assert clean == [f"we saw {t.replace(v[0], '[SECRET]') if v else t} in it" for t, v in texts.items()]
+
+
+def test_short_and_digit_free_secrets_are_candidates(spark):
+    texts = {
+        "password: Xk9vQ2mT7bR": ["Xk9vQ2mT7bR"], "pwd=Xk9vQ2m": ["Xk9vQ2m"], "secret: qWeRtYuIoPaSdFgHj": ["qWeRtYuIoPaSdFgHj"], "Bearer AbCdEfGhXyZwQkLmNpRs": ["AbCdEfGhXyZwQkLmNpRs"], "DB_PASSWORD: Xk9vQ2mT7b": ["Xk9vQ2mT7b"],
+        "the secret garden of yesterday": [], "password manager reports everything": [], "Eine private Vereinbarung zwischen Beteiligten": [], "password: changeme": [],
+    }
+    found, clean = _found_secrets(spark, [f"we saw {t} in it" for t in texts])
+    assert found == list(texts.values())
+    assert clean == [f"we saw {t.replace(v[0], '[SECRET]') if v else t} in it" for t, v in texts.items()]
