@@ -26,7 +26,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, byte_vocabulary(), end_id=1, window=2048)
+    return packing.pack(docs, byte_vocabulary(), end_id=1, window=2048, added_tokens=True)
 
 
 STAGES = [

@@ -96,7 +96,7 @@ def plan_lengths(counts: dict[int, int], window: int) -> tuple[list[tuple], int]
     return rows, sequences
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 2048, keep_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 2048, keep_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, and with ``keep_ids`` the ids as bytes."""
 
     def cut(batches):
@@ -104,7 +104,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int =
 
         from edgeloom.llm.tokens import encoder
 
-        enc, end = encoder(tokenizer_path), end_id.to_bytes(4, "little")
+        enc, end = encoder(tokenizer_path, added_tokens), end_id.to_bytes(4, "little")
         for batch in batches:
             at, start, length, crc, total, kept = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
@@ -129,11 +129,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int =
     return map_batches(docs.select("doc_id", "text"), cut, schema)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 2048, keep_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 2048, keep_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """The pieces of ``docs`` with ``sequence_id``, ``offset`` and ``sequence_tokens`` (the sequence's length before padding)."""
     spark = docs.sparkSession
     buckets = min(max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BUCKETS)
-    cut = pieces(docs, tokenizer_path, end_id, window, keep_ids)
+    cut = pieces(docs, tokenizer_path, end_id, window, keep_ids, added_tokens)
     salt = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int")
     cut = written(cut.withColumn("bucket", salt), "pieces")
     # at most window * buckets rows, whatever the data

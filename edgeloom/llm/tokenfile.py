@@ -134,7 +134,7 @@ def decode_chunk(payload: bytes) -> list[np.ndarray]:
     return np.split(ids, np.cumsum(lengths)[:-1])
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, chunk_ids: int = CHUNK_IDS) -> None:
+def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, chunk_ids: int = CHUNK_IDS, added_tokens: bool = False) -> None:
     """Tokenises ``docs`` and writes their ids in ascending doc_id order."""
 
     def encode(batches):
@@ -143,7 +143,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, chun
 
         from edgeloom.llm.tokens import encoder
 
-        enc, end, shard = encoder(tokenizer_path), end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
+        enc, end, shard = encoder(tokenizer_path, added_tokens), end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
         names, held, size, chunk, before = [], [], 0, 0, 0
 
         def row():
@@ -195,8 +195,8 @@ def read(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFrame:
     return map_batches(rows, decode, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids)
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer_path: str, end_id: int = 0, added_tokens: bool = False) -> DataFrame:
     """Writes ``docs`` to a fresh file in the shared folder and reads it back."""
     path = fresh_folder(docs.sparkSession, "token-ids")
-    write(docs, path, tokenizer_path, end_id)
+    write(docs, path, tokenizer_path, end_id, added_tokens=added_tokens)
     return read(docs.sparkSession, path)

@@ -412,3 +412,22 @@ def test_short_and_digit_free_secrets_are_candidates(spark):
     found, clean = _found_secrets(spark, [f"we saw {t} in it" for t in texts])
     assert found == list(texts.values())
     assert clean == [f"we saw {t.replace(v[0], '[SECRET]') if v else t} in it" for t, v in texts.items()]
+
+
+def test_queries_give_the_unchanged_librarys_ids(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from edgeloom.llm import queries
+
+    unchanged, enc = Tokenizer.from_file(byte_vocabulary()), tokens.PieceEncoder(byte_vocabulary(), added_tokens=True)
+    texts = ["end of page <|endoftext|> next page", "a<|endoftext|>b c", "<|endoftext|>", "x\n<|endoftext|>\ny", "< |endoftext|> <|endoftext", "no token here"]
+    want = [unchanged.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [tokens.as_ids(enc.ids(t)).tolist() for t in texts] == want
+    docs = cases.documents(spark, rows=[(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ends = {i: (cases.crc([*ids, 1]), len(ids) + 1) for i, ids in enumerate(want)}
+    for packed in (queries.op5_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, "")):
+        assert {r["doc_id"]: (r["ids_crc32"], r["doc_tokens"]) for r in packed.collect()} == ends
+    rows = queries.op7_token_file(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["ids_crc32"], r["n_tokens"]) for r in rows} == {i: (cases.crc([*ids, 0]), len(ids) + 1) for i, ids in enumerate(want)}
