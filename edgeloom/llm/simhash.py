@@ -137,7 +137,7 @@ def links(distinct: DataFrame, radius: int = 3, tile_rows: int = TILE_ROWS) -> D
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node`` and ``root`` (the least node reachable) of every node of ``edges`` (``u``, ``v``).
 
-    Large-star and small-star rounds, each a table in the shared folder, until the edges stay the same.
+    Large-star and small-star rounds, each a table in the shared folder, until the edges stay the same; an error after ``rounds`` without that.
     """
     edges = written(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     sign, before = [F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))], None
@@ -153,6 +153,8 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").union(least.select("u", F.col("m").alias("v")))
         edges = written(small.distinct(), "small-star")
+    else:
+        raise RuntimeError(f"the components are not complete after {rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

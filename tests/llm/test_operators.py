@@ -431,3 +431,10 @@ def test_queries_give_the_unchanged_librarys_ids(spark, tmp_path):
         assert {r["doc_id"]: (r["ids_crc32"], r["doc_tokens"]) for r in packed.collect()} == ends
     rows = queries.op7_token_file(spark, str(tmp_path)).collect()
     assert {r["doc_id"]: (r["ids_crc32"], r["n_tokens"]) for r in rows} == {i: (cases.crc([*ids, 0]), len(ids) + 1) for i, ids in enumerate(want)}
+
+
+def test_components_are_complete_or_an_error(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "u bigint, v bigint")
+    with pytest.raises(RuntimeError):
+        simhash.connected(chain, rounds=2)
+    assert {(r["node"], r["root"]) for r in simhash.connected(chain).collect()} == {(i, 0) for i in range(1, 41)}
