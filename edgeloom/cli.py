@@ -6,9 +6,9 @@ import argparse
 import logging
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from edgeloom.operators import curation
+from edgeloom.operators import curation, graph, registry
 from edgeloom.operators.registry import BadAccession, EmptyRegistry
 from edgeloom.plans.flows import SOURCES, induced_template
 from edgeloom.sinks import files
@@ -32,6 +32,10 @@ def parser() -> argparse.ArgumentParser:
     edges.add_argument("--rels", required=True, help="relationships of the knowledge base (Parquet)")
     edges.add_argument("--strict", action="store_true", help="drop edges with an unmapped end")
     edges.add_argument("-o", "--output", required=True)
+    edges.add_argument("--count-read", action="store_true", help="also count the edges read, for which all rows must be read")
+    edges.add_argument("--ontology", help="also write an ontology, named connectome_*.owl, here")
+    edges.add_argument("--iri", default="http://virtualflybrain.org/data/VFB/OWL/connectome_import.owl", help="the ontology's name")
+    edges.add_argument("--missing", help="also write the neurons without an accession here (TSV)")
     tables = kinds.add_parser("curation", help="a curation table")
     tables.add_argument("--kind", choices=[*sorted(_CURATIONS), "annotations"], required=True)
     tables.add_argument("--input", required=True, help="neurons (Parquet), or annotations (TSV)")
@@ -41,12 +45,31 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def report_missing(neurons: DataFrame, path: str | None) -> None:
+    """Says how many neurons lack an accession, names the first, and writes all of them where a path is given."""
+    found = registry.summary(neurons).first()
+    log.info("%d neurons found, %d without an accession", found["total"], found["missing"])
+    if found["missing"]:
+        lacking = registry.missing(neurons)
+        for row in lacking.orderBy("neuron_id").limit(10).collect():
+            log.warning("without an accession: %s (%s)", row["neuron_id"], row["neuron_label"])
+        if path:
+            files.tsv(lacking, path, "neuron_id", "neuron_label")
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "edges":
         nodes, rels = readers.graph(spark, args.nodes, args.rels)
         table = readers.parquet(spark, args.edges, _SCHEMAS[args.kind])
-        found = induced_template(args.kind, table, nodes, rels, args.dataset, args.db, args.threshold, args.strict, order="_order")
+        report_missing(graph.registry(nodes, rels, args.dataset, args.db), args.missing)
+        counts: dict[str, Observation] = {name: Observation(name) for name in ("read",) * args.count_read + ("kept",)}
+        found = induced_template(args.kind, table, nodes, rels, args.dataset, args.db, args.threshold, args.strict, order="_order", counts=counts)
         files.template_tsv(found, args.output, "_order")
+        for name, count in counts.items():
+            log.info("%s edges: %d", name, count.get["rows"])
+        if args.ontology:
+            plain = induced_template(args.kind, table, nodes, rels, args.dataset, args.db, args.threshold, args.strict, order="_order").filter("_order = 1").drop("_order")
+            files.ontology(plain, args.ontology, args.iri)
     elif args.kind == "annotations":
         if not args.supervoxels:
             raise SystemExit("annotations need --supervoxels")

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def _times(keys: tuple[str, ...]) -> Column:
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys))
-
-
 def drop_ambiguous(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows whose key is theirs alone; null keys are equal to each other."""
-    return df.withColumn("_times", _times(keys)).filter("_times = 1").drop("_times")
+    """Rows whose key is theirs alone; null keys are equal to each other.
+
+    One aggregation, combined before the shuffle: a key of any number of rows sends one row from each task.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), F.first(row).alias("_row")).filter("_times = 1").select("_row.*")
 
 
 def ambiguous(df: DataFrame, *keys: str) -> DataFrame:
-    """Every row of a key that several rows have, with how many."""
-    return df.withColumn("times", _times(keys)).filter("times > 1")
+    """Every row of a key that several rows have, with how many; null keys are equal to each other."""
+    several = df.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(several[f"_{i}"])
+    return df.join(several, same).select(*[df[c] for c in df.columns], "times")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -46,6 +50,6 @@ def lacking(df: DataFrame, *columns: str) -> DataFrame:
     return df.filter(condition)
 
 
-def watched(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with its row count observed under ``name`` while it is used; no job of its own."""
+def watched(df: DataFrame, name: str | Observation) -> DataFrame:
+    """``df`` with its row count observed as ``rows`` while it is used; no job of its own."""
     return df.observe(name, F.count(F.lit(1)).alias("rows"))

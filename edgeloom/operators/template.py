@@ -13,6 +13,15 @@ from edgeloom.sources.schemas import TEMPLATE, columns_of
 DIRECTIVES = ("ID", "TYPE", "I 'synapsed to'", ">AT n2o:weight^^xsd:integer")
 ROW_TYPE = "owl:NamedIndividual"
 COLUMNS = columns_of(TEMPLATE)
+#: The property of the facts, and the prefixes of the names in an ontology.
+PROPERTY = "obo:RO_0002120"
+PREFIXES = {
+    "owl": "http://www.w3.org/2002/07/owl#",
+    "xsd": "http://www.w3.org/2001/XMLSchema#",
+    "obo": "http://purl.obolibrary.org/obo/",
+    "n2o": "http://neo2owl/custom/",
+    "VFB": "http://virtualflybrain.org/reports/VFB_",
+}
 
 
 def rows(edges: DataFrame, xrefs: DataFrame, strict: bool = False, keep_extra: bool = False) -> DataFrame:
@@ -39,9 +48,19 @@ def template(edges: DataFrame, xrefs: DataFrame, strict: bool = False, keep_extr
     return with_directives(rows(edges, xrefs, strict, keep_extra), order)
 
 
-def assertions(body: DataFrame) -> DataFrame:
-    """One functional-syntax line per template row with both ends: the fact with its weight as an annotation."""
+def assertions(body: DataFrame, fact: str = "'synapsed to'") -> DataFrame:
+    """One functional-syntax line per template row with both ends: the fact, by label or name, with its weight as an annotation."""
     found = body.filter("ID IS NOT NULL AND FACT IS NOT NULL")
     return found.select(
-        F.concat(F.lit('ObjectPropertyAssertion(Annotation(n2o:weight "'), "Weight", F.lit('"^^xsd:integer) \'synapsed to\' '), "ID", F.lit(" "), "FACT", F.lit(")")).alias("value")
+        F.concat(F.lit('ObjectPropertyAssertion(Annotation(n2o:weight "'), "Weight", F.lit(f'"^^xsd:integer) {fact} '), "ID", F.lit(" "), "FACT", F.lit(")")).alias("value")
     )
+
+
+def document(body: DataFrame, iri: str, prefixes: dict[str, str] = PREFIXES) -> DataFrame:
+    """The lines of an ontology: ``part`` (their order: head, declarations, assertions, end) and ``value``."""
+    spark = body.sparkSession
+    head = [*(f"Prefix({k}:=<{v}>)" for k, v in prefixes.items()), f"Ontology(<{iri}>"]
+    fixed = spark.createDataFrame([*((i, line) for i, line in enumerate(head)), (len(head), f"Declaration(ObjectProperty({PROPERTY}))"), (len(head), "Declaration(AnnotationProperty(n2o:weight))"), (len(head) + 3, ")")], "part int, value string")
+    held = body.filter("ID IS NOT NULL AND FACT IS NOT NULL")
+    individuals = held.select(F.explode(F.array("ID", "FACT")).alias("id")).distinct().select(F.lit(len(head) + 1).alias("part"), F.concat(F.lit("Declaration(NamedIndividual("), "id", F.lit("))")).alias("value"))
+    return fixed.union(individuals).union(assertions(held, PROPERTY).select(F.lit(len(head) + 2).alias("part"), "value"))

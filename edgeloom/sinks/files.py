@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from edgeloom.functions.scalars import date_stamp
 from edgeloom.operators.slices import batches
-from edgeloom.operators.template import COLUMNS, assertions
+from edgeloom.operators.template import COLUMNS, document
+from edgeloom.sources.shared import workspace, written
 
 
 def _fs(spark: SparkSession, path: str):
@@ -20,22 +21,46 @@ def _options(writer, header: bool = True):
     return writer.option("sep", "\t").option("header", header).option("quote", '"').option("escape", '"').option("emptyValue", "").option("nullValue", "")
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` with its rows on shared storage, partitions and rows in the order that they have."""
+    context = df.sparkSession.sparkContext
+    if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        context.setCheckpointDir(workspace(df.sparkSession))
+    return df.checkpoint()
+
+
+def _put(spark: SparkSession, made, path: str) -> None:
+    """The file ``made`` at ``path``; an older one there stays as ``path.old`` until the new one is in place."""
+    target, fs = _fs(spark, path)
+    old, _ = _fs(spark, path + ".old")
+    if fs.exists(target):
+        fs.delete(old, True)
+        if not fs.rename(target, old):
+            raise OSError(f"could not move the old file at {path}")
+    if not fs.rename(made, target):
+        raise OSError(f"could not put the file at {path}")
+    fs.delete(old, True)
+
+
+def _one_file(body: DataFrame, path: str, write) -> None:
+    """What ``write`` writes of ``body``'s only partition, as the file ``path``."""
+    spark, work = body.sparkSession, path + ".parts"
+    write(body.coalesce(1).write.mode("overwrite"), work)
+    source, fs = _fs(spark, work)
+    _put(spark, next(s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-")), path)
+    fs.delete(source, True)
+
+
 def tsv(df: DataFrame, path: str, *order: str, drop: tuple[str, ...] = ()) -> None:
-    """One file with a header, overwritten, its rows in the given order.
+    """One file with a header, its rows in the given order; an older file is replaced at the end.
 
-    The order is made by all tasks; only the last step, which copies sorted rows to one file, is one task.  Write
-    :func:`tsv_folder` instead where one file isn't required.
+    Rows are made once, into a table that the order's ranges are then sampled from.  All tasks sort; sorted partitions are
+    put on shared storage, and the one task that writes the file only reads them in turn.  Write :func:`tsv_folder`
+    instead where one file isn't required.
     """
-    spark, work = df.sparkSession, path + ".parts"
-    body = df.orderBy(*order) if order else df
     columns = [c for c in df.columns if c not in drop]
-    _options(body.select(*columns).coalesce(1).write.mode("overwrite")).csv(work)
-    (source, fs), (target, _) = _fs(spark, work), _fs(spark, path)
-    part = next(s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-"))
-    fs.delete(target, True)
-    if not fs.rename(part, target):
-        raise OSError(f"could not put the file at {path}")
-    fs.delete(source, True)
+    body = _checkpointed(written(df, "rows").orderBy(*order)) if order else df
+    _one_file(body.select(*columns), path, lambda writer, work: _options(writer).csv(work))
 
 
 def template_tsv(template: DataFrame, path: str, order: str) -> None:
@@ -62,12 +87,17 @@ def lines(df: DataFrame, path: str, gzip: bool = False) -> None:
     (writer.option("compression", "gzip") if gzip else writer).text(path)
 
 
-def ontology(template_rows: DataFrame, path: str, gzip: bool = True) -> None:
-    """Assertions of template rows as text; the name follows the rule ``connectome_*.owl``."""
+def ontology(template_rows: DataFrame, path: str, iri: str, gzip: bool = True) -> None:
+    """Template rows as one document in functional syntax, ``path`` or with ``gzip`` ``path.gz``.
+
+    Prefixes and the ontology's name come first, then declarations of each individual and of the property, then the
+    assertions and the closing bracket.  The name follows the rule ``connectome_*.owl``.
+    """
     name = path.rstrip("/").rsplit("/", 1)[-1]
     if not (name.startswith("connectome_") and name.endswith(".owl")):
         raise ValueError("an ontology's name must be connectome_*.owl")
-    lines(assertions(template_rows), path, gzip)
+    body = _checkpointed(written(document(template_rows, iri), "lines").orderBy("part", "value").select("value"))
+    _one_file(body, path + ".gz" * gzip, lambda writer, work: (writer.option("compression", "gzip") if gzip else writer).text(work))
 
 
 def metadata(spark: SparkSession, path: str, **fields: str) -> None:

@@ -1,6 +1,7 @@
 """Null, type and order rules of the operators on literal rows."""
 
 import datetime
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,6 +192,26 @@ def test_numbers_are_consecutive(spark):
     found = {r["k"]: r["number"] for r in slices.numbered(table, "k").collect()}
     assert found == {k: k for k in range(1000)}
     assert rows(slices.batches(table, 300, "k").groupBy("batch").count()) == [(0, 300), (1, 300), (2, 300), (3, 100)]
+    assert slices.numbered(table.limit(0), "k").columns == ["k", "number"] and slices.numbered(table.limit(0), "k").count() == 0
+
+
+def test_two_million_rows_keep_their_numbers(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        n = 2_000_000
+        table = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        found = slices.numbered(table, "k")
+        assert tuple(found.agg(F.count("payload"), F.count_if(F.col("k") != F.col("number")), F.countDistinct("number")).first()) == (n, 0, n)
+        files.chunked_tsv(table.limit(300_000), f"{tmp_path}/chunks", 50_000, "k")
+        back = spark.read.option("sep", "\t").option("header", True).csv(str(next(tmp_path.glob("chunks_*"))))
+        assert rows(back.groupBy("chunk").count()) == [(i, 50_000) for i in range(6)]
+        assert back.select("payload").distinct().count() == 300_000
+        grouped = slices.chunks_per_group(table.withColumn("g", F.when(F.col("k") % 3 == 0, "hot").when(F.col("k") < 1000, "few")), "g", 1000, "k")
+        sizes = grouped.groupBy("g", "chunk").count().groupBy("g").agg(F.count("chunk"), F.max("count"), F.min("chunk"), F.max("chunk"))
+        assert rows(sizes) == sorted([("hot", 667, 1000, 0, 666), ("few", 1, 666, 0, 0), (None, 1333, 1000, 0, 1332)], key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_envelope_and_unpivot(spark, tmp_path):
@@ -208,10 +229,18 @@ def test_files(spark, tmp_path):
     files.metadata(spark, f"{tmp_path}/m.yaml", DataSet="D", Curator="me")
     assert (tmp_path / "m.yaml").read_text() == "DataSet: D\nCurator: me\n"
     body = spark.createDataFrame([("KB:1", "owl:NamedIndividual", "KB:2", "3")], schemas.TEMPLATE)
-    files.ontology(body, f"{tmp_path}/connectome_x.owl")
-    assert spark.read.text(f"{tmp_path}/connectome_x.owl").first()[0] == "ObjectPropertyAssertion(Annotation(n2o:weight \"3\"^^xsd:integer) 'synapsed to' KB:1 KB:2)"
+    made = [
+        *(f"Prefix({k}:=<{v}>)" for k, v in sorted(template.PREFIXES.items(), key=lambda x: list(template.PREFIXES).index(x[0]))), "Ontology(<http://x/o.owl>", "Declaration(AnnotationProperty(n2o:weight))", "Declaration(ObjectProperty(obo:RO_0002120))",
+        "Declaration(NamedIndividual(KB:1))", "Declaration(NamedIndividual(KB:2))", 'ObjectPropertyAssertion(Annotation(n2o:weight "3"^^xsd:integer) obo:RO_0002120 KB:1 KB:2)', ")",
+    ]
+    for _ in range(2):  # the second replaces the first
+        files.ontology(body, f"{tmp_path}/connectome_x.owl", "http://x/o.owl")
+        assert gzip.open(tmp_path / "connectome_x.owl.gz", "rt").read().splitlines() == made
+    files.ontology(body, f"{tmp_path}/connectome_y.owl", "http://x/o.owl", gzip=False)
+    assert (tmp_path / "connectome_y.owl").read_text().splitlines() == made
+    assert not list(tmp_path.glob("*.old")) and not list(tmp_path.glob("*.parts"))
     with pytest.raises(ValueError):
-        files.ontology(body, f"{tmp_path}/x.owl")
+        files.ontology(body, f"{tmp_path}/x.owl", "http://x/o.owl")
     (tmp_path / "s.swc").write_text("# skeleton\n1 0 1.5 2 3 0.1 -1\n2 0 1 2 3 0.1 1\n")
     assert [r["parent"] for r in readers.skeletons(spark, f"{tmp_path}/s.swc").orderBy("sample").collect()] == [-1, 1]
     assert "s.swc" in {r["name"] for r in readers.artifacts(spark, str(tmp_path)).collect()}
