@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.functions.scalars import or_default, to_id
@@ -21,10 +21,20 @@ def missing(registry: DataFrame) -> DataFrame:
     return registry.filter("accession IS NULL").select(or_default(F.col("neuron_id"), "UNKNOWN").alias("neuron_id"), or_default(F.col("neuron_label"), "No label").alias("neuron_label"))
 
 
+def _tallies() -> list[Column]:
+    bad = F.col("accession").isNotNull() & to_id(F.col("accession")).isNull()
+    return [F.count(F.lit(1)).alias("total"), F.count_if(F.col("accession").isNull()).alias("missing"), F.count_if(bad).alias("malformed")]
+
+
 def summary(registry: DataFrame) -> DataFrame:
     """One row: total, missing and malformed accessions."""
-    bad = F.col("accession").isNotNull() & to_id(F.col("accession")).isNull()
-    return registry.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("accession").isNull()).alias("missing"), F.count_if(bad).alias("malformed"))
+    return registry.agg(*_tallies())
+
+
+def outcomes(registry: DataFrame, by: str) -> DataFrame:
+    """What the checks would say of each group of neurons: no accession, malformed or usable."""
+    said = F.when(F.col("total") == F.col("missing"), "no accession").when(F.col("malformed") > 0, "malformed").otherwise("usable")
+    return registry.groupBy(by).agg(*_tallies()).select(by, said.alias("outcome"))
 
 
 def malformed(registry: DataFrame) -> DataFrame:

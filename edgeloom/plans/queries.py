@@ -198,6 +198,12 @@ def batch_number(spark, d):
     return slices.batches(table(spark, d, "customer").select("c_custkey"), 100, "c_custkey").groupBy("batch").agg(F.min("c_custkey").alias("first_key"), F.count(F.lit(1)).alias("n"))
 
 
+def batch_of_items(spark, d):
+    """The batch of every line item, in an order of all its keys."""
+    held = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return slices.batches(held, 1000, *held.columns)
+
+
 def chunk_per_sample(spark, d):
     held = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     return slices.chunks_per_group(held, "c_mktsegment", 50, "c_custkey")
@@ -337,6 +343,97 @@ def preview_rows(spark, d):
     return slices.preview(supply_edges(spark, d), 5, "source", "target", "weight")
 
 
+def edge_synapses(spark, d):
+    """Single synapses between neurons of a registry, counted by pair."""
+    held = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("pre_pt_root_id"), (F.col("l_partkey") % 50).alias("post_pt_root_id"))
+    return edges.from_synapses(held, supplier_ids(spark, d), 2)
+
+
+def template_extra(spark, d):
+    """Template rows with further columns of the edges."""
+    held = supply_edges(spark, d).select("*", F.concat(F.lit("n"), F.col("weight")).alias("note"))
+    return template.rows(edges.over(held, 49), _xrefs(spark, d), strict=True, keep_extra=True)
+
+
+def site_xrefs(spark, d):
+    return mapping.xrefs_of_site(customer_graph(spark, d)[1], "BUILDING")
+
+
+def mapped_edges(spark, d):
+    """Edges under mapped ids, unmapped ends as null."""
+    return mapping.mapped(edges.over(supply_edges(spark, d), 45), _xrefs(spark, d))
+
+
+def date_stamps(spark, d):
+    days = table(spark, d, "lineitem").select(S.date_stamp(F.col("l_shipdate")).alias("stamp"))
+    return quality.value_counts(days, "stamp")
+
+
+def chunks_by_segment(spark, d):
+    return table(spark, d, "customer").groupBy("c_mktsegment").agg(S.chunks_needed(F.count(F.lit(1)), 7).alias("chunks"))
+
+
+def grid_scaled(spark, d):
+    """Whether a cell of the grid is filled, as 0 or 255."""
+    return table(spark, d, "part").select("p_partkey", S.scaled(F.col("p_size") > 25).alias("value"))
+
+
+def missing_texts(spark, d):
+    """Names of missing values become null, whatever white space surrounds them."""
+    raw = F.element_at(F.array(F.lit("NA"), F.lit(" nan "), F.lit(""), F.lit("<NA>"), F.lit("Nan"), F.col("p_name")), (F.col("p_partkey") % 6 + 1).cast("int"))
+    return table(spark, d, "part").select("p_partkey", S.na_to_null(raw).alias("value"))
+
+
+def registry_outcomes(spark, d):
+    """What each site's registry comes to: no accession at all, malformed ones, or usable."""
+    customer, nation = table(spark, d, "customer"), table(spark, d, "nation")
+    accession = F.when(F.col("c_nationkey") % 3 == 0, F.lit(None)).when((F.col("c_nationkey") % 3 == 1) & (F.col("c_custkey") % 7 == 0), F.lit("x1")).otherwise(F.col("c_custkey").cast("string"))
+    held = nation.select("n_nationkey", "n_name").join(customer, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return registry.outcomes(held.select("n_name", accession.alias("accession"), F.col("c_name").alias("neuron_id")).filter("neuron_id IS NOT NULL"), "n_name")
+
+
+def usable_ids(spark, d):
+    """Distinct ids; texts that aren't 64-bit integers are left out."""
+    raw = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(" "), F.col("user_id"), F.lit(" "))).when(F.col("event_id") % 3 == 1, F.concat(F.col("user_id"), F.lit(".5"))).otherwise(F.lit("99999999999999999999"))
+    return registry.to_ids(table(spark, d, "events").select(raw.alias("accession")))
+
+
+def local_folders(spark, d):
+    """Images at web addresses as local folders; ids that are no integers are left out."""
+    body = F.when(F.col("page_id") % 2 == 0, F.col("page_id").cast("string")).otherwise(F.concat(F.lit("b"), F.col("page_id")))
+    return artifacts.local_folders(table(spark, d, "pages").select(body.alias("body_id"), F.col("url").alias("folder")), "http://", "/data/")
+
+
+def artifact_state(spark, d):
+    """Which files each folder has, from an inventory."""
+    orders, c = table(spark, d, "orders"), F.col
+    folder = F.concat(F.lit("/images/"), c("o_custkey"))
+    name = F.element_at(F.array(F.lit("volume.swc"), F.lit("volume_man.obj"), F.lit("volume.nrrd"), F.lit("thumbnail.png")), (c("o_orderkey") % 4 + 1).cast("int"))
+    wanted = table(spark, d, "customer").select(c("c_custkey").cast("string").alias("root_id"), F.concat(F.lit("/images/"), c("c_custkey")).alias("folder"))
+    return artifacts.state(wanted, orders.select(folder.alias("folder"), name.alias("name")))
+
+
+def deletion_patterns(spark, d):
+    from edgeloom.sinks import files
+
+    return files.deletions(artifact_plan(spark, d))
+
+
+def windowed_synapses(spark, d):
+    """Synapses counted by pair and window, as the stream's plan gives them over a table at rest."""
+    from edgeloom.streaming import edges as streams
+
+    held = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 20).alias("pre"), (F.col("event_id") % 7).alias("post"))
+    found = streams.windowed_counts(held, spark.range(15).toDF("accession"), window="1 day")
+    return found.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "source", "target", "weight")
+
+
+def running_weights(spark, d):
+    from edgeloom.streaming import edges as streams
+
+    return streams.running_weights(supply_edges(spark, d), 60)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -345,6 +442,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ambiguous_report, value_counts, batch_number, chunk_per_sample, try_int_cast, registry_malformed, in_out_strength, path_query_bag, url_rewrite, voxel_occupancy, first_xref, json_envelope,
         envelope_rows, artifact_plan, matrix_unpivot, bool_checks, limit_offset, supervoxel_roots, volume_edges, nodes_limited,
         edge_pairs, edge_downstream, edge_regions, registered_images, rows_with_gaps, preview_rows,
+        edge_synapses, template_extra, site_xrefs, mapped_edges, date_stamps, chunks_by_segment, grid_scaled, missing_texts, registry_outcomes, usable_ids, local_folders, artifact_state, deletion_patterns, windowed_synapses, running_weights,
+        batch_of_items,
     )
 }
 
@@ -407,4 +506,20 @@ ORACLES: dict[str, str] = {
     "registered_images": "SELECT 'O_' || o_orderkey || '.swc' AS body_id, '/images/' || o_orderpriority AS folder FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND o_orderpriority = '1-URGENT'",
     "rows_with_gaps": "SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL OR toxic IS NULL",
     "preview_rows": f"SELECT * FROM ({_EDGES}) ORDER BY source, target, weight LIMIT 5",
+    "edge_synapses": "SELECT l_suppkey AS source, l_partkey % 50 AS target, count(*) AS weight FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AND l_partkey % 50 IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY ALL HAVING count(*) > 2",
+    "template_extra": f"SELECT replace(a.vfb_id, '_', ':') AS \"ID\", 'owl:NamedIndividual' AS \"TYPE\", replace(b.vfb_id, '_', ':') AS \"FACT\", CAST(weight AS VARCHAR) AS \"Weight\", 'n' || weight AS note FROM ({_EDGES}) e JOIN ({_XREFS}) a ON CAST(e.source AS VARCHAR) = a.accession JOIN ({_XREFS}) b ON CAST(e.target AS VARCHAR) = b.accession WHERE weight > 49",
+    "site_xrefs": "SELECT CAST(c_custkey AS VARCHAR) AS accession, 'C_' || c_custkey AS vfb_id FROM customer WHERE c_mktsegment = 'BUILDING'",
+    "mapped_edges": f"SELECT a.vfb_id AS source, b.vfb_id AS target, weight FROM ({_EDGES}) e LEFT JOIN ({_XREFS}) a ON CAST(e.source AS VARCHAR) = a.accession LEFT JOIN ({_XREFS}) b ON CAST(e.target AS VARCHAR) = b.accession WHERE weight > 45",
+    "date_stamps": "SELECT strftime(l_shipdate, '%y%m%d') AS stamp, count(*) AS n FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY stamp",
+    "chunks_by_segment": "SELECT c_mktsegment, CAST(ceil(count(*) / 7) AS BIGINT) AS chunks FROM customer GROUP BY c_mktsegment",
+    "grid_scaled": "SELECT p_partkey, CAST(CASE WHEN p_size > 25 THEN 255 ELSE 0 END AS SMALLINT) AS value FROM part",
+    "missing_texts": "SELECT p_partkey, CASE p_partkey % 6 WHEN 4 THEN 'Nan' WHEN 5 THEN p_name END AS value FROM part",
+    "registry_outcomes": "SELECT n_name, CASE WHEN n_nationkey % 3 = 0 THEN 'no accession' WHEN count(*) FILTER (WHERE n_nationkey % 3 = 1 AND c_custkey % 7 = 0) > 0 THEN 'malformed' ELSE 'usable' END AS outcome FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name, n_nationkey",
+    "usable_ids": "SELECT DISTINCT user_id AS accession FROM events WHERE event_id % 3 = 0 AND user_id IS NOT NULL",
+    "local_folders": "SELECT page_id AS body_id, f AS folder, f || '/volume.swc' AS swc_path, f || '/volume_man.obj' AS obj_path, f || '/volume.nrrd' AS nrrd_path FROM (SELECT page_id, regexp_replace(replace(url, 'http://', '/data/'), '/[^/]*$', '') AS f FROM pages WHERE page_id % 2 = 0)",
+    "artifact_state": "SELECT CAST(c_custkey AS VARCHAR) AS root_id, '/images/' || c_custkey AS folder, coalesce(bool_or(o_orderkey % 4 = 0), false) AS has_swc, coalesce(bool_or(o_orderkey % 4 = 1), false) AS has_obj, coalesce(bool_or(o_orderkey % 4 = 2), false) AS has_nrrd FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey",
+    "deletion_patterns": "SELECT '/images/' || o_orderkey AS folder, unnest(['volume*', 'thumbnail*']) AS pattern FROM orders WHERE o_orderpriority = '1-URGENT' AND (o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)",
+    "windowed_synapses": "SELECT strftime(ts, '%Y-%m-%d') AS day, user_id % 20 AS source, event_id % 7 AS target, count(*) AS weight FROM events WHERE user_id % 20 < 15 GROUP BY ALL",
+    "running_weights": f"SELECT source, target, CAST(sum(weight) AS BIGINT) AS weight FROM ({_EDGES}) GROUP BY ALL HAVING sum(weight) > 60",
+    "batch_of_items": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CAST((row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1) // 1000 AS BIGINT) AS batch FROM lineitem",
 }

@@ -1,9 +1,10 @@
 import pytest
 
-from edgeloom.plans import queries as Q
+from edgeloom.plans import queries, round_trips
 from tests.compare import connection, same
 
 SF = "/root/testdata/sf0.001"
+QUERIES, ORACLES = queries.QUERIES | round_trips.QUERIES, queries.ORACLES | round_trips.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -12,9 +13,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert Q.QUERIES.keys() == Q.ORACLES.keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    same(Q.QUERIES[name](spark, SF).toPandas(), con.sql(Q.ORACLES[name]).df())
+    same(QUERIES[name](spark, SF).toPandas(), con.sql(ORACLES[name]).df())
