@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: the workspace, table reads and held-out folds."""
+"""What the operators of this subpackage share: table reads, held-out folds and code for executors."""
 
 from __future__ import annotations
 
@@ -10,44 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def workspace(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session gets a temporary folder and any other session a folder in its
-    warehouse; a machine-local folder is never used on a cluster.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    known = getattr(context, "_edgeloom_workspace", None)
-    if known is None:
-        if context.master.startswith("local"):
-            known = "file://" + tempfile.mkdtemp(prefix="edgeloom-")
-        else:
-            known = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_edgeloom"
-        context._edgeloom_workspace = known
-    return known
-
-
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A path in the workspace that nothing has used."""
-    return f"{workspace(spark)}/edgeloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage and survives lost executors."""
-    spark, path = df.sparkSession, fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def clean_up(spark: SparkSession) -> None:
-    """Deletes what :func:`written` left for this application; its tables can't be read afterwards."""
-    jvm, path = spark.sparkContext._jvm, f"{workspace(spark)}/edgeloom/{spark.sparkContext.applicationId}"
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+from edgeloom.sources.shared import clean_up, fresh_folder, workspace, written  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def crc_fold(doc_id: Column, folds: int) -> Column:
-    """crc32 of the id as text, modulo ``folds``; null ids have a null fold."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+    """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text, whose fold is 0."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
 def ship(spark: SparkSession) -> None:
@@ -64,11 +27,11 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if getattr(context, "_edgeloom_shipped", False):
         return
-    here = Path(__file__).resolve().parent
+    top = Path(__file__).resolve().parent.parent
     file = Path(tempfile.mkdtemp(prefix="edgeloom-")) / f"edgeloom-{uuid.uuid4().hex[:8]}.zip"
     with zipfile.ZipFile(file, "w") as held:
-        for source in (here.parent / "__init__.py", *sorted(here.glob("*.py"))):
-            held.write(source, source.relative_to(here.parent.parent))
+        for source in (top / "__init__.py", *sorted((top / "sources").glob("*.py")), *sorted((top / "functions").glob("*.py")), *sorted((top / "llm").glob("*.py"))):
+            held.write(source, source.relative_to(top.parent))
     context.addPyFile(str(file))
     context._edgeloom_shipped = True
 

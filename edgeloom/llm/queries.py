@@ -11,9 +11,9 @@ from edgeloom.llm.common import crc_fold, table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt over all cores where the files alone would leave most of them idle."""
+    """The documents; where a few files would leave most cores idle, their rows are dealt over all cores in turn."""
     docs, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
-    return docs if docs.rdd.getNumPartitions() * 2 > cores else docs.repartition(cores, "doc_id")
+    return docs if docs.rdd.getNumPartitions() * 2 > cores else docs.repartition(cores)
 
 
 def byte_vocabulary() -> str:
@@ -63,7 +63,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import packing
 
-    found = packing.pack(documents(spark, sf_dir), byte_vocabulary(), end_id=1, window=2048, added_tokens=True)
+    found = packing.pack(documents(spark, sf_dir), byte_vocabulary(), end_id=1, window=2048)
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -78,7 +78,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import tokenfile
 
-    return tokenfile.round_trip(table(spark, sf_dir, "documents"), byte_vocabulary(), end_id=0, added_tokens=True)
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), byte_vocabulary(), end_id=0)
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,7 @@ def links(distinct: DataFrame, radius: int = 3, tile_rows: int = TILE_ROWS) -> D
     keyed = distinct.select("fp", sum((F.shiftleft(p + radius, _SHIFT * i) for i, p in enumerate(part)), F.lit(0).cast("long")).alias("tile"))
     # at most 17 ** 4 tile keys exist, whatever the data, so their counts may be broadcast
     counts = keyed.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / tile_rows).alias("subs"))
+    counts = written(counts, "simhash-counts")
     tiles = (
         keyed.join(F.broadcast(counts), "tile")
         .withColumn("sub", F.pmod(F.xxhash64("fp"), F.col("subs")))
@@ -114,10 +115,11 @@ def links(distinct: DataFrame, radius: int = 3, tile_rows: int = TILE_ROWS) -> D
     tiles = written(tiles, "simhash-tiles")
     left = tiles.select("tile", F.col("sub").alias("sub_a"), F.col("fps").alias("a"))
     near = F.array(*[F.lit(k).cast("long") for k in _near_keys(radius)])
-    right = tiles.select(F.col("sub").alias("sub_b"), F.col("fps").alias("b"), F.explode(near).alias("step"), "tile").select(
-        (F.col("tile") + F.col("step")).alias("tile"), "sub_b", "b", "step"
-    )
-    pairs = left.join(right, "tile").filter((F.col("step") != 0) | (F.col("sub_a") <= F.col("sub_b"))).select("a", "b")
+    # a tile goes only to neighbours that exist, once for each of their parts: no key holds more than one part's pairs
+    sent = tiles.select(F.col("sub").alias("sub_b"), F.col("fps").alias("b"), F.explode(near).alias("step"), "tile").withColumn("tile", F.col("tile") + F.col("step"))
+    sent = sent.join(F.broadcast(counts), "tile").select("tile", "sub_b", "b", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs") - 1)).alias("sub_a"))
+    right = sent.filter((F.col("step") != 0) | (F.col("sub_a") <= F.col("sub_b")))
+    pairs = left.join(right, ["tile", "sub_a"]).select("a", "b")
 
     def compare(batches):
         import pyarrow as pa

@@ -3,7 +3,7 @@
 The vocabulary's pattern never lets a token cross from a non-space character into a single space or newline that
 another non-space character follows.  So a text whose only white space is such single characters is encoded piece
 by piece, and the library sees each piece once per worker (a bounded cache).  Any other text, and one that holds an
-added token's string, goes to the library whole.  Both ways give the same ids; ``tests/llm/test_tokens.py`` compares them.
+added token's string, goes to the library whole.  Both ways give the same ids; ``tests/llm/test_operators.py`` compares them.
 """
 
 from __future__ import annotations
@@ -53,13 +53,12 @@ class _Generations(dict):
 
 
 class PieceEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes; with ``added_tokens`` as the library gives them by default."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, as the library gives them by default: added tokens' strings are those tokens."""
 
-    def __init__(self, tokenizer_path: str, cache_pieces: int = CACHE_PIECES, added_tokens: bool = False):
+    def __init__(self, tokenizer_path: str, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = not added_tokens  # without, their strings in a text are ordinary text
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.tokenize = self.tokenizer.model.tokenize
@@ -106,9 +105,9 @@ class PieceEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(tokenizer_path: str, added_tokens: bool = False) -> PieceEncoder:
+def encoder(tokenizer_path: str) -> PieceEncoder:
     """One encoder for each worker process and vocabulary."""
-    return PieceEncoder(tokenizer_path, added_tokens=added_tokens)
+    return PieceEncoder(tokenizer_path)
 
 
 def as_ids(data: bytes) -> np.ndarray:

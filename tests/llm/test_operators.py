@@ -28,9 +28,7 @@ def held(docs):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(byte_vocabulary())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(byte_vocabulary())
 
 
 def bag(rows):
@@ -420,7 +418,7 @@ def test_queries_give_the_unchanged_librarys_ids(spark, tmp_path):
     import corpus_pipeline
     from edgeloom.llm import queries
 
-    unchanged, enc = Tokenizer.from_file(byte_vocabulary()), tokens.PieceEncoder(byte_vocabulary(), added_tokens=True)
+    unchanged, enc = Tokenizer.from_file(byte_vocabulary()), tokens.PieceEncoder(byte_vocabulary())
     texts = ["end of page <|endoftext|> next page", "a<|endoftext|>b c", "<|endoftext|>", "x\n<|endoftext|>\ny", "< |endoftext|> <|endoftext", "no token here"]
     want = [unchanged.encode(t, add_special_tokens=False).ids for t in texts]
     assert [tokens.as_ids(enc.ids(t)).tolist() for t in texts] == want
