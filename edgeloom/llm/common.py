@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.sources.shared import clean_up, fresh_folder, workspace, written  # noqa: F401
+from edgeloom.sources.shared import clean_up, forget, fresh_folder, workspace, written  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

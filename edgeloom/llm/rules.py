@@ -1,20 +1,25 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule is a share of a document (symbols, repeated lines, ...) with a cutoff; a document is rejected where a
-share is over its cutoff.  The cutoffs are chosen on a labelled holdout so that, in every stratum, each rule falsely
-rejects at most ``alpha`` of the good documents, all of these at once with probability ``1 - delta``:
-
-* the null hypothesis of a cutoff is "in this stratum it rejects over ``alpha`` of the good documents"; its p-value
-  is the exact binomial probability of as few rejected good documents as seen, or fewer (the Clopper-Pearson bound
-  is at most ``alpha`` just where that is at most the level);
-* within a rule and stratum, cutoffs are tested from mild to strict and testing stops at the first that isn't
-  rejected (fixed-sequence testing), each at level ``delta / (rules * strata)`` (Bonferroni);
-* of the cutoffs that pass, the one with the most rejected bad documents less ``cost`` per rejected good document is
-  taken, the mildest of equals.
-
-A stratum with too few labels gets no cutoff and loses nothing.  Defined cases: null text has no words and fails the
-base rules, as does empty text; a null stratum is a stratum; rows without a label only get decisions; repeated rows
-each get a decision, and a document's label counts once for each of its rows; extra columns are ignored.
+Each rule is a share of a document (symbols, repeated lines, ...) with a cutoff; a document is rejected where a share is
+over its cutoff.  The cutoffs are chosen on labelled documents so that, in every stratum, all rules together falsely
+reject at most ``alpha`` of the good documents, in all strata at once with probability ``1 - delta``:
+
+1. The labelled texts are split in two by their hashes; a text counts once, however many rows hold it.
+2. The first half gives each stratum a ladder of rule sets from mild to strict.  A rung allows each rule a share of good
+   documents to reject, and gives it the cutoff that rejects most bad documents for it (less ``cost`` a good one).
+3. On the second half the rungs are tested from mild to strict.  The null hypothesis of a rung is "its rules together
+   reject over ``alpha`` of the stratum's good documents"; its p-value is the exact binomial probability of as few
+   rejected good documents as seen, or fewer (the Clopper-Pearson bound is at most ``alpha`` just where that is at most
+   the level).  Testing stops at the first rung that isn't rejected (fixed sequence), at level ``delta / strata``
+   (Bonferroni over the strata).  Of the rungs that pass, the one with the most rejected bad documents less ``cost`` a
+   good one is taken, the mildest of equals.
+
+The rungs depend on the first half alone, so the tests on the second half are exact.  Near copies are not told apart and
+count as texts of their own.  A stratum with too few labels gets no cutoff and loses nothing.
+
+Defined cases: null text has no words and fails the base rules, as does empty text; a null stratum is a stratum; rows
+without a label only get decisions; of conflicting labels of an id, or of rows of one text, the least counts; repeated
+rows each get a decision; extra columns are ignored; without labels or rows there are no cutoffs.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.llm.common import map_batches, written
+from edgeloom.llm.common import map_batches, ship, written
 
 SYMBOLS = b"#*$%&|<>"
 RULES = ("symbols", "dup_lines", "repeat_words", "shouting", "exclaiming", "stutter")
@@ -34,6 +39,10 @@ _SHARES = (("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_w
 #: Cutoffs from mild to strict.
 GRID = (*(round(0.95 - 0.05 * i, 2) for i in range(19)), 0.04, 0.03, 0.025, 0.02, 0.015, 0.01, 0.0075, 0.005)
 ALPHA, DELTA, COST = 0.01, 0.1, 10.0
+#: Good documents that a rung allows one rule to reject, as shares of ``alpha``.
+RUNGS = (0.0, *(round(0.05 * i, 2) for i in range(1, 21)))
+#: A cutoff that nothing is over.
+_NEVER = 2.0
 _UPPER = bytes(range(65, 91))
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_stutter")
 
@@ -79,20 +88,22 @@ def _count_symbols(raw: bytes) -> int:
     return len(raw) - len(raw.translate(None, SYMBOLS))
 
 
-def counts(docs: DataFrame, stratum: str | None = "lang") -> DataFrame:
-    """doc_id, stratum and the numbers of :data:`_COUNTS` for each row."""
+def counted(docs: DataFrame, stratum: str | None = "lang", keep: bool = False) -> DataFrame:
+    """doc_id, text_key (a hash of the text), stratum and the numbers of :data:`_COUNTS` for each row, and with ``keep`` the row itself."""
 
     def scan(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = np.array([text_counts(t.as_py()) for t in batch.column(2)], np.int64).reshape(batch.num_rows, len(_COUNTS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(found[:, i]) for i in range(len(_COUNTS)))], names=["doc_id", "stratum", *_COUNTS])
+            found = np.array([text_counts(t.as_py()) for t in batch.column(3)], np.int64).reshape(batch.num_rows, len(_COUNTS))
+            held = [batch.column(i) for i in (0, 1, 2, *([4] if keep else []))]
+            yield pa.RecordBatch.from_arrays([*held, *(pa.array(found[:, i]) for i in range(len(_COUNTS)))], names=["doc_id", "text_key", "stratum", *["row"] * keep, *_COUNTS])
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     group = F.col(stratum).cast("string") if stratum else F.lit("all")
-    rows = docs.select("doc_id", F.coalesce(group, F.lit("(none)")).alias("stratum"), "text")
-    return map_batches(rows, scan, f"doc_id {id_type}, stratum string, " + ", ".join(f"{c} long" for c in _COUNTS))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.coalesce(group, F.lit("(none)")).alias("stratum"), "text", *row)
+    schema = [f"doc_id {rows.schema['doc_id'].dataType.simpleString()}", "text_key long", "stratum string", *([f"row {rows.schema['row'].dataType.simpleString()}"] if keep else []), *(f"{c} long" for c in _COUNTS)]
+    return map_batches(rows, scan, ", ".join(schema))
 
 
 def shares() -> dict[str, F.Column]:
@@ -114,77 +125,96 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.fsum(math.exp(top - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * log_p + (n - i) * log_q) for i in range(k + 1)))
 
 
-def choose_cutoffs(tallies: dict[tuple[str, str], list[tuple[int, int]]], alpha: float = ALPHA, delta: float = DELTA, cost: float = COST) -> dict[tuple[str, str], float]:
-    """The cutoff of each (stratum, rule) that has one.
+def ladder(cells: dict[str, list[tuple[int, int]]], alpha: float = ALPHA, cost: float = COST) -> list[list[float]]:
+    """The cutoffs of each rung, by rule; ``cells`` has each rule's good and bad documents of the first half by grid interval.
 
-    ``tallies`` gives, for each grid interval from over the mildest cutoff on down to under the strictest, the good
-    and bad documents of the holdout in it.
+    Interval 0 is over the mildest cutoff, the last one under the strictest.
     """
-    strata = {s for s, _ in tallies}
-    level = delta / max(1, len(strata) * len(RULES))
-    found = {}
-    for key, cells in tallies.items():
-        n_good = sum(g for g, _ in cells)
-        good = bad = 0
-        best, at = 0.0, None
-        for cutoff, (g, b) in zip(GRID, cells, strict=False):
-            good, bad = good + g, bad + b
-            if good > alpha * n_good or binomial_tail(good, n_good, alpha) > level:
-                break
-            if bad - cost * good > best:
-                best, at = bad - cost * good, cutoff
-        if at is not None:
-            found[key] = at
-    return found
-
-
-def fit_cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, cost: float = COST) -> dict[tuple[str, str], float]:
-    """Cutoffs from documents that pass the base rules and have a quality label; all such documents count."""
+    rungs = []
+    for allowed in RUNGS:
+        cutoffs = []
+        for rule in RULES:
+            tally = cells.get(rule, [])
+            n_good, good, bad, best, at = sum(g for g, _ in tally), 0, 0, 0.0, _NEVER
+            for cutoff, (g, b) in zip(GRID, tally, strict=False):
+                good, bad = good + g, bad + b
+                if good > allowed * alpha * n_good:
+                    break
+                if bad - cost * good > best:
+                    best, at = bad - cost * good, cutoff
+            cutoffs.append(min(at, rungs[-1][len(cutoffs)]) if rungs else at)
+        rungs.append(cutoffs)
+    return rungs
+
+
+def choose_rung(tally: list[tuple[int, int]], strata: int, alpha: float = ALPHA, delta: float = DELTA, cost: float = COST) -> int | None:
+    """The rung that is taken, or None; ``tally`` has the good and bad documents of the second half by the first rung that rejects them, and those that none does."""
+    n_good, good, bad, best, at = sum(g for g, _ in tally), 0, 0, 0.0, None
+    for rung, (g, b) in enumerate(tally[:-1]):
+        good, bad = good + g, bad + b
+        if good > alpha * n_good or binomial_tail(good, n_good, alpha) > delta / max(1, strata):
+            break
+        if bad - cost * good > best:
+            best, at = bad - cost * good, rung
+    return at
+
+
+def fit_cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, cost: float = COST) -> DataFrame:
+    """``stratum`` and ``cutoffs`` (by rule) of each stratum that has any, from all labelled texts that pass the base rules."""
     marks = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)").groupBy("label_id").agg(F.min("quality").alias("quality"))
-    held = counted.filter(~base_failed()).join(marks, F.col("doc_id") == F.col("label_id"))
-    over = lambda share: F.aggregate(F.array(*map(F.lit, GRID)), F.lit(0), lambda n, cut: n + (share <= cut).cast("int"))
-    cells = F.array(*[F.struct(F.lit(rule).alias("rule"), over(share).alias("cell")) for rule, share in shares().items()])
-    rows = held.select("stratum", "quality", F.explode(cells).alias("x")).groupBy("stratum", "x.rule", "x.cell").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
-    tallies: dict[tuple[str, str], list[tuple[int, int]]] = {}
-    for r in rows.collect():  # strata * rules * cutoffs at most
-        tallies.setdefault((r["stratum"], r["rule"]), [(0, 0)] * (len(GRID) + 1))[r["cell"]] = (r["good"], r["bad"])
-    return choose_cutoffs(tallies, alpha, delta, cost)
+    share = F.array(*[x.alias(r) for r, x in shares().items()])
+    rows = found.filter(~base_failed()).select("doc_id", "text_key", "stratum", share.alias("shares")).join(marks, F.col("doc_id") == F.col("label_id"))
+    # shares follow from the text, so any row's will do
+    texts = rows.groupBy("stratum", "text_key").agg(F.min("quality").alias("quality"), F.first("shares").alias("shares"))
+    texts = written(texts.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "text_key"), F.lit(2))), "labelled-texts")
+    strata = texts.select("stratum").distinct().count()
+    tallied = [F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")]
+    under = lambda x: F.aggregate(F.array(*map(F.lit, GRID)), F.lit(0), lambda n, cut: n + (x <= cut).cast("int"))
+    cells = F.transform("shares", lambda x, i: F.struct(i.alias("rule"), under(x).alias("cell")))
+    first = texts.filter("half = 0").select("stratum", "quality", F.inline(cells)).groupBy("stratum", "rule", "cell").agg(*tallied)
+    ship(found.sparkSession)
+
+    def climb(key, frame):
+        import pandas as pd
+
+        tallies: dict[str, list[tuple[int, int]]] = {}
+        for r in frame.itertuples():  # rules * intervals at most
+            tallies.setdefault(RULES[r.rule], [(0, 0)] * (len(GRID) + 1))[r.cell] = (r.good, r.bad)
+        return pd.DataFrame([(key[0], ladder(tallies, alpha, cost))], columns=["stratum", "rungs"])
+
+    rungs = written(first.groupBy("stratum").applyInPandas(climb, "stratum string, rungs array<array<double>>"), "rungs")
+    rejects = lambda cuts: F.exists(F.arrays_zip(F.col("shares").alias("share"), cuts.alias("cut")), lambda x: x["share"] > x["cut"])
+    milder = F.size(F.filter("rungs", lambda cuts: ~rejects(cuts)))  # rungs only get stricter
+    second = texts.filter("half = 1").join(rungs, "stratum").select("stratum", "quality", milder.alias("rung")).groupBy("stratum", "rung").agg(*tallied)
+
+    def choose(key, left, right):
+        import pandas as pd
+
+        tally = [(0, 0)] * (len(RUNGS) + 1)
+        for r in left.itertuples():
+            tally[r.rung] = (r.good, r.bad)
+        at = choose_rung(tally, strata, alpha, delta, cost)
+        return pd.DataFrame([] if at is None else [(key[0], list(right["rungs"].iloc[0][at]))], columns=["stratum", "cutoffs"])
+
+    chosen = second.groupBy("stratum").cogroup(rungs.groupBy("stratum")).applyInPandas(choose, "stratum string, cutoffs array<double>")
+    return written(chosen, "cutoffs")
+
+
+def _judged(found: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """``found`` with base_failed, rejected_by (rules) and kept."""
+    cuts = cutoffs.select(F.col("stratum").alias("cut_stratum"), "cutoffs")
+    over = [F.when(x > F.get("cutoffs", F.lit(i)), F.lit(rule)) for i, (rule, x) in enumerate(shares().items())]
+    joined = found.join(cuts, F.col("stratum") == F.col("cut_stratum"), "left").withColumn("base_failed", base_failed()).withColumn("rejected_by", F.array_compact(F.array(*over)))
+    return joined.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("cut_stratum", "cutoffs")
 
 
 def verdicts(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA, cost: float = COST) -> DataFrame:
-    """doc_id, the base numbers, base_failed, kept, and the rules that rejected the document, for each row."""
-    counted = written(counts(docs, stratum), "rule-counts")
-    cutoffs = fit_cutoffs(counted, labels, alpha, delta, cost)
-    share = shares()
-    broken = [F.when((F.col("stratum") == s) & (share[rule] > cut), F.lit(rule)) for (s, rule), cut in sorted(cutoffs.items())]
-    rejected = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
-    return counted.select("doc_id", "stratum", *_COUNTS, base_failed().alias("base_failed"), rejected.alias("rejected_by")).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)
-    )
-
-
-def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep; a rejected row never takes another row of its id with it."""
-    counted_cuts = fit_cutoffs(written(counts(docs, stratum), "rule-counts"), labels)
-    names, schema = docs.columns, docs.schema
-    at_text, at_group = names.index("text"), names.index(stratum)
-    cuts: dict[str, dict[str, float]] = {}
-    for (s, rule), cut in counted_cuts.items():
-        cuts.setdefault(s, {})[rule] = cut
-
-    def sieve(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            mask = [keeps(text_counts(t.as_py()), cuts.get("(none)" if g.as_py() is None else str(g.as_py()), {})) for t, g in zip(batch.column(at_text), batch.column(at_group), strict=True)]
-            yield batch.filter(pa.array(mask, pa.bool_()))
-
-    return map_batches(docs, sieve, schema)
+    """doc_id, stratum, the numbers of :data:`_COUNTS`, base_failed, kept, and the rules that rejected the document, for each row."""
+    found = written(counted(docs, stratum), "rule-counts")
+    return _judged(found, fit_cutoffs(found, labels, alpha, delta, cost)).select("doc_id", "stratum", *_COUNTS, "base_failed", "rejected_by", "kept")
 
 
-def keeps(found: tuple[int, ...], cuts: dict[str, float]) -> bool:
-    """The verdict of :func:`verdicts` for one document's counts."""
-    c = dict(zip(_COUNTS, found, strict=True))
-    if c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]:
-        return False
-    return not any(c[b] and c[a] / c[b] > cuts[rule] for rule, (a, b) in zip(RULES, _SHARES, strict=True) if rule in cuts)
+def keep_good(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA, cost: float = COST) -> DataFrame:
+    """The rows of ``docs`` that the rules keep; each row is judged by itself, and texts are read once."""
+    found = written(counted(docs, stratum, keep=True), "counted-rows")
+    return _judged(found, fit_cutoffs(found, labels, alpha, delta, cost)).filter("kept").select("row.*")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgeloom.llm.common import map_batches, written
+from edgeloom.llm.common import forget, map_batches, written
 
 SEED = 42
 PARTS = 4
@@ -154,7 +154,8 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = written(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").union(least.select("u", F.col("m").alias("v")))
-        edges = written(small.distinct(), "small-star")
+        old, edges = edges, written(small.distinct(), "small-star")
+        forget(old, large)
     else:
         raise RuntimeError(f"the components are not complete after {rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -179,16 +180,18 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     return _first_of_each(docs, components(docs, shingle, radius))
 
 
+def _row_keys(doc_id, text_key) -> list:
+    """Columns ``row_id`` and ``row_key`` that are equal just where ids (null is an id) and text hashes are."""
+    return [F.concat(F.when(doc_id.isNull(), "none").otherwise("id "), F.coalesce(doc_id.cast("string"), F.lit(""))).alias("row_id"), text_key.alias("row_key")]
+
+
 def _first_of_each(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """The row of ``docs`` with the smallest id, then text hash, of each ``root`` of ``marked``."""
-    columns = docs.columns
+    """The row of ``docs`` with the smallest id, then text hash, of each ``root`` of ``marked``; of rows equal in both, one."""
     first = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"))
-    keys = first.select(F.col("first.doc_id").alias("keep_id"), F.col("first.text_key").alias("keep_key"))
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_key"))
-    kept = held.join(keys, held.row_id.eqNullSafe(keys.keep_id) & (held.row_key == keys.keep_key), "left_semi")
-    # of rows that are equal in both, one stays
-    nth = F.row_number().over(Window.partitionBy("row_id", "row_key").orderBy("row_key"))
-    return kept.withColumn("nth", nth).filter("nth = 1").select("row.*")
+    keys = first.select(*_row_keys(F.col("first.doc_id"), F.col("first.text_key")))
+    held = docs.select(*_row_keys(F.col("doc_id"), F.xxhash64("text")), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # both steps are on the same keys, so texts are shuffled once
+    return held.join(keys, ["row_id", "row_key"], "left_semi").groupBy("row_id", "row_key").agg(F.first("row").alias("row")).select("row.*")
 
 
 #: Bits in which wide fingerprints of texts with a Jaccard similarity of 0.8 may differ: 39 of 256 are expected, 48 for sets
@@ -196,6 +199,8 @@ def _first_of_each(docs: DataFrame, marked: DataFrame) -> DataFrame:
 WIDE_RADIUS = 75
 _WIDE_HALF = 48  # the same for the first 128 bits: 19 to 24 expected, with a deviation of about four
 WIDE_TILE_ROWS = 16_384
+#: Least hashes of a shingle set in a key, and keys: of 10 million pairs at 0.8 about one has no key in common.
+KEY_HASHES, KEYS = 5, 40
 #: Shingles of the texts that one verification holds on either side, about; each text counts as 200 more.
 VERIFIED_SHINGLES = 200_000
 _MIXES = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -225,6 +230,23 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return words
 
 
+def set_keys(hashes: np.ndarray) -> np.ndarray:
+    """``KEYS`` numbers; two sets share each with the probability of their similarity to the power of ``KEY_HASHES``."""
+    n = KEYS * KEY_HASHES
+    factors = (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        mixed = hashes[at : at + 1024, None] * factors
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        np.minimum(least, mixed.min(0), out=least)
+    keys = np.zeros(KEYS, np.uint64)
+    for part in least.reshape(KEYS, KEY_HASHES).T:
+        keys = (keys ^ part) * np.uint64(0xBF58476D1CE4E5B9)
+        keys ^= keys >> np.uint64(31)
+    return keys ^ np.arange(KEYS, dtype=np.uint64) * np.uint64(0x94D049BB133111EB)
+
+
 def wide_links(a: np.ndarray, b: np.ndarray, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Rows of ``a`` and of ``b`` (four words each) within the radius."""
     found, step = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], max(1, (1 << 18) // max(1, len(b)))
@@ -266,48 +288,55 @@ def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int,
 
 
 def _set_rows(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, text_key, node (a hash of the shingle set), n (its size) and f0 to f3 of each row."""
+    """doc_id, text_key, node (a hash of the shingle set), n (its size), f0 to f3 and keys of each row."""
 
     def scan(batches):
         import pyarrow as pa
 
         for batch in batches:
-            nodes, sizes, words = [], [], np.zeros((batch.num_rows, 4), np.uint64)
+            nodes, sizes, words, keys = [], [], np.zeros((batch.num_rows, 4), np.uint64), np.zeros((batch.num_rows, KEYS), np.uint64)
             for i, text in enumerate(batch.column(1)):
                 hashes = shingle_set(text.as_py(), shingle)
                 nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
                 sizes.append(len(hashes))
-                words[i] = wide_fingerprint(hashes)
+                words[i], keys[i] = wide_fingerprint(hashes), set_keys(hashes)
             columns = [np.array(nodes, np.uint64).view(np.int64), np.array(sizes, np.int64), *(np.ascontiguousarray(words[:, k]).view(np.int64) for k in range(4))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, columns)], names=["doc_id", "text_key", "node", "n", "f0", "f1", "f2", "f3"])
+            lists = pa.ListArray.from_arrays(np.arange(0, batch.num_rows * KEYS + 1, KEYS, dtype=np.int32), pa.array(keys.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, columns), lists], names=["doc_id", "text_key", "node", "n", "f0", "f1", "f2", "f3", "keys"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), scan, f"doc_id {id_type}, text_key long, node long, n long, f0 long, f1 long, f2 long, f3 long")
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), scan, f"doc_id {id_type}, text_key long, node long, n long, f0 long, f1 long, f2 long, f3 long, keys array<bigint>")
+
+
+def _with_roots(roots: DataFrame) -> DataFrame:
+    """``node`` and ``root`` of all nodes that have links, roots included."""
+    return roots.union(roots.select(F.col("root").alias("node"), "root")).distinct()
 
 
-def _candidate_links(nodes: DataFrame, similarity: float, tile_rows: int) -> DataFrame:
-    """Links ``u < v`` between nodes, with the components of all links within the wide radius whose sizes allow the similarity.
+def _groups_by_keys(nodes: DataFrame) -> DataFrame:
+    """Links ``u``, ``v`` from each node to the least one that shares a key with it."""
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    least = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("most")).filter("v != most").select("key", "v")
+    return keyed.join(least, "key").select(F.col("node").alias("u"), "v")
 
-    A tile holds sets of sizes within a factor of ``similarity``; similar sets lie in the same tile or in neighbours.
+
+def _paired(placed: DataFrame, held: str) -> DataFrame:
+    """The values of ``held`` of each pair of blocks of a root (i <= j), as one list; ``placed`` has root, block and blocks."""
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    pairs = placed.select("root", "block", held, other).select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), held)
+    return pairs.groupBy("root", "i", "j").agg(F.collect_list(held).alias(held)).select(held)
+
+
+def _candidate_links(nodes: DataFrame, members: DataFrame, tile_rows: int) -> DataFrame:
+    """Links ``u < v`` with the components of all links within the wide radius, inside the groups of ``members`` (node, root).
+
+    A group is cut into tiles, and every two of its tiles are compared.
     """
-    size = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / float(-np.log(similarity) * (1 + 1e-6))).cast("long")
-    keyed = nodes.select("node", "f0", "f1", "f2", "f3", size.alias("tile"))
-    # sizes of texts give a few dozen tiles, whatever the data
-    subs = {r["tile"]: r["subs"] for r in keyed.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / tile_rows).alias("subs")).collect()}
-    if not subs:
-        return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
-    number = F.create_map(*[F.lit(x) for pair in subs.items() for x in pair])
-    sub = F.pmod(F.xxhash64("node"), F.coalesce(number[F.col("tile")], F.lit(1)))
-    tiles = keyed.withColumn("sub", sub).groupBy("tile", "sub").agg(F.collect_list(F.array("node", "f0", "f1", "f2", "f3")).alias("rows"))
-    tiles = written(tiles.select("tile", "sub", F.flatten("rows").alias("rows")), "wide-tiles")
-    ids = lambda tile: F.when(number[tile].isNotNull(), F.sequence(F.lit(0).cast("long"), number[tile] - 1)).otherwise(F.array().cast("array<bigint>"))
-    t, s = F.col("tile"), F.col("sub")
-    meets = F.concat(
-        F.transform(ids(t), lambda o: F.struct(t.alias("ta"), F.least(s, o).alias("sa"), t.alias("tb"), F.greatest(s, o).alias("sb"))),
-        F.transform(ids(t + 1), lambda o: F.struct(t.alias("ta"), s.alias("sa"), (t + 1).alias("tb"), o.alias("sb"))),
-        F.transform(ids(t - 1), lambda o: F.struct((t - 1).alias("ta"), o.alias("sa"), t.alias("tb"), s.alias("sb"))),
-    )
-    pairs = tiles.select(F.explode(meets).alias("pair"), "rows").groupBy("pair").agg(F.collect_list("rows").alias("sides")).select("sides")
+    held = members.join(nodes.select("node", "f0", "f1", "f2", "f3"), "node")
+    blocks = held.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("long").alias("blocks"))
+    placed = held.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    tiles = placed.groupBy("root", "block", "blocks").agg(F.flatten(F.collect_list(F.array("node", "f0", "f1", "f2", "f3"))).alias("rows"))
+    pairs = _paired(written(tiles, "wide-tiles"), "rows")
 
     def compare(batches):
         import pyarrow as pa
@@ -332,10 +361,12 @@ def _candidate_links(nodes: DataFrame, similarity: float, tile_rows: int) -> Dat
 
 def _verified_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, shingle: int, similarity: float, most: int) -> DataFrame:
     """Links with the components of all pairs of at least this similarity, within the groups of ``members`` (node, root)."""
-    wanted = written(members.join(nodes, "node").select("node", "root", "n", "text_key"), "near-members")
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-    blocks = wanted.groupBy("root").agg(F.ceil(F.sum(F.col("n") + 200) / most).cast("long").alias("blocks"))
-    placed = wanted.join(blocks, "root").join(texts, "text_key").select("root", "node", "text", F.greatest("blocks", F.lit(1)).alias("blocks"))
+    held = members.join(nodes, "node").select("node", "root", "n", "text_key")
+    blocks = held.groupBy("root").agg(F.ceil(F.sum(F.col("n") + 200) / most).cast("long").alias("blocks"))
+    wanted = held.join(blocks, "root").select("text_key", "root", "node", F.greatest("blocks", F.lit(1)).alias("blocks"))
+    # copies of a text are one before the shuffle
+    texts = docs.groupBy(F.xxhash64("text").alias("text_key")).agg(F.first("text").alias("text"))
+    placed = texts.join(wanted, "text_key").select("root", "node", "blocks", "text")
 
     def spell(batches):
         import pyarrow as pa
@@ -344,11 +375,8 @@ def _verified_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, shing
             sets = pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in batch.column(3)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), sets], names=["root", "node", "blocks", "hashes"])
 
-    spelled = map_batches(placed.select("root", "node", "blocks", "text"), spell, "root long, node long, blocks long, hashes binary")
-    spelled = spelled.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    other = F.explode(F.expr("sequence(0L, blocks - 1)"))
-    pairs = spelled.withColumn("other", other).select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.struct("node", "hashes").alias("held"))
-    pairs = pairs.groupBy("root", "i", "j").agg(F.collect_list("held").alias("held")).select("held")
+    spelled = map_batches(placed, spell, "root long, node long, blocks long, hashes binary")
+    pairs = _paired(spelled.select("root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.struct("node", "hashes").alias("held")), "held")
 
     def verify(batches):
         import pyarrow as pa
@@ -369,17 +397,20 @@ def _verified_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, shing
 def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tile_rows: int = WIDE_TILE_ROWS, most: int = VERIFIED_SHINGLES) -> DataFrame:
     """``doc_id``, ``text_key`` and ``root`` of each row: the same root where a chain of texts of at least this Jaccard similarity links them.
 
-    Candidates are the pairs within ``WIDE_RADIUS`` bits of 256; exact similarities of their shingle sets decide.  Texts without
-    words are alike; with fewer words than a shingle has, the whole sequence is the one shingle.
+    Texts meet in groups of sets that share a key, which grow with the copies and not with the square of all texts; in a
+    group, fingerprints are compared in tiles, candidates being the pairs within ``WIDE_RADIUS`` bits of 256; exact
+    similarities of their shingle sets decide.  Texts without words are alike; with fewer words than a shingle has, the
+    whole sequence is the one shingle.
     """
     if similarity < 0.8:
         raise ValueError("the radius is made for similarities of at least 0.8")
     rows = written(_set_rows(docs, shingle), "shingle-sets")
-    nodes = rows.groupBy("node").agg(F.min("text_key").alias("text_key"), *[F.first(c).alias(c) for c in ("n", "f0", "f1", "f2", "f3")])
+    nodes = rows.groupBy("node").agg(F.min("text_key").alias("text_key"), *[F.first(c).alias(c) for c in ("n", "f0", "f1", "f2", "f3", "keys")])
     nodes = written(nodes, "distinct-sets")
-    near = connected(_candidate_links(nodes, similarity, tile_rows))
-    members = near.union(near.select(F.col("root").alias("node"), "root")).distinct()
-    roots = connected(_verified_links(docs, nodes.select("node", "n", "text_key"), members, shingle, similarity, most))
+    members = written(_with_roots(connected(_groups_by_keys(nodes))), "groups")
+    near = written(_with_roots(connected(_candidate_links(nodes, members, tile_rows))), "near-members")
+    roots = connected(_verified_links(docs, nodes.select("node", "n", "text_key"), near, shingle, similarity, most))
+    forget(nodes, members, near)
     return rows.join(roots, "node", "left").select("doc_id", "text_key", F.coalesce("root", "node").alias("root"))
 
 

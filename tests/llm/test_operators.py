@@ -159,18 +159,87 @@ def test_rules_numbers_and_cutoffs(docs, held, spark):
     assert bag((r["doc_id"],) for r in kept.collect()) == Counter((r["doc_id"],) for r in rows if r["kept"])
 
 
-def test_cutoffs_control_the_risk():
+def test_ladder_and_rungs():
     cells = len(rules.GRID) + 1
     clean = [(0, 50)] * 5 + [(0, 0)] * (cells - 6) + [(2000, 10)]
-    assert rules.choose_cutoffs({("en", "symbols"): clean})["en", "symbols"] == rules.GRID[4]
-    mixed = [(400, 50)] + [(0, 0)] * (cells - 2) + [(600, 0)]
-    assert not rules.choose_cutoffs({("en", "symbols"): mixed})
-    few = [(0, 5)] + [(0, 0)] * (cells - 2) + [(30, 0)]
-    assert not rules.choose_cutoffs({("en", "symbols"): few})
+    found = rules.ladder({"symbols": clean})
+    assert all(r == [rules.GRID[4], *[2.0] * 5] for r in found) and len(found) == len(rules.RUNGS)
+    some = [(0, 10), (1, 90)] + [(0, 0)] * (cells - 3) + [(999, 0)]
+    strict = [r[0] for r in rules.ladder({"symbols": some})]
+    assert strict[0] == rules.GRID[0] and strict[-1] == rules.GRID[1] and strict == sorted(strict, reverse=True)
+    none = [(0, 0)] * (len(rules.RUNGS) - 1)
+    assert rules.choose_rung([(0, 50), *none, (2000, 10)], 4) == 0
+    assert rules.choose_rung([(400, 50), *none, (600, 0)], 4) is None
+    assert rules.choose_rung([(0, 5), *none, (30, 0)], 4) is None  # too few to tell
     assert rules.binomial_tail(0, 10, 0.5) == pytest.approx(0.5**10) and rules.binomial_tail(3, 3, 0.1) == 1.0
     assert rules.binomial_tail(2, 5, 0.3) == pytest.approx(0.83692)
 
 
+def test_false_rejections_stay_under_alpha():
+    """Where every rung's true risk is known, a rung with too much risk is taken in at most delta of the draws."""
+    import numpy as np
+
+    rng, strata, draws, wrong = np.random.default_rng(8), 4, 1500, 0
+    risk = np.linspace(0.002, 0.03, len(rules.RUNGS))  # of all rules of a rung together
+    steps = np.append(np.diff(risk, prepend=0), 1 - risk[-1])
+    for _ in range(draws):
+        bad = False
+        for _ in range(strata):
+            good = rng.multinomial(1500, steps)
+            at = rules.choose_rung([(int(g), 400) for g in good], strata)
+            bad = bad or (at is not None and risk[at] > rules.ALPHA)
+        wrong += bad
+    assert wrong / draws <= rules.DELTA
+
+
+def test_rules_against_brute_force(spark):
+    """Verdicts on labelled rows with copies, against the same steps over plain lists."""
+    import random
+
+    rng, rows, marks = random.Random(3), [], []
+    for i in range(3000):
+        quality = int(rng.random() < 0.8)
+        noise = "" if quality and rng.random() < 0.999 else "### $$$ !!! " * rng.randint(0, 9)
+        rows.append((i, cases.prose(rng.randint(15, 60), i % 2700) + " " + noise, ["en", "de", None][i % 3 if i % 5 else 0], "s", 0))
+        marks.append((i, quality, 0))
+    docs = cases.documents(spark, rows=rows).repartition(5)
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    got = {r["doc_id"]: (r["kept"], list(r["rejected_by"])) for r in rules.verdicts(docs, labels).collect()}
+    keys = {r["doc_id"]: (r["k"], r["h"]) for r in docs.select("doc_id", F.xxhash64("text").alias("k"), F.pmod(F.xxhash64(F.lit("half"), F.xxhash64("text")), F.lit(2)).alias("h")).collect()}
+    held, quality = {}, dict((i, q) for i, q, _ in marks)
+    share = {}
+    for i, text, lang, *_ in rows:
+        c = dict(zip(rules._COUNTS, rules.text_counts(text), strict=True))
+        share[i] = [c[a] / c[b] if c[b] else 0.0 for a, b in rules._SHARES]
+        base = c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]
+        share[i] = None if base else share[i]
+        if not base:
+            key = (lang or "(none)", keys[i][0])
+            held[key] = (min(quality[i], held.get(key, (1,))[0]), share[i], keys[i][1])
+    cuts, strata = {}, {s for s, _ in held}
+    for s in strata:
+        cells = {r: [(0, 0)] * (len(rules.GRID) + 1) for r in rules.RULES}
+        for (t, _), (q, x, h) in held.items():
+            if t == s and h == 0:
+                for r, v in zip(rules.RULES, x, strict=True):
+                    k = sum(v <= cut for cut in rules.GRID)
+                    g, b = cells[r][k]
+                    cells[r][k] = (g + q, b + 1 - q)
+        rungs = rules.ladder(cells)
+        tally = [(0, 0)] * (len(rungs) + 1)
+        for (t, _), (q, x, h) in held.items():
+            if t == s and h == 1:
+                k = sum(all(v <= cut for v, cut in zip(x, rung, strict=True)) for rung in rungs)
+                tally[k] = (tally[k][0] + q, tally[k][1] + 1 - q)
+        at = rules.choose_rung(tally, len(strata))
+        cuts[s] = None if at is None else rungs[at]
+    assert cuts["en"] is not None
+    for i, _, lang, *_ in rows:
+        broken = [] if cuts[lang or "(none)"] is None or share[i] is None else [r for r, v, cut in zip(rules.RULES, share[i], cuts[lang or "(none)"], strict=True) if v > cut]
+        assert got[i][0] == (share[i] is not None and not broken), i
+        assert share[i] is None or got[i][1] == broken
+
+
 @pytest.mark.parametrize("most", [decontam.MOST_BROADCAST, 0])
 def test_decontamination(docs, held, spark, most):
     bench = cases.benchmark(spark)
