@@ -37,11 +37,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage and survives lost executors."""
     spark, path = df.sparkSession, fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._edgeloom_path = path
+    return found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`written` gave and nothing reads any more."""
+    for table in tables:
+        _delete(table.sparkSession, table._edgeloom_path)
 
 
 def clean_up(spark: SparkSession) -> None:
     """Deletes what :func:`written` left for this application; its tables can't be read afterwards."""
-    jvm, path = spark.sparkContext._jvm, f"{workspace(spark)}/edgeloom/{spark.sparkContext.applicationId}"
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _delete(spark, f"{workspace(spark)}/edgeloom/{spark.sparkContext.applicationId}")
