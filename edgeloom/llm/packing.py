@@ -6,8 +6,8 @@ from long to short and puts each into the open sequence with the tightest remain
 the counts of pieces by length, of which there are at most ``window``: sequences with the same room are one run, a
 segment tree indexed by remaining capacity finds the tightest run that fits, and a whole run is filled at a time.
 The plan, whose size depends on ``window`` and not on the data, says for the ``rank``-th piece of a length which
-sequence and offset it gets.  Ranks are counted in salted buckets, so a length that a third of all pieces share is
-spread over many tasks.
+sequence and offset it gets.  Ranks of frequent lengths are counted in buckets, so a length that a third of all pieces
+share is spread over many tasks; pieces are dealt to buckets by a number of their own, so repeated rows are spread too.
 
 A sequence is padded to ``window`` unless its length is a power of two.
 
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from edgeloom.llm.common import map_batches, written
 
-#: Salts of a length: as many as shuffle partitions, between these.
-BUCKETS, MOST_BUCKETS = 64, 1024
+#: Pieces of one length in a bucket, about, and buckets beyond one for each length, at most.
+BUCKET_ROWS, MOST_BUCKETS = 20_000, 8192
 
 
 class CapacityTree:
@@ -129,16 +129,17 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int =
     return map_batches(docs.select("doc_id", "text"), cut, schema)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 2048, keep_ids: bool = False) -> DataFrame:
-    """The pieces of ``docs`` with ``sequence_id``, ``offset`` and ``sequence_tokens`` (the sequence's length before padding)."""
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 2048, keep_ids: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The pieces of ``docs`` with ``sequence_id``, ``offset`` and with ``keep_ids`` the ids."""
     spark = docs.sparkSession
-    buckets = min(max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BUCKETS)
-    cut = pieces(docs, tokenizer_path, end_id, window, keep_ids)
-    salt = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int")
-    cut = written(cut.withColumn("bucket", salt), "pieces")
-    # at most window * buckets rows, whatever the data
-    sizes = written(cut.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    cut = written(pieces(docs, tokenizer_path, end_id, window, keep_ids).withColumn("spread", F.monotonically_increasing_id()), "pieces")
+    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # window rows at most
+    # only frequent lengths are cut into buckets: window + MOST_BUCKETS rows at most, whatever the data
+    each = max(bucket_rows, -(-sum(counts.values()) // MOST_BUCKETS))
+    buckets = spark.createDataFrame([(k, -(-n // each)) for k, n in counts.items()], "length long, buckets long")
+    salt = F.pmod(F.xxhash64("spread"), F.col("buckets"))
+    salted = cut.join(F.broadcast(buckets), "length").withColumn("bucket", salt).drop("buckets")
+    sizes = written(salted.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     rows, _ = plan_lengths(counts, window)
     by_length: dict[int, list[tuple]] = {}
     for row in rows:
@@ -159,25 +160,26 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 20
             keep = [i for i, n in enumerate(batch.schema.names) if n != "rank"]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(sequence), pa.array(offset)], names=[*(batch.schema.names[i] for i in keep), "sequence_id", "offset"])
 
-    order = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")
+    order = Window.partitionBy("length", "bucket").orderBy("spread")
     running = F.sum("n").over(Window.partitionBy("length").orderBy("bucket"))
     base = F.broadcast(sizes.select("length", "bucket", (running - F.col("n")).alias("base")))
-    ranked = cut.withColumn("nth", F.row_number().over(order) - 1).join(base, ["length", "bucket"]).withColumn("rank", F.col("base") + F.col("nth"))
-    names = [c for c in cut.columns if c != "bucket"]
+    ranked = salted.withColumn("nth", F.row_number().over(order) - 1).join(base, ["length", "bucket"]).withColumn("rank", F.col("base") + F.col("nth"))
+    names = [c for c in cut.columns if c != "spread"]
     ranked = ranked.select(*names, "rank")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank") + ", sequence_id long, offset long"
     return map_batches(ranked, place, schema)
 
 
 def sequences(packed: DataFrame, window: int = 2048, pad_id: int = 0) -> DataFrame:
-    """The sequences of a packing made with ``keep_ids``: sequence_id, n_tokens and padded ids (little-endian unsigned 32 bit).
+    """The sequences of a packing made with ``keep_ids``: sequence_id, n_tokens, padded ids (little-endian unsigned 32 bit) and pieces.
 
-    A sequence has at most ``window`` pieces, so each group is bounded.
+    ``pieces`` says what each part is: offset, length, doc_id and start.  A sequence has at most ``window`` pieces, so each
+    group is bounded.
     """
-    whole = packed.groupBy("sequence_id").agg(
-        F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"), F.sum("length").alias("n_tokens")
-    )
+    part = F.struct("offset", "length", "doc_id", "start", "ids")
+    whole = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(part)).alias("parts"), F.sum("length").alias("n_tokens"))
     data = F.aggregate("parts", F.lit(b""), lambda done, x: F.concat(done, x["ids"]))
     full = F.when(F.expr("bit_count(n_tokens)") == 1, 0).otherwise(window - F.col("n_tokens")).cast("int")
     pad = F.unhex(F.repeat(F.lit(pad_id.to_bytes(4, "little").hex()), full))
-    return whole.select("sequence_id", "n_tokens", F.concat(data, pad).alias("ids"))
+    named = F.transform("parts", lambda x: F.struct(x["offset"].alias("offset"), x["length"].alias("length"), x["doc_id"].alias("doc_id"), x["start"].alias("start")))
+    return whole.select("sequence_id", "n_tokens", F.concat(data, pad).alias("ids"), named.alias("pieces"))

@@ -14,7 +14,7 @@ least that holds a given percentile of the block's values; the rest are exceptio
 
 Chunks lie in ascending doc_id order: rows of ``shard`` (the range partition) and ``chunk``, with the ids before
 the chunk in its shard.  Defined cases: null text is empty and holds the end id alone; null ids come first; repeated
-rows are all stored, those of one id ordered by text; an empty table is an empty file; extra columns are ignored.
+rows are all stored, those of one id ordered by the hash of their text; an empty table is an empty file; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -166,8 +166,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, chun
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["doc_id", "text"]
-    ranged = docs.select(*order).repartitionByRange(n, "doc_id").sortWithinPartitions(*order)
+    # rows of one id are spread by their texts' hashes, and equal rows, whose order says nothing, by their numbers
+    order = ["doc_id", "text_key", "spread"]
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.monotonically_increasing_id().alias("spread"))
+    ranged = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
     map_batches(ranged, encode, f"shard int, chunk int, before long, n_ids long, doc_ids array<{id_type}>, payload binary").write.parquet(path)
 
 

@@ -43,7 +43,7 @@ def test_pieces_give_the_librarys_ids(tokenizer):
 
 
 def test_packing_keeps_every_id_once(docs, held, tokenizer):
-    packed = packing.pack(docs, byte_vocabulary(), end_id=1, window=64, keep_ids=True)
+    packed = packing.pack(docs, byte_vocabulary(), end_id=1, window=64, keep_ids=True, bucket_rows=7)
     rows = packed.collect()
     want = Counter()
     for d, t in held:
@@ -67,6 +67,7 @@ def test_packing_keeps_every_id_once(docs, held, tokenizer):
         data = b"".join(p[2] for p in parts)
         n = len(data) // 4
         assert n == r["n_tokens"]
+        assert [(x["offset"], x["length"]) for x in r["pieces"]] == [p[:2] for p in parts]
         pad = 0 if n & (n - 1) == 0 else 64 - n
         assert bytes(r["ids"]) == data + (7).to_bytes(4, "little") * pad
 
@@ -102,7 +103,8 @@ def test_token_file_round_trip(docs, held, tokenizer, spark, tmp_path):
     path = f"file://{tmp_path}/ids"
     tokenfile.write(docs, path, byte_vocabulary(), end_id=0, chunk_ids=500)
     rows = tokenfile.read(spark, path, keep_ids=True).orderBy("start").collect()
-    order = sorted(held, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode("utf-8", "surrogatepass")))
+    keys = {r["text"]: r["k"] for r in docs.select("text", F.xxhash64("text").alias("k")).collect()}
+    order = sorted(held, key=lambda r: (r[0] is not None, r[0] or 0, keys[r[1]]))
     start = 0
     for r, (d, t) in zip(rows, order, strict=True):
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [0]
@@ -494,8 +496,14 @@ def test_queries_give_the_unchanged_librarys_ids(spark, tmp_path):
     docs = cases.documents(spark, rows=[(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     ends = {i: (cases.crc([*ids, 1]), len(ids) + 1) for i, ids in enumerate(want)}
-    for packed in (queries.op5_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, "")):
-        assert {r["doc_id"]: (r["ids_crc32"], r["doc_tokens"]) for r in packed.collect()} == ends
+    packed = queries.op5_packing(spark, str(tmp_path))
+    assert {r["doc_id"]: (r["ids_crc32"], r["doc_tokens"]) for r in packed.collect()} == ends
+    found = {}
+    for r in corpus_pipeline.pack(spark, docs, "").collect():
+        assert len(r["ids"]) in (4 * 2048, 4 * r["n_tokens"]) and r["pieces"][-1]["offset"] + r["pieces"][-1]["length"] == r["n_tokens"]
+        ids = tokens.as_ids(bytes(r["ids"])).tolist()
+        found |= {x["doc_id"]: ids[x["offset"] : x["offset"] + x["length"]] for x in r["pieces"]}
+    assert found == {i: [*ids, 1] for i, ids in enumerate(want)}
     rows = queries.op7_token_file(spark, str(tmp_path)).collect()
     assert {r["doc_id"]: (r["ids_crc32"], r["n_tokens"]) for r in rows} == {i: (cases.crc([*ids, 0]), len(ids) + 1) for i, ids in enumerate(want)}
 
