@@ -26,7 +26,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, byte_vocabulary(), end_id=1, window=2048)
+    """The training sequences: sequence_id, n_tokens, ids (padded to 2048 with id 0, except at a power of two) and where each piece comes from."""
+    packed = packing.pack(docs, byte_vocabulary(), end_id=1, window=2048, keep_ids=True)
+    return packing.sequences(packed, window=2048, pad_id=0)
 
 
 STAGES = [
