@@ -7,10 +7,13 @@ Probabilities are fitted by expectation maximisation: a forward-backward pass co
 segmentations that use it.
 
 Words of equal length go through the passes together as arrays, and a worker keeps the words it has seen (bounded).
-Fitting takes about ``FIT_DOCS`` documents per language, those with the least hashes; prediction reads every whole text.
+Runs of over ``TOGETHER`` letters, as scripts without blanks have, go one by one through the same passes in logarithms, so
+that no product of probabilities is too small; no run is cut, whatever its length.  Fitting takes at most ``FIT_DOCS``
+texts per language, those with the least hashes, as counts of words made on executors; prediction reads every whole text.
 
 Defined cases: null text and text without a letter are ``und`` with score 0; rows with null language teach nothing;
-without any language to learn every text is ``und``; repeated rows each get a prediction; extra columns are ignored.
+without any language to learn every text is ``und``; a null id is predicted like any other; repeated rows teach once and
+each get a prediction; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,16 +22,18 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeloom.llm.common import map_batches
 
-#: Documents per language that probabilities are fitted on, about.
+#: Texts per language that probabilities are fitted on, at most.
 FIT_DOCS = 250
 ROUNDS = 3
-#: Letters of a word that are scored together, few enough for products of probabilities; longer runs are cut.
-LONGEST = 40
+#: Letters of the longest words that go through the passes together, few enough for products of probabilities.
+TOGETHER = 40
+#: Places of a long run whose pieces are looked up at a time.
+_PLACES = 1 << 14
 MARK = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 300_000
@@ -45,11 +50,8 @@ def vocabulary(model_path: str) -> list[str]:
 
 
 def text_words(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased, long ones in parts."""
-    found = _LETTERS.findall((text or "").lower())
-    if max(map(len, found), default=0) > LONGEST:
-        found = [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
-    return found
+    """Runs of letters, lower-cased."""
+    return _LETTERS.findall((text or "").lower())
 
 
 class Pieces:
@@ -61,7 +63,7 @@ class Pieces:
     BASE, SLOTS = np.uint64(0x9E3779B97F4A7C15), 1 << 20
 
     def __init__(self, pieces: list[str]):
-        self.n = len(pieces)
+        self.n, self.longest = len(pieces), max(map(len, pieces), default=1)
         known: dict[int, int] = {}
         mask, base = 0xFFFFFFFFFFFFFFFF, int(self.BASE)
         for i, p in enumerate(pieces):
@@ -120,6 +122,25 @@ class Pieces:
         return spans
 
 
+    def places(self, word: str):
+        """For blocks of places of a word: the first place, and the piece number of each span by place and length (``n`` for none, ``n + 1`` for an unknown letter)."""
+        points = np.frombuffer((MARK + word).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+        for base in range(0, len(points), _PLACES):
+            rows = np.arange(base, min(base + _PLACES, len(points)))
+            ids, h, first = np.full((len(rows), self.longest), self.n, np.int64), np.zeros(len(rows), np.uint64), base
+            for k in range(self.longest):
+                inside = rows + k < len(points)
+                rows, h = rows[inside], h[inside]
+                if not len(rows):
+                    break
+                h = (h + points[rows + k]) * self.BASE
+                entry = self.find(h)
+                found = np.where(entry >= 0, self.ids[entry], self.n)
+                ids[rows - first, k] = np.where(found == self.n, self.n + 1, found) if k == 0 else found
+                rows, h = rows[entry >= 0], h[entry >= 0]
+            yield base, ids
+
+
 def by_length(words) -> list[list[str]]:
     groups: dict[int, list[str]] = {}
     for w in words:
@@ -154,17 +175,53 @@ def expected_counts(spans, length: int, counts: np.ndarray, table: np.ndarray) -
     return used
 
 
-def fit(texts: dict[str, list[str]], pieces: Pieces, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
-    """The languages, and the probability of each piece (and of an unknown letter) in each."""
-    languages = sorted(texts)
+def log_forward(word: str, pieces: Pieces, logs: np.ndarray) -> np.ndarray:
+    """Logarithms of :func:`forward`'s last row, for one word of any length; ``logs`` is that of the table."""
+    pending = np.full((pieces.longest + 1, logs.shape[1]), -np.inf)  # sums that reach the places after this one
+    pending[0] = 0.0
+    for _, ids in pieces.places(word):
+        for row in ids:
+            spans = np.flatnonzero(row != pieces.n)
+            here = pending[0]
+            pending = np.concatenate([pending[1:], np.full((1, logs.shape[1]), -np.inf)])
+            pending[spans] = np.logaddexp(pending[spans], here + logs[row[spans]])
+    return pending[0]
+
+
+def log_expected_counts(word: str, count: float, pieces: Pieces, logs: np.ndarray) -> np.ndarray:
+    """:func:`expected_counts` of one word of any length; ``logs`` has one column."""
+    ids = np.concatenate([x for _, x in pieces.places(word)])
+    n, p, longest = len(ids), logs[:, 0], pieces.longest
+    alpha, beta = np.full(n + longest + 1, -np.inf), np.full(n + longest + 1, -np.inf)
+    alpha[0], beta[n] = 0.0, 0.0
+    spans = [np.flatnonzero(row != pieces.n) for row in ids]
+    for t in range(n):
+        ends = t + 1 + spans[t]
+        alpha[ends] = np.logaddexp(alpha[ends], alpha[t] + p[ids[t, spans[t]]])
+    for t in range(n - 1, -1, -1):
+        beta[t] = np.logaddexp.reduce(p[ids[t, spans[t]]] + beta[t + 1 + spans[t]])
+    starts = np.repeat(np.arange(n), [len(x) for x in spans])
+    lengths = np.concatenate(spans)
+    used = ids[starts, lengths]
+    return np.bincount(used, count * np.exp(alpha[starts] + p[used] + beta[starts + 1 + lengths] - alpha[n]), len(p))
+
+
+def fit(words: dict[str, dict[str, int]], pieces: Pieces, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
+    """The languages, and the probability of each piece (and of an unknown letter) in each, from counts of words."""
+    languages = sorted(words)
     table = np.zeros((pieces.n + 2, len(languages)))
     for k, language in enumerate(languages):
-        counted = Counter(w for t in texts[language] for w in text_words(t))
-        groups = [(pieces.lattice(g), len(g[0]) + 1, np.array([counted[w] for w in g], np.float64)) for g in by_length(counted)]
+        counted = words[language]
+        long = sorted(w for w in counted if len(w) > TOGETHER)
+        groups = [(pieces.lattice(g), len(g[0]) + 1, np.array([counted[w] for w in g], np.float64)) for g in by_length(w for w in counted if len(w) <= TOGETHER)]
         p = np.full((pieces.n + 2, 1), 1.0 / (pieces.n + 2))
         p[pieces.n] = 0
         for _ in range(rounds):
             used = sum((expected_counts(*g, p) for g in groups), np.zeros(pieces.n + 2))
+            with np.errstate(divide="ignore"):
+                logs = np.log(p)
+            for w in long:
+                used += log_expected_counts(w, counted[w], pieces, logs)
             used[pieces.n] = 0
             p[:, 0] = (used + 0.05) / (used.sum() + 0.05 * (pieces.n + 1))
             p[pieces.n] = 0
@@ -177,6 +234,8 @@ class Scorer:
 
     def __init__(self, pieces: Pieces, table: np.ndarray):
         self.pieces, self.table = pieces, table
+        with np.errstate(divide="ignore"):
+            self.logs = np.log(table)
         self.forget()
 
     def forget(self) -> None:
@@ -199,9 +258,15 @@ class Scorer:
 
     def texts(self, texts: list[list[str]]) -> list[np.ndarray]:
         """The log-likelihoods of each text's words, by language."""
-        self.learn({w for words in texts for w in words})
-        rows, find = self.rows[0], self.at.__getitem__
-        return [rows[np.fromiter(map(find, words), np.int64, len(words))].sum(0) for words in texts]
+        self.learn({w for words in texts for w in words if len(w) <= TOGETHER})
+        rows, find, out = self.rows[0], self.at.__getitem__, []
+        for words in texts:
+            short = [w for w in words if len(w) <= TOGETHER]
+            total = rows[np.fromiter(map(find, short), np.int64, len(short))].sum(0)
+            for w, n in Counter(w for w in words if len(w) > TOGETHER).items() if len(short) < len(words) else ():
+                total = total + n * log_forward(w, self.pieces, self.logs)
+            out.append(total)
+        return out
 
 
 def predict(docs: DataFrame, model_path: str, languages: list[str], table: np.ndarray) -> DataFrame:
@@ -239,21 +304,31 @@ def predict(docs: DataFrame, model_path: str, languages: list[str], table: np.nd
     return map_batches(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """language, word and how often it occurs."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = Counter(text_words(text))
+                yield pa.RecordBatch.from_arrays([pa.array([language] * len(found), pa.string()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["language", "word", "n"])
+
+    return map_batches(texts.select("language", "text"), run, "language string, word string, n long").groupBy("language", "word").agg(F.sum("n").alias("n"))
+
+
 def train(docs: DataFrame, model_path: str, allowed: Column, per_language: int = FIT_DOCS) -> tuple[list[str], np.ndarray]:
-    """Fits on rows that ``allowed`` allows, about ``per_language`` of each language, picked by the hash of their id."""
-    usable = docs.select("doc_id", "text", F.col("lang").alias("language")).filter(allowed & F.col("language").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["language"]: r["n"] for r in usable.groupBy("language").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pieces = Pieces(vocabulary(model_path))
-    if not sizes:
-        return [], np.zeros((pieces.n + 2, 0))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    rate = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(1_000_000 * min(1.0, per_language / n))))])
-    # distinct texts: a group of copies teaches once
-    rows = usable.filter(draw < rate[F.col("language")]).select("language", "text").distinct().orderBy("language", "text").collect()
-    texts: dict[str, list[str]] = {}
-    for r in rows:
-        texts.setdefault(r["language"], []).append(r["text"])
-    return fit(texts, pieces)
+    """Fits on rows that ``allowed`` allows: at most ``per_language`` texts of each language, those with the least hashes; copies are one text."""
+    usable = docs.select("doc_id", "text", F.col("lang").cast("string").alias("language"), F.xxhash64("text").alias("text_key")).filter(allowed & F.col("language").isNotNull() & F.col("text").isNotNull())
+    first = Window.partitionBy("language").orderBy(F.xxhash64("text_key"))
+    keys = usable.select("language", "text_key").distinct().withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
+    chosen = keys.select(F.col("language").alias("chosen_language"), F.col("text_key").alias("chosen_key"))
+    texts = usable.join(chosen, (F.col("language") == F.col("chosen_language")) & (F.col("text_key") == F.col("chosen_key"))).groupBy("language", "text_key").agg(F.first("text").alias("text"))
+    pieces, words = Pieces(vocabulary(model_path)), {}
+    for r in _word_counts(texts).orderBy("language", "word").collect():
+        words.setdefault(r["language"], {})[r["word"]] = r["n"]
+    return fit(words, pieces) if words else ([], np.zeros((pieces.n + 2, 0)))
 
 
 def identify(docs: DataFrame, model_path: str, allowed: Column) -> DataFrame:

@@ -6,9 +6,10 @@ repeats the one before, one for a line break.  Counts are scaled to unit length,
 of their sparse dot product with the weights.
 
 The weights are fitted on the driver from at most ``FIT_ROWS`` labelled documents, those with the least hashes of
-their ids; every document is scored by its whole text.  Defined cases: null and empty text have no features and get
-the bias alone; without labels every score is 0.5; with conflicting labels of one id the least counts; repeated rows
-each get a score; extra columns are ignored.
+their ids; executors make the features, so no text goes to the driver.  Every document is scored by its whole text.
+Defined cases: null and empty text have no features and get the bias alone; a null id has no label and is scored like
+any other; without labels every score is 0.5; with conflicting labels of one id the least counts; repeated rows each get
+a score; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -61,20 +62,26 @@ def features(text: str | None, size: int = SIZE) -> tuple[np.ndarray, np.ndarray
     return at.astype(np.int64), n / np.sqrt((n.astype(np.float64) ** 2).sum())
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, most: int) -> list[tuple[str | None, int]]:
-    """(text, label) of the documents of at most ``most`` labelled ids, those with the least hashes; ``allowed`` is over ``doc_id``."""
-    ids = (
-        labels.filter(allowed & F.col(label).isin(0, 1))
-        .groupBy("doc_id")
-        .agg(F.min(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(most)
-    )
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, most: int) -> DataFrame:
+    """label_id, label and text of at most ``most`` labelled ids, those with the least hashes; ``allowed`` is over ``doc_id``."""
+    ids = labels.filter(allowed & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     chosen = ids.select(F.col("doc_id").alias("label_id"), "label")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))  # ``most`` rows at most
     # repeated rows of an id would lift the bound, so one of each id is taken
-    held = rows.groupBy("label_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
-    return [(r["text"], r["label"]) for r in held.orderBy("label_id").collect()]
+    return rows.groupBy("label_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+
+
+def sample_features(sample: DataFrame, size: int = SIZE) -> DataFrame:
+    """label_id, label, at and x of each row of a labelled sample."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [features(t.as_py(), size) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a for a, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.float64()))], names=["label_id", "label", "at", "x"])
+
+    return map_batches(sample.select("label_id", "label", "text"), run, f"label_id {sample.schema['label_id'].dataType.simpleString()}, label int, at array<bigint>, x array<double>")
 
 
 def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray, float], size: int = SIZE) -> DataFrame:
@@ -96,8 +103,8 @@ def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray, float], size:
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "quality", most: int = FIT_ROWS, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, float]:
-    sample = labelled_sample(docs, labels, label, allowed, most)
-    examples = [(*features(text, size), float(y), 1.0) for text, y in sample]
+    rows = sample_features(labelled_sample(docs, labels, label, allowed, most), size).orderBy("label_id").collect()
+    examples = [(np.array(r["at"], np.int64), np.array(r["x"], np.float64), float(r["label"]), 1.0) for r in rows]
     return fit(examples, size, epochs=3, alpha=0.8, l1=0.2, l2=0.1)
 
 

@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from edgeloom.llm.common import map_batches, ship, written
 
 SYMBOLS = b"#*$%&|<>"
-RULES = ("symbols", "dup_lines", "repeat_words", "shouting", "exclaiming", "stutter")
+RULES = ("symbols", "dup_lines", "repeat_words", "shouting", "exclaiming", "stutter", "brevity")
 #: What each rule divides.
-_SHARES = (("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"), ("n_upper", "word_chars"), ("n_exclaim", "word_chars"), ("n_stutter", "n_words"))
+_SHARES = (("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"), ("n_upper", "word_chars"), ("n_exclaim", "word_chars"), ("n_stutter", "n_words"), ("n_lacking", "20"))
 #: Cutoffs from mild to strict.
 GRID = (*(round(0.95 - 0.05 * i, 2) for i in range(19)), 0.04, 0.03, 0.025, 0.02, 0.015, 0.01, 0.0075, 0.005)
 ALPHA, DELTA, COST = 0.01, 0.1, 10.0
@@ -44,7 +44,7 @@ RUNGS = (0.0, *(round(0.05 * i, 2) for i in range(1, 21)))
 #: A cutoff that nothing is over.
 _NEVER = 2.0
 _UPPER = bytes(range(65, 91))
-_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_stutter")
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_stutter", "n_lacking")
 
 
 def repeated_windows(ids: np.ndarray, width: int = 8) -> int:
@@ -74,14 +74,14 @@ def text_counts(text: str | None) -> tuple[int, ...]:
     words = raw.split()
     n = len(words)
     if not n:
-        return (0, 0, _count_symbols(raw), 0, 0, 0, 0, 0, 0)
+        return (0, 0, _count_symbols(raw), 0, 0, 0, 0, 0, 0, 20)
     joined = b"".join(words)
     chars = len(joined) if joined.isascii() else len(joined.decode("utf-8", "surrogatepass"))
     seen: dict[bytes, int] = {}
     ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=n)
     lines = [x for x in raw.split(b"\n") if x.strip()]
     shouted = len(joined) - len(joined.translate(None, _UPPER))
-    return (n, chars, _count_symbols(raw), len(lines) - len(set(lines)), repeated_windows(ids), len(lines), shouted, joined.count(b"!"), int((ids[1:] == ids[:-1]).sum()))
+    return (n, chars, _count_symbols(raw), len(lines) - len(set(lines)), repeated_windows(ids), len(lines), shouted, joined.count(b"!"), int((ids[1:] == ids[:-1]).sum()), max(0, 20 - n))
 
 
 def _count_symbols(raw: bytes) -> int:
@@ -159,11 +159,11 @@ def choose_rung(tally: list[tuple[int, int]], strata: int, alpha: float = ALPHA,
     return at
 
 
-def fit_cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, cost: float = COST) -> DataFrame:
-    """``stratum`` and ``cutoffs`` (by rule) of each stratum that has any, from all labelled texts that pass the base rules."""
+def fit_cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, cost: float = COST, base: bool = True) -> DataFrame:
+    """``stratum`` and ``cutoffs`` (by rule) of each stratum that has any, from all labelled texts, with ``base`` of those that pass the base rules."""
     marks = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)").groupBy("label_id").agg(F.min("quality").alias("quality"))
     share = F.array(*[x.alias(r) for r, x in shares().items()])
-    rows = found.filter(~base_failed()).select("doc_id", "text_key", "stratum", share.alias("shares")).join(marks, F.col("doc_id") == F.col("label_id"))
+    rows = (found.filter(~base_failed()) if base else found).select("doc_id", "text_key", "stratum", share.alias("shares")).join(marks, F.col("doc_id") == F.col("label_id"))
     # shares follow from the text, so any row's will do
     texts = rows.groupBy("stratum", "text_key").agg(F.min("quality").alias("quality"), F.first("shares").alias("shares"))
     texts = written(texts.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "text_key"), F.lit(2))), "labelled-texts")
@@ -200,11 +200,11 @@ def fit_cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta
     return written(chosen, "cutoffs")
 
 
-def _judged(found: DataFrame, cutoffs: DataFrame) -> DataFrame:
+def _judged(found: DataFrame, cutoffs: DataFrame, base: bool = True) -> DataFrame:
     """``found`` with base_failed, rejected_by (rules) and kept."""
     cuts = cutoffs.select(F.col("stratum").alias("cut_stratum"), "cutoffs")
     over = [F.when(x > F.get("cutoffs", F.lit(i)), F.lit(rule)) for i, (rule, x) in enumerate(shares().items())]
-    joined = found.join(cuts, F.col("stratum") == F.col("cut_stratum"), "left").withColumn("base_failed", base_failed()).withColumn("rejected_by", F.array_compact(F.array(*over)))
+    joined = found.join(cuts, F.col("stratum") == F.col("cut_stratum"), "left").withColumn("base_failed", base_failed() if base else F.lit(False)).withColumn("rejected_by", F.array_compact(F.array(*over)))
     return joined.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("cut_stratum", "cutoffs")
 
 
@@ -214,7 +214,11 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", a
     return _judged(found, fit_cutoffs(found, labels, alpha, delta, cost)).select("doc_id", "stratum", *_COUNTS, "base_failed", "rejected_by", "kept")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA, cost: float = COST) -> DataFrame:
-    """The rows of ``docs`` that the rules keep; each row is judged by itself, and texts are read once."""
+def keep_good(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA, cost: float = COST, base: bool = True) -> DataFrame:
+    """The rows of ``docs`` that the rules keep; each row is judged by itself, and texts are read once.
+
+    Without ``base`` the base rules, which no label bounds, don't decide: shortness and repetition are then only what the
+    rules of that name make of them, under the same bound on false rejections as all others.
+    """
     found = written(counted(docs, stratum, keep=True), "counted-rows")
-    return _judged(found, fit_cutoffs(found, labels, alpha, delta, cost)).filter("kept").select("row.*")
+    return _judged(found, fit_cutoffs(found, labels, alpha, delta, cost, base), base).filter("kept").select("row.*")

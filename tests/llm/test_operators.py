@@ -165,7 +165,7 @@ def test_ladder_and_rungs():
     cells = len(rules.GRID) + 1
     clean = [(0, 50)] * 5 + [(0, 0)] * (cells - 6) + [(2000, 10)]
     found = rules.ladder({"symbols": clean})
-    assert all(r == [rules.GRID[4], *[2.0] * 5] for r in found) and len(found) == len(rules.RUNGS)
+    assert all(r == [rules.GRID[4], *[2.0] * 6] for r in found) and len(found) == len(rules.RUNGS)
     some = [(0, 10), (1, 90)] + [(0, 0)] * (cells - 3) + [(999, 0)]
     strict = [r[0] for r in rules.ladder({"symbols": some})]
     assert strict[0] == rules.GRID[0] and strict[-1] == rules.GRID[1] and strict == sorted(strict, reverse=True)
@@ -212,7 +212,7 @@ def test_rules_against_brute_force(spark):
     share = {}
     for i, text, lang, *_ in rows:
         c = dict(zip(rules._COUNTS, rules.text_counts(text), strict=True))
-        share[i] = [c[a] / c[b] if c[b] else 0.0 for a, b in rules._SHARES]
+        share[i] = [c[a] / c.get(b, 20) if c.get(b, 20) else 0.0 for a, b in rules._SHARES]
         base = c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]
         share[i] = None if base else share[i]
         if not base:
@@ -356,17 +356,72 @@ def test_label_model_recovers_rates():
     assert (guess == y).mean() > 0.93
 
 
+def test_voters_that_say_the_same_count_once():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    n = 40_000
+    y = rng.random(n) < 0.3
+    on = lambda yes, no: rng.random(n) < np.where(y, yes, no)
+    first = on(0.6, 0.2)
+    copies = [np.where(rng.random(n) < 0.98, first, on(0.6, 0.2)) for _ in range(3)]
+    other = on(0.7, 0.1)
+    votes = sum(v.astype(np.int64) << j for j, v in enumerate([first, *copies, other]))
+    patterns, counts = np.unique(np.stack([votes, np.where(rng.random(n) < 0.3, y, -1)]), axis=1, return_counts=True)
+    model = toxicity.fit_label_model(patterns[0], counts, patterns[1])
+    # all four copies firing is worth about one vote: odds of 0.3/0.7 * 0.6/0.2 * 0.3/0.9
+    all_four = model.posterior(toxicity.unpack(np.array([0b1111])))[0]
+    assert abs(all_four - 0.3) < 0.06 and model.correlation[1][0, 1] > 0.8 and abs(model.correlation[1][0, 4]) < 0.1
+    tree = {frozenset((i, p)) for i, p in enumerate(model.parent) if 0 <= i < 4 and 0 <= p < 4}
+    assert len(tree) == 3
+
+
+def test_scores_are_the_sparse_dot_products(docs, held, spark):
+    """Scores of either classifier against plain sums over the features of each text."""
+    import math
+
+    import numpy as np
+
+    from edgeloom.llm.ftrl import sigmoid
+
+    labels = cases.labels(spark)
+    weights = quality.train(docs, labels, F.lit(True))
+    table = dict(zip(weights[0].tolist(), weights[1].tolist(), strict=True))
+    want = Counter((d, round(float(sigmoid(weights[2] + sum(table.get(a, 0.0) * x for a, x in zip(*(v.tolist() for v in quality.features(t)), strict=True)))), 6)) for d, t in held)
+    assert bag((r["doc_id"], round(r["score"], 6)) for r in quality.score(docs, weights).collect()) == want
+    rows, marks, _ = _labelled(spark)
+    mined, model, weights = toxicity.train(rows, marks, F.lit(True))
+    assert "idiot" in mined
+    table, masks = dict(zip(weights[0].tolist(), weights[1].tolist(), strict=True)), toxicity.Votes(mined).masks
+    texts = [*((r["doc_id"], r["text"]) for r in rows.select("doc_id", "text").collect()), *held]
+    every = rows.select("doc_id", "text").union(docs.select("doc_id", "text"))
+    plain = lambda t: weights[2] + sum(table.get(f, 0.0) for f in toxicity.features(t, masks).tolist())
+    assert bag((r["doc_id"], round(r["score"], 6)) for r in toxicity.score(every, mined, weights).collect()) == Counter((d, round(1 / (1 + math.exp(-plain(t))), 6)) for d, t in texts)
+    # the votes of each text, and their posteriors by the tree's tables
+    vote = toxicity.Votes(mined)
+    assert bag(toxicity.votes(every, mined).collect()) == Counter((d, vote(t)) for d, t in texts)
+    fired = toxicity.unpack(np.array([0b10000000001, 0]))
+    for row, p in zip(fired, model.posterior(fired), strict=True):
+        odds = model.prior / (1 - model.prior)
+        for i, q in enumerate(model.parent):
+            rate = [model.given[c, int(row[q]) if q >= 0 else 0, i] for c in (0, 1)]
+            odds *= rate[1] / rate[0] if row[i] else (1 - rate[1]) / (1 - rate[0])
+        assert p == pytest.approx(odds / (1 + odds), abs=1e-9)
+
+
 def test_language(spark):
     rows = []
     for i in range(120):
         text = {0: "the river and the house of the old town were seen by many people", 1: "der Fluss und das Haus der alten Stadt wurden von vielen Menschen gesehen", 2: "el río y la casa de la vieja ciudad fueron vistos por mucha gente"}[i % 3].split()
         rows.append((i, " ".join(text[(i + k * 5) % len(text)] for k in range(12)), ["en", "de", "es"][i % 3], "s", 0))
-    rows += [(900, None, "en", "s", 0), (901, "123 !!", "en", "s", 0), (902, "", None, "s", 0), (899, "½ ² Ⅷ", None, "s", 0), (903, "x" * 5000, None, "s", 0)]
+    rows += [(900, None, "en", "s", 0), (901, "123 !!", "en", "s", 0), (902, "", None, "s", 0), (899, "½ ² Ⅷ", None, "s", 0), (903, "x" * 5000, None, "s", 0), (904, "derflussunddashausderaltenstadtwurdenvonvielenmenschengesehen" * 3, None, "s", 0)]
     found = language.identify(cases.documents(spark, rows=rows), piece_vocabulary(), crc_fold(F.col("doc_id"), 4) != 2).collect()
     truth = {r[0]: r[2] for r in rows}
     assert len(found) == len(rows)
     for r in found:
         assert 0 <= r["score"] <= 1
+        if r["doc_id"] == 904:
+            assert r["lang_pred"] == "de"
         if r["doc_id"] < 899:
             assert r["lang_pred"] == truth[r["doc_id"]]
         elif r["doc_id"] < 903:
@@ -395,9 +450,24 @@ def test_forward_sums_all_segmentations():
 
     words = ["abab", "babb", "aaaa", "zabz"]
     total = language.forward(pieces.lattice(words), 5, 4, table)[5]
+    with np.errstate(divide="ignore"):
+        logs = np.log(table)
     for i, w in enumerate(words):
         for k in (0, 1):
             assert total[i, k] == pytest.approx(every("▁" + w, k))
+        assert np.exp(language.log_forward(w, pieces, logs)) == pytest.approx(total[i])
+        one = language.expected_counts(pieces.lattice([w]), 5, np.array([2.0]), table[:, :1])
+        assert language.log_expected_counts(w, 2.0, pieces, logs[:, :1]) == pytest.approx(one)
+    # runs beyond what goes together: 60 letters against the plain sum over all segmentations, and far more than a block
+    for n in (39, 40, 41, 60):
+        w, sums = ("abbab" * n)[:n], [1.0]
+        spelled = "▁" + w
+        for t in range(1, len(spelled) + 1):
+            sums.append(sum(sums[t - k] * (table[names[spelled[t - k : t]], 0] if spelled[t - k : t] in names else table[pieces.n + 1, 0] if k == 1 else 0.0) for k in range(1, min(t, 4) + 1)))
+        got = language.Scorer(pieces, table).texts([[w, "ab", w]])[0][0]
+        assert got == pytest.approx(2 * np.log(sums[-1]) + np.log(every("▁ab", 0)))
+    long = language.log_forward("ab" * 20_000, pieces, logs)
+    assert np.isfinite(long).all() and long[0] / 40_000 == pytest.approx(language.log_forward("ab" * 10_000, pieces, logs)[0] / 20_000, rel=1e-2)
 
 
 def test_empty_tables(spark, tmp_path):
