@@ -254,6 +254,26 @@ def test_decontamination(docs, held, spark, most):
     assert bag((r["doc_id"],) for r in kept.collect()) == Counter({(d,): n for d, n in Counter(d for d, t in held if not cases.contaminated(t, items)[1]).items()})
 
 
+def test_spans_of_windows_are_cut_out(spark):
+    item = cases.prose(14, 2)
+    rows = [(0, f"We saw: {item}. So what?", "en", "s", 0), (1, item, "en", "s", 0), (2, "nothing here", "en", "s", 12), (3, None, None, None, None), (4, f"(a) {item} {item}!", "en", "s", 0), (5, "x One TWO... three, y", "en", "s", 0)]
+    docs = cases.documents(spark, rows=rows)
+    clean = decontam.cut_spans(docs, cases.benchmark(spark))
+    assert clean.columns == docs.columns
+    want = {0: "We saw: . So what?", 1: "", 2: "nothing here", 3: None, 4: "(a) !", 5: "x , y"}
+    assert {r["doc_id"]: r["text"] for r in clean.collect()} == want
+    assert {r["doc_id"]: r["n_chars"] for r in clean.collect()} == {k: None if v is None else len(v) for k, v in want.items()}
+
+
+def test_half_a_million_windows(spark):
+    """A benchmark of many windows, on either side of the bound, finds the same."""
+    items = spark.range(1000).select(F.col("id").alias("item_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(510)), lambda i: F.concat(F.lit("w"), F.col("id") * 510 + i)), " ").alias("text"))
+    assert decontam.windows(items).count() == 501_000
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: F.concat(F.lit("w"), F.col("id") * 510 + 300 + i)), " ").alias("text"))
+    for most in (decontam.MOST_BROADCAST, 1000):
+        assert decontam.contamination(docs, items, most_broadcast=most).filter(F.col("n_hit") == 12).filter(F.col("items") == F.array(F.col("doc_id").cast("string"))).count() == 200
+
+
 @pytest.mark.parametrize("most", [suffix.MOST_CONTEXTS, 1])
 def test_long_repeats(docs, held, most):
     least = 100
