@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from edgeloom.llm.common import map_batches, written
 
 #: Pieces of one length in a bucket, about, and buckets beyond one for each length, at most.
-BUCKET_ROWS, MOST_BUCKETS = 20_000, 8192
+BUCKET_ROWS, MOST_BUCKETS = 500, 8192
 
 
 class CapacityTree:

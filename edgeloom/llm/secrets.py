@@ -2,7 +2,7 @@
 
 A candidate is a value of at least 6 characters, of a word of at least 12 with a digit, of a word with a key such as
 ``password=``, or of one of the three words after a word that names a secret: each value with its key in JSON, connection strings and lists, the password of an address, and each run between quotes, brackets
-and separators.  Its features: length; how often the character class changes and how common its letter pairs are (character transitions);
+and separators; and a block of a private key is one candidate.  Its features: length; how often the character class changes and how common its letter pairs are (character transitions);
 shares of digits, capitals and distinct characters; how much of it dictionary words cover; known issuers' beginnings;
 shapes of numbers, hashes and identifiers; words of secrecy and of harmlessness in its key, among the three words
 before and the two after; and the path it comes from.
@@ -28,7 +28,7 @@ MOST_FINDINGS = 6000
 TREES, DEPTH, LEAST_LEAF = 25, 6, 4
 _KEYS = "pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|(?:access|account|shared)[_-]?key|auth|bearer|credential|private"
 _HARMLESS = "example|sample|dummy|placeholder|commit|revision|sha\\d*|md5|checksum|digest|hash|uuid|guid|version|isbn|phone|card|order|invoice|ticket|build|etag"
-_PREFIXES = "(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|xox[baprs]-|sk_live_|sk-[A-Za-z0-9]{20,}|AIza[A-Za-z0-9_-]{30,}|glpat-|eyJ[A-Za-z0-9_-]{10,}"
+_PREFIXES = "(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|xox[baprs]-|sk_live_|sk-[A-Za-z0-9]{20,}|AIza[A-Za-z0-9_-]{30,}|glpat-|eyJ[A-Za-z0-9_-]{10,}|-----BEGIN [A-Z ]*PRIVATE KEY-----"
 _PAIRS = "th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt|ng|se|ha|as|ou|io|le|ve|co|me|de|hi|ri|ro|ic|ne|ea"
 _DICTIONARY = (
     "password secret token example sample test dummy change default admin user login name value string number index table column version "
@@ -79,6 +79,13 @@ flatten(transform({_PAIRS_OF_WORDS}, c -> IF(c.value RLIKE {_literal(f"^{_KEYED}
     'key', regexp_extract(c.value, {_literal(f"^{_KEYED}$")}, 1), 'value', regexp_extract(c.value, {_literal(f"^{_KEYED}$")}, 2))), array(c))))
 """
 
+_BLOCK = "(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----"
+#: Blocks of private keys, at the word where the first equal one begins.
+_BLOCKS = f"""
+transform(regexp_extract_all(coalesce(@text@, ''), {_literal(_BLOCK)}, 0), m -> named_struct(
+  'at', size(split(left(@text@, locate(m, @text@) - 1), '[\\\\x20\\\\x09-\\\\x0D]+')) - 1, 'word', m, 'before', '', 'after', '', 'key', 'private key', 'value', m))
+"""
+
 _FEATURES = rf"""
 transform(filter(@parts@, c -> length(c.value) >= 6), c -> named_struct('at', c.at, 'value', c.value, 'x', named_struct(
   'length', CAST(length(c.value) AS DOUBLE),
@@ -104,7 +111,7 @@ def _featured(docs: DataFrame, path: str | None) -> DataFrame:
     """``docs`` with the array ``found``: at, value and features x of each candidate."""
     text, where = F.col("text"), F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
     held = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "secret_text" and c != "secret_path"], text.alias("secret_text"), where.alias("secret_path"))
-    parts = _PARTS.replace("@found@", _CANDIDATES.replace("@text@", "secret_text"))
+    parts = f"concat({_PARTS.replace('@found@', _CANDIDATES)}, {_BLOCKS})".replace("@text@", "secret_text")
     return held.withColumn("found", F.expr(_FEATURES.replace("@parts@", parts).replace("@path@", "secret_path"))).drop("secret_text", "secret_path")
 
 
@@ -146,6 +153,7 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
         f"concat('Bearer ', {no_digits})",
         f"concat('DB_PASSWORD: ', {name}, substr({letters}, 1, CAST(5 + id % 6 AS INT)))",
         f"concat('Name=prod;AccountKey=', substr({letters}, 1, 40), '==;Port=1')",
+        f"concat('-----BEGIN ', element_at(array('RSA ', 'EC ', '', 'OPENSSH '), CAST(id % 4 AS INT) + 1), 'PRIVATE KEY-----\n', substr({letters}, 1, 43), '\n', substr({letters}, 3, 40), '\n-----END ', element_at(array('RSA ', 'EC ', '', 'OPENSSH '), CAST(id % 4 AS INT) + 1), 'PRIVATE KEY-----')",
     ]
     harmless = [
         f"concat('commit ', substr({hexed}, 1, 40))",
@@ -240,7 +248,8 @@ def forest_sql(forest: list, x: str) -> str:
 
 def train(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH) -> list:
     """A forest from ``text``, ``label`` and ``path``; a text with several candidates teaches its label for each."""
-    rows = _featured(labelled.select("text", "path", "label"), "path").select("label", F.explode("found").alias("c")).select("label", "c.x.*").limit(MOST_FINDINGS)
+    rows = _featured(labelled.select("text", "path", "label"), "path").select("label", F.explode("found").alias("c")).select("label", "c.x.*")
+    rows = rows.orderBy(F.xxhash64("label", *FEATURES), "label").limit(MOST_FINDINGS)
     held = sorted(tuple(float(r[f]) for f in FEATURES) + (float(r["label"]),) for r in rows.collect())
     data = np.array(held, np.float64).reshape(len(held), len(FEATURES) + 1)
     return fit_forest(data[:, :-1], data[:, -1], trees, depth)
@@ -258,15 +267,12 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str | Non
     return scored(docs.select(*columns), labelled, path).select("doc_id", F.inline("found")).withColumn("is_secret", F.col("score") >= threshold)
 
 
-_PEM = "-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----"
-
-
 def redact(docs: DataFrame, labelled: DataFrame | None = None, path: str | None = "source", threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced, longest first, and private key blocks; ``n_chars`` follows the text."""
+    """``docs`` with every secret in ``text`` replaced, longest first; ``n_chars`` follows the text."""
     columns = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text", *([F.col(path).alias("path")] if path else []))
     values = f"array_sort(array_distinct(transform(filter(found, c -> c.score >= {threshold}D), c -> c.value)), (a, b) -> length(b) - length(a))"
     found = scored(held, labelled, "path" if path else None)
-    clean = found.withColumn("clean", F.regexp_replace(F.expr(f"aggregate({values}, text, (t, v) -> replace(t, v, '{mark}'))"), _PEM, mark))
+    clean = found.withColumn("clean", F.expr(f"aggregate({values}, text, (t, v) -> replace(t, v, '{mark}'))"))
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
     return clean.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in columns])
