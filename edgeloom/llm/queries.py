@@ -84,8 +84,8 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edgeloom.llm import suffix
 
-    found = suffix.remove_repeats(documents(spark, sf_dir), least=400)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = suffix.remove_repeats(documents(spark, sf_dir), least=400, least_words=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_words")
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

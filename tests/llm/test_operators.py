@@ -288,15 +288,66 @@ def test_long_repeats(docs, held, most):
     assert bag((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], bytes(r["kept"])) for r in rows) == want
 
 
+def _shared_words(texts, least):
+    """The words of each text in windows of ``least`` words that another text holds."""
+    words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+    owners = {}
+    for w, t in zip(words, texts, strict=True):
+        for p in range(len(w) - least + 1):
+            owners.setdefault(tuple(w[p : p + least]), set()).add(t)
+    return [suffix.join_spans([(p, p + least) for p in range(len(w) - least + 1) if len(owners[tuple(w[p : p + least])]) > 1]) for w in words]
+
+
+@pytest.mark.parametrize("most", [suffix.MOST_CONTEXTS, 1])
+def test_passages_that_documents_share(spark, most):
+    import random
+
+    rng = random.Random(12)
+    shared = [cases.prose(k, 500 + k) for k in (19, 20, 21, 60)]
+    texts = [" ".join(rng.choice([cases.prose(rng.randint(1, 30), 2000 + 7 * i + j), rng.choice(shared)]) for j in range(4)) for i in range(60)]
+    texts += [cases.prose(40, 7) * 3, "a b " * 100, "a b " * 90, cases.prose(45, 9), "", None]
+    docs = cases.documents(spark, rows=[(i, t, "en", "s", 0) for i, t in enumerate(texts)]).repartition(3)
+    rows = suffix.remove_repeats(docs, least=100, most_contexts=most, least_words=20).collect()
+    want = {i: (len(x), sum(e - s for s, e in x)) for i, x in enumerate(_shared_words(texts, 20))}
+    assert {r["doc_id"]: (r["n_passages"], r["n_passage_words"]) for r in rows} == want
+    assert want[60] == (0, 0) and want[61][1] > 0
+
+
+def test_groups_hold_every_occurrence(spark):
+    """Each group is a repeated string with all its places in the contexts, and together they cover what is removed."""
+    texts = [t for t in cases.texts() if t and len(t) < 2000] + [cases.prose(60, 40) + " one " + cases.prose(40, 41), "two " + cases.prose(60, 40), cases.prose(30, 42) + cases.prose(60, 40)]
+    docs = cases.documents(spark, rows=[(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    raw = [t.encode() for t in texts]
+    for most in (suffix.MOST_CONTEXTS, 1):
+        held = {}
+        for r in suffix.groups(docs, least=100, most_contexts=most).collect():
+            held.setdefault((r["group_id"], r["length"]), []).append((r["doc_id"], r["start"]))
+        covered = {}
+        for (_, length), places in held.items():
+            strings = {raw[d][s : s + length] for d, s in places}
+            assert len(strings) == 1 and length >= 100 and len(set(places)) > 1
+            for d, s in set(places):
+                covered.setdefault(d, []).append((s, s + length))
+            if most > 1:
+                text = strings.pop()
+                every = {(d, s) for d, t in enumerate(raw) for s in range(len(t) - length + 1) if t[s : s + length] == text}
+                assert set(places) == every
+        spans = {r["doc_id"]: r["spans"] for r in suffix.remove_repeats(docs, least=100).collect()}
+        for d in range(len(raw)):
+            assert [x for s in suffix.join_spans(covered.get(d, [])) for x in s] == spans[d]
+
+
 def test_maximal_repeats_have_all_occurrences():
     import random
 
+    import numpy as np
+
     rng = random.Random(4)
     for trial in range(40):
         alphabet = b"ab" if trial % 2 else b"abcdefg"
         parts = [bytes(rng.choice(alphabet) for _ in range(50)) for _ in range(3)]
         found = [b"".join(rng.choice(parts)[rng.randint(0, 15) : rng.randint(25, 50)] for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 6))]
-        for length, places in suffix.maximal_repeats(found, 8):
+        for length, places in suffix.maximal_repeats([np.frombuffer(t, np.uint8) for t in found], 8):
             (i, p), text = places[0], found[places[0][0]][places[0][1] :][:length]
             every = {(w, q) for w, t in enumerate(found) for q in range(len(t) - length + 1) if t[q : q + length] == text}
             assert set(places) == every and len(every) > 1
