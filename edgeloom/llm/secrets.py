@@ -43,15 +43,16 @@ def _literal(pattern: str) -> str:
 
 
 _KEY, _JOIN = "[A-Za-z_][A-Za-z0-9_.-]{1,40}", r"""\\*["']?[=:]+>?\\*["']?"""
-_RUN = r"""(?:(?![?&][A-Za-z_][A-Za-z0-9_.-]{0,40}=)[^"'`()<>\[\]{},;:@])+"""
+# possessive, so that a run of any length is matched in a loop and never twice
+_RUN = r"""(?:[^"'`()<>\[\]{},;:@?&]++|[?&](?![A-Za-z_][A-Za-z0-9_.-]{0,40}=))++"""
 #: A user and a password in an address, a value with its key, or a value alone.
-_LOGIN = rf"""(?:{_KEY}{_JOIN})?[A-Za-z][A-Za-z0-9+.-]*://[^/?#"'<>:@]*:([^"'<>@]+)@"""
+_LOGIN = rf"""(?:{_KEY}{_JOIN})?[A-Za-z][A-Za-z0-9+.-]{{0,30}}://[^/?#"'<>:@]{{0,200}}:([^"'<>@]{{1,1000}})@"""
 _KEYED = rf"""[-$?&*.!#|~+%/\\]*({_KEY}){_JOIN}({_RUN})"""
 _PIECE = rf"{_LOGIN}|{_KEYED}|{_RUN}"
 
 #: A word that names a secret, alone or as part of a name such as DB_PASSWORD.
 _NAMES_SECRET = f"(?i)(?<![A-Za-z])(?:{_KEYS})(?![A-Za-z])"
-_HOLDS_KEY = rf"""(?i)(?:{_KEYS})[A-Za-z0-9_.-]*{_JOIN}.{{6,}}"""
+_HOLDS_KEY = rf"""(?i)(?:{_KEYS})[A-Za-z0-9_.-]{{0,40}}{_JOIN}.{{6}}"""
 
 _CANDIDATES = f"""
 transform(array(split(coalesce(@text@, ''), '[\\\\x20\\\\x09-\\\\x0D]+')), w -> transform(array(transform(w, x -> length(x) >= 3 AND x RLIKE {_literal(_NAMES_SECRET)})), names ->

@@ -46,7 +46,7 @@ MOST_CONTEXTS = 1024
 #: Windows in a range, round by round, where there are more.
 RANGES = (32, 6, 1)
 #: Window starts that are hashed at a time, and symbols of contexts that share a suffix array.
-SEGMENT, ARRAY_SYMBOLS = 1 << 20, 1 << 19
+SEGMENT, ARRAY_SYMBOLS = 1 << 20, 1 << 17
 _MULTIPLY, _ROTATE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -136,16 +136,23 @@ def suffix_array(texts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.nd
     before = np.empty(len(body), np.int64)
     before[1:] = body[:-1]
     before[0] = kinds + len(texts)
-    ranks, width = [np.unique(body, return_inverse=True)[1].astype(np.int32)], 1
+    # equal symbols, pairs and, where they fit a number, fours are told apart by their codes; ranks are first sorted out then
+    ranks, width, top = [body], 1, kinds + len(texts) + 1
     while width < depth:
-        r = ranks[-1]
-        kinds = int(r.max()) + 1
-        if kinds == len(r):
-            break
-        shifted = np.zeros(len(r), np.int64)
-        shifted[:-width] = r[width:] + 1
-        ranks.append(np.unique(r.astype(np.int64) * (kinds + 1) + shifted, return_inverse=True)[1].astype(np.int32))
+        r, shifted = ranks[-1], np.zeros(len(body), np.int64)
+        shifted[:-width] = r[width:].astype(np.int64) + 1
+        codes = r.astype(np.int64) * (top + 1) + shifted
         width *= 2
+        top = (top + 1) * (top + 1)
+        if width < 4 and top < 1 << 31 and width < depth:
+            ranks.append(codes)
+            continue
+        ranks.append(np.unique(codes, return_inverse=True)[1].astype(np.int32))
+        top = int(ranks[-1].max()) + 1
+        if top == len(body):
+            break
+    if ranks[-1] is body or ranks[-1].dtype != np.int32:
+        ranks[-1] = np.unique(ranks[-1], return_inverse=True)[1].astype(np.int32)
     sa = np.argsort(ranks[-1], kind="stable")
     lcp, i, j = np.zeros(len(sa), np.int64), sa[1:].copy(), sa[:-1].copy()
     for level in range(len(ranks) - 1, -1, -1):
@@ -364,7 +371,7 @@ def _by_ranges(cut: DataFrame, least: int, symbols: Symbols) -> DataFrame:
 
 
 def _prepared(docs: DataFrame, least: int, most_contexts: int, symbols: Symbols, across: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The contexts of all rows; those that repeat as a whole (fp, digest); and the symbols of those that must be compared.
+    """Tables of the contexts of all rows, of their kinds (``whole`` if they repeat as such), and of the symbols of those that must be compared.
 
     With ``across``, repeats within one document (id and text) don't count: a context of one document alone is owned by it.
     """
@@ -376,20 +383,22 @@ def _prepared(docs: DataFrame, least: int, most_contexts: int, symbols: Symbols,
     several = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     wanted = kinds.join(several, "fp").select("fp", "digest", "one.*", (F.col("kinds") > most_contexts).alias("hot"), "owner")
     cut = written(_cut_out(docs, wanted, least, symbols), "context-symbols")
-    return found, kinds.filter("whole").select("fp", "digest", "whole"), cut
+    return found, kinds, cut
 
 
 def repeats(docs: DataFrame, least: int = LEAST, most_contexts: int = MOST_CONTEXTS, symbols: Symbols = BYTES, across: bool = False) -> DataFrame:
-    """doc_id, text_key and spans (lists of flat starts and ends, not joined) of each distinct row of ``docs`` that holds repeats."""
-    found, whole, cut = _prepared(docs, least, most_contexts, symbols, across)
+    """A table of doc_id, text_key and spans (flat starts and ends, not joined) of each distinct row of ``docs`` that holds repeats."""
+    found, kinds, cut = _prepared(docs, least, most_contexts, symbols, across)
     crowded = _by_ranges(cut, least, symbols).groupBy("fp", "digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     parts = written(_arrays(cut, least, symbols, _span_rows, "fp long, digest long, spans array<bigint>").union(crowded), "context-repeats")
     forget(cut)
-    marks = whole.join(parts, ["fp", "digest"], "full_outer").select("fp", "digest", "whole", "spans")
+    marks = kinds.filter("whole").select("fp", "digest", "whole").join(parts, ["fp", "digest"], "full_outer").select("fp", "digest", "whole", "spans")
     absolute = F.when(F.col("whole"), F.array(F.col("at"), F.col("at") + F.col("runs") + least - 1)).otherwise(F.transform("spans", lambda x: x + F.col("at")))
     rows = found.join(marks, ["fp", "digest"]).select("doc_id", "text_key", absolute.alias("spans"))
     # equal rows have equal spans, so a set holds no more than one row's
-    return rows.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    spans = written(rows.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_set("spans")).alias("spans")), "repeat-spans")
+    forget(found, kinds, parts)
+    return spans
 
 
 def groups(docs: DataFrame, least: int = LEAST, most_contexts: int = MOST_CONTEXTS, symbols: Symbols = BYTES, across: bool = False) -> DataFrame:
@@ -399,7 +408,7 @@ def groups(docs: DataFrame, least: int = LEAST, most_contexts: int = MOST_CONTEX
     longer at either end, within those contexts, without losing one.  Groups of crowded anchors are the ranges that
     several contexts share.
     """
-    found, whole, cut = _prepared(docs, least, most_contexts, symbols, across)
+    found, kinds, cut = _prepared(docs, least, most_contexts, symbols, across)
     crowded = _by_ranges(cut, least, symbols).select("fp", "digest", F.col("spans")[0].alias("start"), (F.col("spans")[1] - F.col("spans")[0]).alias("length"))
     named = crowded.join(cut.select("fp", "digest", "data"), ["fp", "digest"])
     size = int(symbols.kind[1])
@@ -408,7 +417,7 @@ def groups(docs: DataFrame, least: int = LEAST, most_contexts: int = MOST_CONTEX
     parts = written(_arrays(cut, least, symbols, _group_rows, "fp long, digest long, group_id long, length long, start long").union(named), "context-groups")
     held = found.select("doc_id", "text_key", "fp", "digest", "at", "runs")
     # a context that others hold in full is in a group with them already
-    alone = held.join(whole, ["fp", "digest"]).withColumn("length", (F.col("runs") + least - 1).cast("long")).join(parts.filter("start = 0").select("fp", "digest", "length"), ["fp", "digest", "length"], "left_anti")
+    alone = held.join(kinds.filter("whole").select("fp", "digest"), ["fp", "digest"]).withColumn("length", (F.col("runs") + least - 1).cast("long")).join(parts.filter("start = 0").select("fp", "digest", "length"), ["fp", "digest", "length"], "left_anti")
     all_of = alone.select(F.xxhash64("fp", "digest").alias("group_id"), "length", "doc_id", "text_key", F.col("at").alias("start"))
     some_of = held.join(parts, ["fp", "digest"]).select("group_id", "length", "doc_id", "text_key", (F.col("at") + F.col("start")).alias("start"))
     return all_of.union(some_of)
@@ -432,7 +441,6 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, most_contexts: int = MOS
         both = spans.join(shared, _same(spans, shared), "full_outer").select(F.coalesce(spans["doc_id"], shared["doc_id"]).alias("doc_id"), F.coalesce(spans["text_key"], shared["text_key"]).alias("text_key"), "spans", "shared")
     else:
         both = spans.withColumn("shared", F.lit(None).cast("array<bigint>"))
-    both = written(both, "spans")
     joined = keyed.join(both, _same(keyed, both), "left").select(keyed["doc_id"], "text", "spans", "shared")
 
     def cut(batches):
