@@ -15,14 +15,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of five-word-shingle similarity of 0.8 or more: the smallest id; null is an id and comes last."""
     return simhash.keep_one_similar(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of the benchmark; null text holds none."""
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, secrets in its text replaced; null and empty texts stay as they are."""
     return secrets.redact(docs)
 
 

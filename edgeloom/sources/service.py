@@ -1,22 +1,30 @@
 """A batch data source for services that answer a request with rows.
 
-``spark.read.format("edge_service").options(...)`` calls a registered fetch function, split by source ids: each
-partition asks for one range, so batches are partitions and an interrupted one is asked again by Spark's own retry.
-Functions are registered by name as ``module:function``; options other than ``fetch``, ``batches`` and ``schema`` go
-to the function, so endpoints and snapshots are parameters, and credentials come from the caller's secret store.
+``spark.read.format("edge_service").options(...)`` calls a fetch function, split by source ids: each partition asks for
+one range of ids, so batches are partitions and an interrupted one is asked again by Spark's own retry.  Functions are
+named as ``module:function`` and get the range's first and last id; options other than ``fetch``, ``batches``,
+``lowest``, ``highest`` and ``schema`` go to the function, so endpoints and snapshots are parameters, and credentials
+come from the caller's secret store.  :func:`saved_answers` is one that reads answers kept in a shared folder.
 """
 
 from __future__ import annotations
 
 import importlib
+import json
+from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+_OWN = ("fetch", "batches", "lowest", "highest", "schema")
+
 
 class Batch(InputPartition):
-    def __init__(self, number: int, of: int):
-        self.number, self.of = number, of
+    """Source ids from ``first`` to ``last``."""
+
+    def __init__(self, first: int, last: int):
+        self.first, self.last = first, last
 
 
 class EdgeService(DataSource):
@@ -36,14 +44,26 @@ class EdgeServiceReader(DataSourceReader):
         self.settings = options
 
     def partitions(self) -> list[Batch]:
-        n = int(self.settings.get("batches", "1"))
-        return [Batch(i, n) for i in range(n)]
+        """Ranges of equal width; all of them together hold each id once."""
+        n, lowest, highest = (int(self.settings[k]) for k in ("batches", "lowest", "highest"))
+        ids = highest - lowest + 1
+        return [Batch(lowest + ids * i // n, lowest + ids * (i + 1) // n - 1) for i in range(n) if ids * (i + 1) // n > ids * i // n]
 
     def read(self, partition: Batch):
         module, _, function = self.settings["fetch"].partition(":")
         fetch = getattr(importlib.import_module(module), function)
-        given = {k: v for k, v in self.settings.items() if k not in ("fetch", "batches", "schema")}
-        yield from (tuple(row) for row in fetch(partition.number, partition.of, **given))
+        given = {k: v for k, v in self.settings.items() if k not in _OWN}
+        yield from (tuple(row) for row in fetch(partition.first, partition.last, **given))
+
+
+def saved_answers(first: int, last: int, folder: str) -> Iterator[tuple]:
+    """Rows of the range from answers saved as JSON (``results``: results of data of row arrays) in a folder that executors share."""
+    for path in sorted(Path(folder).glob("*.json")):
+        for result in json.loads(path.read_text(encoding="utf-8"))["results"]:
+            for data in result["data"]:
+                source, *rest = data["row"]
+                if source is not None and first <= int(source) <= last:
+                    yield int(source), *(None if x is None else int(x) for x in rest)
 
 
 def register(spark: SparkSession) -> None:

@@ -102,17 +102,30 @@ def test_batches_of_a_stream(spark, tmp_path):
     assert got == [(1, 2, 5)]
 
 
-def fetch_some(number, of, endpoint):
+def fetch_some(first, last, endpoint):
     assert endpoint == "offline"
-    return [(i, i + 1, 3) for i in range(6) if i % of == number]
+    return [(i, i + 1, 3) for i in range(first, last + 1)]
 
 
-def test_service_source(spark):
-    reader = service.EdgeServiceReader({"fetch": "tests.test_plans:fetch_some", "batches": "3", "endpoint": "offline", "schema": "x"})
+def test_service_source(spark, tmp_path):
+    reader = service.EdgeServiceReader({"fetch": "tests.test_plans:fetch_some", "batches": "4", "lowest": "10", "highest": "16", "endpoint": "offline", "schema": "x"})
     found = [row for p in reader.partitions() for row in reader.read(p)]
-    assert sorted(found) == [(i, i + 1, 3) for i in range(6)] and len(reader.partitions()) == 3
-    service.register(spark)
+    assert found == [(i, i + 1, 3) for i in range(10, 17)] and len(reader.partitions()) == 4
+    assert len(service.EdgeServiceReader({"batches": "9", "lowest": "1", "highest": "2"}).partitions()) == 2
     assert service.EdgeService({}).schema().startswith("source")
+    (tmp_path / "a.json").write_text('{"results": [{"data": [{"row": [1, 2, 5]}, {"row": [7, 2, null]}, {"row": [null, 2, 5]}]}]}')
+    (tmp_path / "b.json").write_text('{"results": [{"data": [{"row": ["3", "1", "4"]}]}, {"data": []}]}')
+    service.register(spark)
+    table = spark.read.format("edge_service").options(fetch="edgeloom.sources.service:saved_answers", folder=str(tmp_path), batches=3, lowest=1, highest=9).load()
+    assert sorted(map(tuple, table.collect()), key=repr) == [(1, 2, 5), (3, 1, 4), (7, 2, None)]
+
+
+def test_the_package_names_its_python(tmp_path):
+    import tomllib
+    from pathlib import Path
+
+    project = tomllib.loads((Path(__file__).parent.parent / "pyproject.toml").read_text())["project"]
+    assert project["requires-python"] == ">=3.10" and project["scripts"]["edgeloom"] == "edgeloom.cli:main"
 
 
 def test_optional_part_is_guarded():
