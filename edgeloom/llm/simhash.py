@@ -12,8 +12,9 @@ Defined cases: null text and text without words have fingerprint zero; with fewe
 the whole sequence is the one shingle; repeated rows each get a result row; rows with null ids are linked like any
 other but never name a component (a component of null ids only has a null id); extra columns are ignored.
 
-:func:`similar` is for near copies in the sense of a Jaccard similarity of five-word shingles: four fingerprints a text
-find candidates in a radius wide enough for 0.8, and exact similarities decide.
+:func:`similar` is for near copies in the sense of a Jaccard similarity of five-word shingles: texts whose sets share a key
+meet in groups, in which four fingerprints a text find candidates in a radius wide enough for 0.8, and exact similarities
+decide.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from itertools import product
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.common import forget, map_batches, written
