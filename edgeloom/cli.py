@@ -34,7 +34,8 @@ def parser() -> argparse.ArgumentParser:
     edges.add_argument("-o", "--output", required=True)
     edges.add_argument("--count-read", action="store_true", help="also count the edges read, for which all rows must be read")
     edges.add_argument("--ontology", help="also write an ontology, named connectome_*.owl, here")
-    edges.add_argument("--iri", default="http://virtualflybrain.org/data/VFB/OWL/connectome_import.owl", help="the ontology's name")
+    edges.add_argument("--iri", default="urn:edgeloom:connectome", help="the ontology's name")
+    edges.add_argument("--prefix", action="append", default=[], metavar="NAME=IRI", help="a prefix of the ids in the ontology; may be repeated")
     edges.add_argument("--missing", help="also write the neurons without an accession here (TSV)")
     tables = kinds.add_parser("curation", help="a curation table")
     tables.add_argument("--kind", choices=[*sorted(_CURATIONS), "annotations"], required=True)
@@ -69,7 +70,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             log.info("%s edges: %d", name, count.get["rows"])
         if args.ontology:
             plain = induced_template(args.kind, table, nodes, rels, args.dataset, args.db, args.threshold, args.strict, order="_order").filter("_order = 1").drop("_order")
-            files.ontology(plain, args.ontology, args.iri)
+            files.ontology(plain, args.ontology, args.iri, prefixes=dict(p.split("=", 1) for p in args.prefix))
     elif args.kind == "annotations":
         if not args.supervoxels:
             raise SystemExit("annotations need --supervoxels")

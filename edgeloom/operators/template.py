@@ -13,14 +13,13 @@ from edgeloom.sources.schemas import TEMPLATE, columns_of
 DIRECTIVES = ("ID", "TYPE", "I 'synapsed to'", ">AT n2o:weight^^xsd:integer")
 ROW_TYPE = "owl:NamedIndividual"
 COLUMNS = columns_of(TEMPLATE)
-#: The property of the facts, and the prefixes of the names in an ontology.
+#: The property of the facts, and the prefixes that every ontology of them needs; those of the ids are the caller's.
 PROPERTY = "obo:RO_0002120"
 PREFIXES = {
     "owl": "http://www.w3.org/2002/07/owl#",
     "xsd": "http://www.w3.org/2001/XMLSchema#",
     "obo": "http://purl.obolibrary.org/obo/",
     "n2o": "http://neo2owl/custom/",
-    "VFB": "http://virtualflybrain.org/reports/VFB_",
 }
 
 
@@ -56,10 +55,10 @@ def assertions(body: DataFrame, fact: str = "'synapsed to'") -> DataFrame:
     )
 
 
-def document(body: DataFrame, iri: str, prefixes: dict[str, str] = PREFIXES) -> DataFrame:
-    """The lines of an ontology: ``part`` (their order: head, declarations, assertions, end) and ``value``."""
+def document(body: DataFrame, iri: str, prefixes: dict[str, str] | None = None) -> DataFrame:
+    """The lines of an ontology: ``part`` (their order: head, declarations, assertions, end) and ``value``; ``prefixes`` are those of the ids."""
     spark = body.sparkSession
-    head = [*(f"Prefix({k}:=<{v}>)" for k, v in prefixes.items()), f"Ontology(<{iri}>"]
+    head = [*(f"Prefix({k}:=<{v}>)" for k, v in (PREFIXES | (prefixes or {})).items()), f"Ontology(<{iri}>"]
     fixed = spark.createDataFrame([*((i, line) for i, line in enumerate(head)), (len(head), f"Declaration(ObjectProperty({PROPERTY}))"), (len(head), "Declaration(AnnotationProperty(n2o:weight))"), (len(head) + 3, ")")], "part int, value string")
     held = body.filter("ID IS NOT NULL AND FACT IS NOT NULL")
     individuals = held.select(F.explode(F.array("ID", "FACT")).alias("id")).distinct().select(F.lit(len(head) + 1).alias("part"), F.concat(F.lit("Declaration(NamedIndividual("), "id", F.lit("))")).alias("value"))

@@ -87,7 +87,7 @@ def lines(df: DataFrame, path: str, gzip: bool = False) -> None:
     (writer.option("compression", "gzip") if gzip else writer).text(path)
 
 
-def ontology(template_rows: DataFrame, path: str, iri: str, gzip: bool = True) -> None:
+def ontology(template_rows: DataFrame, path: str, iri: str, gzip: bool = True, prefixes: dict[str, str] | None = None) -> None:
     """Template rows as one document in functional syntax, ``path`` or with ``gzip`` ``path.gz``.
 
     Prefixes and the ontology's name come first, then declarations of each individual and of the property, then the
@@ -96,7 +96,7 @@ def ontology(template_rows: DataFrame, path: str, iri: str, gzip: bool = True) -
     name = path.rstrip("/").rsplit("/", 1)[-1]
     if not (name.startswith("connectome_") and name.endswith(".owl")):
         raise ValueError("an ontology's name must be connectome_*.owl")
-    body = _checkpointed(written(document(template_rows, iri), "lines").orderBy("part", "value").select("value"))
+    body = _checkpointed(written(document(template_rows, iri, prefixes), "lines").orderBy("part", "value").select("value"))
     _one_file(body, path + ".gz" * gzip, lambda writer, work: (writer.option("compression", "gzip") if gzip else writer).text(work))
 
 

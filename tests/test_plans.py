@@ -1,6 +1,7 @@
 """Physical plans, the command line, the service source and streams."""
 
 import contextlib
+import gzip
 import io
 
 from pyspark.sql import functions as F
@@ -65,7 +66,7 @@ def test_command_line(spark, tmp_path, caplog):
     args = ["edges", "-d", "D", "--db", "S", "-t", "5", "--edges", f"{tmp_path}/edges", "--nodes", f"{tmp_path}/nodes", "--rels", f"{tmp_path}/rels", "-o", f"{tmp_path}/out.tsv"]
     assert cli.main(args) == 0
     assert (tmp_path / "out.tsv").read_text().splitlines()[2:] == ["n1\towl:NamedIndividual\tn2\t8"]
-    again = [*args, "--count-read", "--ontology", f"{tmp_path}/connectome_t.owl", "--missing", f"{tmp_path}/missing.tsv"]
+    again = [*args, "--count-read", "--ontology", f"{tmp_path}/connectome_t.owl", "--prefix", "KB=http://x/y=", "--missing", f"{tmp_path}/missing.tsv"]
     spark.createDataFrame([("n3", "c", ["Individual"])], schemas.NODES).write.mode("append").parquet(f"{tmp_path}/nodes")
     spark.createDataFrame([("n3", "D", "has_source", None, None, None), ("n3", "S", "hasDbXref", [], None, None)], schemas.RELS).write.mode("append").parquet(f"{tmp_path}/rels")
     with caplog.at_level("INFO", "edgeloom"):
@@ -73,7 +74,7 @@ def test_command_line(spark, tmp_path, caplog):
     assert "3 neurons found, 1 without an accession" in caplog.text and "n3 (c)" in caplog.text
     assert "read edges: 2" in caplog.text and "kept edges: 1" in caplog.text
     assert (tmp_path / "missing.tsv").read_text() == "neuron_id\tneuron_label\nn3\tc\n"
-    assert (tmp_path / "connectome_t.owl.gz").exists() and (tmp_path / "out.tsv").read_text().splitlines()[2:] == ["n1\towl:NamedIndividual\tn2\t8"]
+    assert "Prefix(KB:=<http://x/y=>)" in gzip.open(tmp_path / "connectome_t.owl.gz", "rt").read() and (tmp_path / "out.tsv").read_text().splitlines()[2:] == ["n1\towl:NamedIndividual\tn2\t8"]
     args[2] = "none"
     assert cli.main(args) == 1
     spark.createDataFrame([(5,), (4,)], "filename bigint").write.parquet(f"{tmp_path}/ids")
