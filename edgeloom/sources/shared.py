@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Lists that :func:`written` notes its paths in.
+_noted: list[list[str]] = []
+
+
 def workspace(spark: SparkSession) -> str:
     """The shared folder, from ``spark.checkpoint.dir``.
 
@@ -39,14 +45,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     found._edgeloom_path = path
+    for paths in _noted:
+        paths.append(path)
     return found
 
 
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of the tables that :func:`written` makes inside."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted.pop()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def forget_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables by their paths; one that is gone already is no error."""
+    for path in paths:
+        _delete(spark, path)
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes tables that :func:`written` gave and nothing reads any more."""
     for table in tables:
