@@ -8,8 +8,8 @@ one product.  Terms are ranked by their columns' values; the terms of a column f
 
 All arithmetic is in whole numbers: a share is ``1 + floor(SCALE * (count + PRIOR) / (N + PRIOR * V))``.
 
-Words are counted on executors in bounded tables that go out when full, and then summed by Spark, so that neither a
-frequent word nor a large source meets in one task.  What tasks get of the sources is one row for each (language, source),
+Words are counted on executors in slices of texts and then summed by Spark, so that of a frequent word or a large source
+one row for each slice meets, not one for each occurrence.  What tasks get of the sources is one row for each (language, source),
 at most ``MOST_GROUPS``; the result has a row for each pair of sources of a language anyway.
 
 Defined cases: null text, language and source count as empty; an empty language is a language; a source without a kept
@@ -19,8 +19,6 @@ each.  Words of any length are whole.  No document gives no row.  Extra columns
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,14 +28,42 @@ from edgeloom.llm.common import map_batches, written
 SCALE = 1_000_000_000
 PRIOR = 5
 MOST_GROUPS = 1 << 16
-#: What a task holds before it passes on counts of words (bytes, and bytes of a word's two entries) and sums of pairs.
-_TABLE_BYTES, _ENTRY, _PAIR_CELLS = 64 << 20, 320, 1 << 21
+#: Bytes of texts whose words a task counts at a time, and sums of pairs that it holds before it passes them on.
+_SLICE_BYTES, _PAIR_CELLS = 32 << 20, 1 << 21
 #: Everything but letters as a space; A-Z in lower case; bytes of non-ASCII letters as they are.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+def _blanked(text):
+    """The texts of an Arrow array with nothing but words, in lower case, and spaces; null is empty."""
+    import pyarrow as pa
+
+    text = text.fill_null("")
+    valid, offsets, data = text.buffers()
+    return text if data is None else pa.Array.from_buffers(text.type, len(text), [None, offsets, pa.py_buffer(data.to_pybytes().translate(_LETTERS))], offset=text.offset)
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys))
+
+
+def _counted(blanked, group: np.ndarray) -> tuple:
+    """``group``, term, occurrences and documents of each term of each group in these texts."""
+    import pyarrow.compute as pc
+
+    split = pc.ascii_split_whitespace(blanked)
+    coded = split.flatten().dictionary_encode()
+    terms, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(split)), np.diff(split.offsets.to_numpy()))
+    named = np.flatnonzero(pc.not_equal(terms, "").to_numpy(zero_copy_only=False)[codes]) if len(codes) else codes  # at either end of a text
+    codes, doc, n = codes[named], doc[named], len(terms)
+    keys, times = _runs(group[doc] * n + codes)
+    once, _ = _runs(doc * n + codes)
+    _, docs = _runs(group[once // n] * n + once % n) if len(once) else (once, once)
+    return keys // max(n, 1), terms.take(keys % max(n, 1)), times, docs
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -47,31 +73,17 @@ def counts(docs: DataFrame) -> DataFrame:
     def scan(batches):
         import pyarrow as pa
 
-        found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-        def out():
-            for (lang, source), (n, held) in found.items():
-                terms = list(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array([n[t] for t in terms], pa.int64()), pa.array([held[t] for t in terms], pa.int64())],
-                    names=["lang", "source", "term", "n", "docs"],
-                )
-            found.clear()
-
-        size = 0
         for batch in batches:
-            for text, lang, source in zip(*batch.columns, strict=True):
-                n, held = found.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
-                of_text = words(text.as_py())
-                once = set(of_text)
-                new = once.difference(held)
-                n.update(of_text)
-                held.update(once)
-                size += sum(map(len, new)) + _ENTRY * len(new)
-                if size > _TABLE_BYTES:
-                    yield from out()
-                    size = 0
-        yield from out()
+            text, (lang, source) = _blanked(batch.column(0)), (c.dictionary_encode() for c in batch.columns[1:])
+            width = len(source.dictionary)
+            group = lang.indices.to_numpy().astype(np.int64) * width + source.indices.to_numpy()
+            ends, at = np.cumsum(np.diff(np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64))), 0
+            while at < len(text):
+                until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _SLICE_BYTES, side="right")))
+                of, term, n, held = _counted(text.slice(at, until - at), group[at:until])
+                if len(of):
+                    yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(of // width)), source.dictionary.take(pa.array(of % width)), term, pa.array(n), pa.array(held)], names=["lang", "source", "term", "n", "docs"])
+                at = until
 
     found = map_batches(docs.select("text", empty("lang"), empty("source")), scan, "lang string, source string, term string, n long, docs long")
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))

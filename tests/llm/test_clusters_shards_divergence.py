@@ -182,8 +182,8 @@ def test_audit_matches_plain_counts(spark, least, top):
     assert audited(df, least_docs=least, top=top) == plain_audit(rows, least, top)
 
 
-def test_audit_passes_full_tables_on(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "_ENTRY", 1 << 24)
+def test_audit_in_small_slices(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "_SLICE_BYTES", 100)
     monkeypatch.setattr(divergence, "_PAIR_CELLS", 4)
     rows = corpus(150)
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int")
