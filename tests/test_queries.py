@@ -1,10 +1,10 @@
 import pytest
 
-from edgeloom.plans import queries, round_trips
+from edgeloom.plans import geometry, queries, round_trips
 from tests.compare import connection, same
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries.QUERIES | round_trips.QUERIES, queries.ORACLES | round_trips.ORACLES
+QUERIES, ORACLES = queries.QUERIES | round_trips.QUERIES | geometry.QUERIES, queries.ORACLES | round_trips.ORACLES | geometry.ORACLES
 
 
 @pytest.fixture(scope="module")
