@@ -29,7 +29,7 @@ SCALE = 1_000_000_000
 PRIOR = 5
 MOST_GROUPS = 1 << 16
 #: Bytes of texts whose words a task counts at a time, and sums of pairs that it holds before it passes them on.
-_SLICE_BYTES, _PAIR_CELLS = 32 << 20, 1 << 21
+_SLICE_BYTES, _PAIR_CELLS = 8 << 20, 1 << 21
 #: Everything but letters as a space; A-Z in lower case; bytes of non-ASCII letters as they are.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
