@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from edgeloom.operators import mapping, volumes
 from edgeloom.plans.queries import table
+from edgeloom.sinks import shapes
+from edgeloom.sources import readers
+from edgeloom.sources.shared import fresh_folder
 
 
 #: Corners of an octahedron as (axis, sign), and its faces by the corners' places.
@@ -67,7 +70,38 @@ def roots_as_of(spark, d):
     return mapping.roots_as_of(asked, history)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (volume_synapses, volume_strengths, mesh_voxels, mesh_open_edges, roots_as_of)}
+def _of_file(column: str = "mesh"):
+    return F.regexp_extract(column, "mesh=([0-9]+)/", 1).cast("bigint")
+
+
+def mesh_files(spark, d):
+    """The solids through mesh files: triangles of what is read back."""
+    path = fresh_folder(spark, "meshes")
+    shapes.meshes(*supplier_solids(spark, d, 20, 30), path)
+    return volumes.triangles(*readers.meshes(spark, path)).withColumn("mesh", _of_file())
+
+
+def grid_files(spark, d):
+    """Cells that a supplier's line items occupy, through grid files."""
+    c = F.col
+    path = fresh_folder(spark, "grids")
+    held = table(spark, d, "lineitem").select((c("l_suppkey") % 40).alias("mesh"), (c("l_quantity") - 1).cast("int").alias("i"), F.round(c("l_discount") * 100).cast("int").alias("j"), F.round(c("l_tax") * 100).cast("int").alias("k"))
+    shapes.grids(held.filter("i % 3 = 0"), path, (50, 11, 9), (2.0, 1.0, 1.0))
+    return readers.grids(spark, path, "part-*").withColumn("mesh", _of_file())
+
+
+def skeleton_files(spark, d):
+    """Parts as trees, whose files have parents before children."""
+    c = F.col
+    path = fresh_folder(spark, "skeletons")
+    place = F.floor(c("p_partkey") / 7)
+    parent = F.when(place > 0, F.floor((place - 1) / 2) * 7 + c("p_partkey") % 7).otherwise(-1)
+    samples = table(spark, d, "part").select((c("p_partkey") % 7).alias("mesh"), c("p_partkey").alias("sample"), (c("p_size") % 8).alias("kind"), c("p_partkey").cast("double").alias("x"), (c("p_size") / 4).alias("y"), F.lit(0.5).alias("z"), F.lit(0.25).alias("radius"), parent.cast("bigint").alias("parent"))
+    shapes.skeletons(samples, path)
+    return readers.skeletons(spark, path + "/*/*").withColumn("mesh", _of_file("path")).drop("path")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (volume_synapses, volume_strengths, mesh_voxels, mesh_open_edges, roots_as_of, mesh_files, grid_files, skeleton_files)}
 
 _SOLIDS = "SELECT s_suppkey AS mesh, s_suppkey * 37 % 400 AS cx, s_suppkey * 53 % 300 AS cy, s_nationkey * 8 AS cz, s_suppkey % {step} + {least} + 0.5 AS r FROM supplier"
 _SYNAPSES = "SELECT l_suppkey AS source, l_partkey AS target, l_partkey % 400 AS x, l_orderkey * 7 % 300 AS y, l_quantity * 4 AS z FROM lineitem"
@@ -97,4 +131,11 @@ ORACLES: dict[str, str] = {
       WHERE mesh % 3 = 0 OR face >= mesh % 3) GROUP BY ALL HAVING count(*) % 2 = 1""",
     "roots_as_of": """SELECT q.*, h.root, h.since FROM (SELECT l_orderkey AS line, l_linenumber, l_partkey % 1700 AS supervoxel_id, CASE WHEN l_suppkey % 17 != 0 THEN l_shipdate END AS at FROM lineitem) q
       ASOF LEFT JOIN (SELECT o_custkey AS key, o_orderdate AS since, min(CASE WHEN o_orderkey % 11 != 0 THEN CAST(o_orderkey AS VARCHAR) END) AS root FROM orders GROUP BY ALL) h ON q.supervoxel_id = h.key AND q.at >= h.since""",
+    "mesh_files": f"""SELECT s.mesh, CAST((x.n - 1) * 4 + (y.n - 3) * 2 + z.n - 5 + 1 AS BIGINT) AS face, 0 AS part, cx + r * x.side AS ax, CAST(cy AS DOUBLE) AS ay, CAST(cz AS DOUBLE) AS az,
+      CAST(cx AS DOUBLE) AS bx, cy + r * y.side AS by, CAST(cz AS DOUBLE) AS bz, CAST(cx AS DOUBLE) AS cx, CAST(cy AS DOUBLE) AS cy, cz + r * z.side AS cz
+      FROM ({_SOLIDS.format(step=30, least=20)}) s, (VALUES (1, 1), (2, -1)) AS x(n, side), (VALUES (3, 1), (4, -1)) AS y(n, side), (VALUES (5, 1), (6, -1)) AS z(n, side)""",
+    "grid_files": "SELECT DISTINCT l_suppkey % 40 AS mesh, CAST(l_quantity - 1 AS INTEGER) AS i, CAST(round(l_discount * 100) AS INTEGER) AS j, CAST(round(l_tax * 100) AS INTEGER) AS k, CAST(255 AS DOUBLE) AS value FROM lineitem WHERE CAST(l_quantity - 1 AS INTEGER) % 3 = 0",
+    "skeleton_files": """WITH p AS (SELECT p_partkey % 7 AS mesh, p_partkey // 7 AS place, p_partkey AS old, row_number() OVER (PARTITION BY p_partkey % 7 ORDER BY p_partkey) AS sample, p_size FROM part)
+      SELECT p.mesh, p.sample, p_size % 8 AS kind, CAST(old AS DOUBLE) AS x, p_size / 4 AS y, CAST(0.5 AS DOUBLE) AS z, CAST(0.25 AS DOUBLE) AS radius, coalesce(q.sample, -1) AS parent
+      FROM p LEFT JOIN (SELECT mesh AS m, place AS q, sample FROM p) q ON m = p.mesh AND p.place > 0 AND q.q = (p.place - 1) // 2""",
 }
