@@ -6,12 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-#: Lists that :func:`written` notes its paths in.
-_noted: list[list[str]] = []
+#: Lists that :func:`written` notes its paths in; each thread has its own.
+_noted: ContextVar[tuple[list[str], ...]] = ContextVar("noted", default=())
 
 
 def workspace(spark: SparkSession) -> str:
@@ -45,7 +46,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     found._edgeloom_path = path
-    for paths in _noted:
+    for paths in _noted.get():
         paths.append(path)
     return found
 
@@ -54,11 +55,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def noted() -> Iterator[list[str]]:
     """The paths of the tables that :func:`written` makes inside."""
     paths: list[str] = []
-    _noted.append(paths)
+    before = _noted.set((*_noted.get(), paths))
     try:
         yield paths
     finally:
-        _noted.pop()
+        _noted.reset(before)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
