@@ -1,13 +1,12 @@
 """From raw documents to packed sequences: each stage's result is written as Parquet and read by the next.
 
-A stage's intermediate tables are deleted when the next stage begins, whose documents are a table of their own by then.
+A run deletes what it has made once nothing of it reads that any more: a stage's intermediate tables when its result is
+written, and that result when the next one is.  What the last stage's result reads stays with it, and one run knows nothing
+of another.
 """
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from edgeloom.llm import decontam, packing, rules, secrets, simhash
@@ -15,46 +14,27 @@ from edgeloom.llm.common import table, written
 from edgeloom.llm.queries import byte_vocabulary
 from edgeloom.sources.shared import forget_paths, noted
 
-_left: list[str] = []  # what the stage before has left
-
-
-def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    @functools.wraps(function)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        forget_paths(spark, _left)
-        with noted() as made:
-            found = function(spark, docs, sf_dir)
-        _left[:] = made
-        return found
 
-    return run_stage
-
-
-@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rules whose false rejections are bounded; the base rules have no bound (they reject 3 % of good documents at sf0.1)."""
     return rules.keep_good(docs, table(spark, sf_dir, "labels"), base=False)
 
 
-@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word-shingle similarity of 0.8 or more: the smallest id; null is an id and comes last."""
     return simhash.keep_one_similar(docs)
 
 
-@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of the benchmark; null text holds none."""
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-@_stage
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, secrets in its text replaced; null and empty texts stay as they are."""
     return secrets.redact(docs)
 
 
-@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training sequences: sequence_id, n_tokens, ids (padded to 2048 with id 0, except at a power of two) and where each piece comes from."""
     packed = packing.pack(docs, byte_vocabulary(), end_id=1, window=2048, keep_ids=True)
@@ -74,7 +54,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        with noted() as made:
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        forget_paths(spark, before + made[:-1])
+        before = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.llm.common import map_batches, ship, written
+from edgeloom.llm.common import forget, map_batches, ship, written
 
 SYMBOLS = b"#*$%&|<>"
 RULES = ("symbols", "dup_lines", "repeat_words", "shouting", "exclaiming", "stutter", "brevity")
@@ -215,10 +215,14 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", a
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA, cost: float = COST, base: bool = True) -> DataFrame:
-    """The rows of ``docs`` that the rules keep; each row is judged by itself, and texts are read once.
+    """The rows of ``docs`` that the rules keep; each row is judged by itself.
 
-    Without ``base`` the base rules, which no label bounds, don't decide: shortness and repetition are then only what the
-    rules of that name make of them, under the same bound on false rejections as all others.
+    Labelled texts are counted first, for the cutoffs, and then all rows on their way through, so that no copy of the texts
+    is written.  Without ``base`` the base rules, which no label bounds, don't decide: shortness and repetition are then only
+    what the rules of that name make of them, under the same bound on false rejections as all others.
     """
-    found = written(counted(docs, stratum, keep=True), "counted-rows")
-    return _judged(found, fit_cutoffs(found, labels, alpha, delta, cost, base), base).filter("kept").select("row.*")
+    labelled = docs.join(labels.filter("quality in (0, 1)").select("doc_id"), "doc_id", "left_semi")
+    counts = written(counted(labelled, stratum), "labelled-counts")
+    cutoffs = fit_cutoffs(counts, labels, alpha, delta, cost, base)
+    forget(counts)
+    return _judged(counted(docs, stratum, keep=True), cutoffs, base).filter("kept").select("row.*")

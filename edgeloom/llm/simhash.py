@@ -411,7 +411,9 @@ def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tile_row
     members = written(_with_roots(connected(_groups_by_keys(nodes))), "groups")
     near = written(_with_roots(connected(_candidate_links(nodes, members, tile_rows))), "near-members")
     roots = connected(_verified_links(docs, nodes.select("node", "n", "text_key"), near, shingle, similarity, most))
-    forget(nodes, members, near)
+    # the keys, most of these tables' bytes, have done their work
+    whole, rows = rows, written(rows.select("doc_id", "text_key", "node"), "nodes")
+    forget(whole, nodes, members, near)
     return rows.join(roots, "node", "left").select("doc_id", "text_key", F.coalesce("root", "node").alias("root"))
 
 

@@ -111,3 +111,30 @@ def test_quality_stage_rejects_and_keeps(spark, tmp_path, pipeline):
 
 def test_empty_documents(spark, tmp_path, pipeline):
     assert pipeline.run(spark, _tables(spark, tmp_path, cases.empty(spark))).count() == 0
+
+
+def _sorted(df):
+    return sorted((r["n_tokens"], bytes(r["ids"])) for r in df.collect())
+
+
+def test_runs_leave_each_other_alone(spark, tmp_path, pipeline):
+    """Two runs, read in either order, then two at once: each result is whole and the same."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder = _tables(spark, tmp_path, cases.documents(spark))
+    first, second = pipeline.run(spark, folder), pipeline.run(spark, folder)
+    found = _sorted(first)
+    assert found and found == _sorted(second)
+    third, fourth = pipeline.run(spark, folder), pipeline.run(spark, folder)
+    assert _sorted(fourth) == found == _sorted(third)
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(lambda _: _sorted(pipeline.run(spark, folder)), range(2)))
+    assert results == [found, found]
+
+
+def test_a_stage_leaves_another_use_of_it_alone(spark, tmp_path, pipeline):
+    folder = _tables(spark, tmp_path, cases.documents(spark))
+    for _, stage in pipeline.STAGES:
+        one = stage(spark, cases.documents(spark), folder)
+        other = stage(spark, cases.documents(spark, rows=[(1, cases.prose(40, 3), "en", "s", 0)]), folder)
+        assert other.count() == 1 and one.count() > 1
