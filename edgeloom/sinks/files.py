@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeloom.functions.scalars import date_stamp
 from edgeloom.operators.slices import batches
 from edgeloom.operators.template import COLUMNS, document
-from edgeloom.sources.shared import workspace, written
+from edgeloom.sources.shared import forget, workspace, written
 
 
 def _fs(spark: SparkSession, path: str):
@@ -16,17 +18,21 @@ def _fs(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _options(writer, header: bool = True):
-    # quotes are doubled, null and empty cells are blank
-    return writer.option("sep", "\t").option("header", header).option("quote", '"').option("escape", '"').option("emptyValue", "").option("nullValue", "")
+#: Quotes are doubled, null and empty cells are blank.
+_CELLS = {"sep": "\t", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": ""}
+
+
+def _options(writer):
+    return writer.options(**_CELLS).option("header", True)
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its rows on shared storage, partitions and rows in the order that they have."""
+def _checkpointed(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with its rows on shared storage, partitions and rows in the order that they have, and where they are."""
     context = df.sparkSession.sparkContext
     if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
         context.setCheckpointDir(workspace(df.sparkSession))
-    return df.checkpoint()
+    held = df.checkpoint()
+    return held, held._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
 
 
 def _put(spark: SparkSession, made, path: str) -> None:
@@ -42,10 +48,25 @@ def _put(spark: SparkSession, made, path: str) -> None:
     fs.delete(old, True)
 
 
-def _one_file(body: DataFrame, path: str, write) -> None:
-    """What ``write`` writes of ``body``'s only partition, as the file ``path``."""
-    spark, work = body.sparkSession, path + ".parts"
-    write(body.coalesce(1).write.mode("overwrite"), work)
+def _one_file(rows: DataFrame, order: tuple[str, ...], line: Column, path: str, first: str | None = None, gzip: bool = False) -> None:
+    """A line for each row, in the given order, as the file ``path``, after the line ``first``.
+
+    Rows are made once, into a table that the order's ranges are then sampled from.  All tasks sort and make lines; these go
+    to shared storage in order, and the one task that writes the file only copies them.  Neither copy stays.
+    """
+    spark, work = rows.sparkSession, path + ".parts"
+    table = written(rows, "rows") if order else rows
+    held, where = _checkpointed((table.orderBy(*order) if order else table).select(line.alias("line")))
+    if order:
+        forget(table)
+    if first is not None:
+        held = spark.range(1).select(F.lit(first).alias(held.columns[0])).union(held)
+    try:
+        writer = held.coalesce(1).write.mode("overwrite")
+        (writer.option("compression", "gzip") if gzip else writer).text(work)
+    finally:
+        at, fs = _fs(spark, where)
+        fs.delete(at, True)
     source, fs = _fs(spark, work)
     _put(spark, next(s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-")), path)
     fs.delete(source, True)
@@ -54,13 +75,12 @@ def _one_file(body: DataFrame, path: str, write) -> None:
 def tsv(df: DataFrame, path: str, *order: str, drop: tuple[str, ...] = ()) -> None:
     """One file with a header, its rows in the given order; an older file is replaced at the end.
 
-    Rows are made once, into a table that the order's ranges are then sampled from.  All tasks sort; sorted partitions are
-    put on shared storage, and the one task that writes the file only reads them in turn.  Write :func:`tsv_folder`
-    instead where one file isn't required.
+    Write :func:`tsv_folder` instead where one file isn't required.
     """
     columns = [c for c in df.columns if c not in drop]
-    body = _checkpointed(written(df, "rows").orderBy(*order)) if order else df
-    _one_file(body.select(*columns), path, lambda writer, work: _options(writer).csv(work))
+    cells = lambda *values: F.to_csv(F.struct(*values), _CELLS)
+    head = df.sparkSession.range(1).select(cells(*[F.lit(c).alias(f"_{i}") for i, c in enumerate(columns)]).alias("line")).first()["line"]
+    _one_file(df, order, cells(*[F.col(f"`{c}`") for c in columns]), path, head)
 
 
 def template_tsv(template: DataFrame, path: str, order: str) -> None:
@@ -96,8 +116,7 @@ def ontology(template_rows: DataFrame, path: str, iri: str, gzip: bool = True, p
     name = path.rstrip("/").rsplit("/", 1)[-1]
     if not (name.startswith("connectome_") and name.endswith(".owl")):
         raise ValueError("an ontology's name must be connectome_*.owl")
-    body = _checkpointed(written(document(template_rows, iri, prefixes), "lines").orderBy("part", "value").select("value"))
-    _one_file(body, path + ".gz" * gzip, lambda writer, work: (writer.option("compression", "gzip") if gzip else writer).text(work))
+    _one_file(document(template_rows, iri, prefixes), ("part", "value"), F.col("value"), path + ".gz" * gzip, gzip=gzip)
 
 
 def metadata(spark: SparkSession, path: str, **fields: str) -> None:
@@ -112,5 +131,39 @@ def metadata(spark: SparkSession, path: str, **fields: str) -> None:
 
 
 def deletions(plan: DataFrame) -> DataFrame:
-    """Folder and file name pattern to delete before files are made anew; carried out by whoever owns the folders."""
+    """Folder and file name pattern to delete before files are made anew; :func:`delete_planned` carries it out."""
     return plan.filter("delete_first").select("folder", F.explode(F.array(F.lit("volume*"), F.lit("thumbnail*"))).alias("pattern"))
+
+
+def delete_planned(plan: DataFrame, log: str, batch: int = 1000) -> int:
+    """Deletes the files of :func:`deletions` and says how many; each is named in a file of the folder ``log``.
+
+    Folders come to the driver in turn, never all at once.  The log of a batch is written before the next batch begins, so
+    what an interrupted run has deleted is known; run again, it deletes what is left and nothing twice.  Only files right in
+    a folder are deleted; a folder that isn't there is no error, and one without a name or the root of a store is.
+    """
+    spark, done, lines = plan.sparkSession, 0, []
+
+    def note() -> None:
+        if lines:
+            target, fs = _fs(spark, f"{log}/deleted-{uuid.uuid4().hex[:12]}.txt")
+            out = fs.create(target, False)
+            out.write(bytearray("".join(f"{x}\n" for x in lines), "utf-8"))
+            out.close()
+            lines.clear()
+
+    try:
+        for row in deletions(plan).toLocalIterator():
+            folder = (row["folder"] or "").rstrip("/")
+            if not folder or folder.endswith(":"):
+                raise ValueError("a planned deletion names no folder")
+            where, fs = _fs(spark, f"{folder}/{row['pattern']}")
+            for found in fs.globStatus(where) or ():
+                if found.isFile() and fs.delete(found.getPath(), False):
+                    lines.append(found.getPath().toString())
+                    done += 1
+            if len(lines) >= batch:
+                note()
+    finally:
+        note()
+    return done

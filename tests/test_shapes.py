@@ -153,3 +153,24 @@ def test_meshes_from_files_are_solids(spark, tmp_path):
     assert volumes.open_edges(faces).collect() == []
     found = volumes.voxels(volumes.triangles(vertices, faces), (1, 1, 1), (4, 4, 4)).count()
     assert found == sum(i + j + k <= 4 for i in range(4) for j in range(4) for k in range(4))
+
+
+def test_planned_deletions_are_carried_out_once(spark, tmp_path):
+    from edgeloom.operators import artifacts
+    from edgeloom.sinks import files
+
+    for name in ("a", "b", "c"):
+        (tmp_path / name).mkdir()
+        for file in ("volume.swc", "volume_man.obj", "thumbnail.png", "keep.txt"):
+            (tmp_path / name / file).write_text("x")
+    (tmp_path / "a" / "volume_dir").mkdir()
+    rows = [(1, f"{tmp_path}/a", True, True, True, True), (2, f"{tmp_path}/b/", True, True, True, False), (3, f"{tmp_path}/c", False, True, False, True), (4, f"{tmp_path}/gone", True, True, True, True)]
+    plan = artifacts.plan(spark.createDataFrame(rows, "root_id int, folder string, has_swc boolean, has_obj boolean, has_nrrd boolean, redo boolean"))
+    assert files.delete_planned(plan, f"{tmp_path}/log", batch=2) == 6
+    logged = sorted(x.removeprefix("file:") for f in (tmp_path / "log").glob("deleted-*") for x in f.read_text().splitlines())
+    assert logged == sorted(f"{tmp_path}/{n}/{f}" for n in "ac" for f in ("volume.swc", "volume_man.obj", "thumbnail.png"))
+    left = sorted(str(p.relative_to(tmp_path)) for n in "abc" for p in (tmp_path / n).iterdir())
+    assert left == ["a/keep.txt", "a/volume_dir", "b/keep.txt", "b/thumbnail.png", "b/volume.swc", "b/volume_man.obj", "c/keep.txt"]
+    assert files.delete_planned(plan, f"{tmp_path}/log") == 0
+    with pytest.raises(ValueError, match="no folder"):
+        files.delete_planned(spark.createDataFrame([("/", True)], "folder string, delete_first boolean"), f"{tmp_path}/log")
