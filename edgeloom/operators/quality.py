@@ -42,6 +42,12 @@ def mismatches(a: str, b: str) -> Column:
     return F.count_if(F.col(a) != F.col(b))
 
 
+def profile(df: DataFrame) -> DataFrame:
+    """A row for each column: ``place``, ``name``, ``type``, and the table's ``rows``, ``nulls`` and ``most`` (the greatest value as text), in one pass."""
+    facts = [F.struct(F.lit(i).cast("bigint").alias("place"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col(f"`{f.name}`").isNull()).alias("nulls"), F.max(f"`{f.name}`").cast("string").alias("most")) for i, f in enumerate(df.schema)]
+    return df.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
+
+
 def lacking(df: DataFrame, *columns: str) -> DataFrame:
     """Rows with a null in any of the columns."""
     condition = F.lit(False)

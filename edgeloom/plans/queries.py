@@ -283,6 +283,12 @@ def bool_checks(spark, d):
     return held.agg(quality.any_null("l_shipdate").alias("any_null_date"), quality.all_equal("l_linenumber", "l_linenumber").alias("all_same"), quality.mismatches("l_suppkey", "l_partkey").alias("n_mismatch"))
 
 
+def group_checks(spark, d):
+    """By order: whether any date is missing, whether all line items are open, and how many aren't."""
+    held = table(spark, d, "lineitem").filter("l_quantity > 46").withColumn("open", F.lit("O"))
+    return held.groupBy("l_orderkey").agg(quality.any_null("l_shipdate").alias("any_null_date"), quality.all_equal("l_linestatus", "open").alias("all_open"), quality.mismatches("l_linestatus", "open").alias("n_closed"))
+
+
 def limit_offset(spark, d):
     return slices.rows_between(table(spark, d, "customer").select("c_custkey", "c_name"), 100, 110, "c_custkey")
 
@@ -440,7 +446,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         registry_pattern, registry_by_site, registry_by_dataset, registry_accessions, edge_threshold, edge_induced, edge_roi_sum, edge_synapse_count, edge_file, nn_edges_homogeneous, template_rows,
         template_induced, template_assertions, unmapped_ids, missing_report, missing_rows, curation_neuprint, curation_regex, curation_banc, curation_flywire, curation_minimal, drop_ambiguous,
         ambiguous_report, value_counts, batch_number, chunk_per_sample, try_int_cast, registry_malformed, in_out_strength, path_query_bag, url_rewrite, voxel_occupancy, first_xref, json_envelope,
-        envelope_rows, artifact_plan, matrix_unpivot, bool_checks, limit_offset, supervoxel_roots, volume_edges, nodes_limited,
+        envelope_rows, artifact_plan, matrix_unpivot, bool_checks, group_checks, limit_offset, supervoxel_roots, volume_edges, nodes_limited,
         edge_pairs, edge_downstream, edge_regions, registered_images, rows_with_gaps, preview_rows,
         edge_synapses, template_extra, site_xrefs, mapped_edges, date_stamps, chunks_by_segment, grid_scaled, missing_texts, registry_outcomes, usable_ids, local_folders, artifact_state, deletion_patterns, windowed_synapses, running_weights,
         batch_of_items,
@@ -495,6 +501,7 @@ ORACLES: dict[str, str] = {
     "envelope_rows": "SELECT CAST(c_custkey AS VARCHAR) AS accession, c_name AS neuron_label FROM customer",
     "artifact_plan": "SELECT o_orderkey AS root_id, '/images/' || o_orderkey AS folder, d OR NOT s AS make_swc, d OR NOT o AS make_obj, d OR NOT n AS make_nrrd, d AS delete_first FROM (SELECT *, r AND (s OR o) AS d FROM (SELECT o_orderkey, o_orderkey % 2 = 0 AS s, o_orderkey % 3 = 0 AS o, o_orderkey % 5 = 0 AS n, o_orderpriority = '1-URGENT' AS r FROM orders)) WHERE NOT (s AND o AND n) OR r",
     "matrix_unpivot": " UNION ALL ".join(f"SELECT s_nationkey AS source, 'm{k}' AS target, m{k} AS weight FROM ({_MATRIX}) WHERE m{k} IS NOT NULL" for k in range(5)),
+    "group_checks": "SELECT l_orderkey, bool_or(l_shipdate IS NULL) AS any_null_date, bool_and(l_linestatus = 'O') AS all_open, count(*) FILTER (WHERE l_linestatus != 'O') AS n_closed FROM lineitem WHERE l_quantity > 46 GROUP BY ALL",
     "bool_checks": "SELECT bool_or(l_shipdate IS NULL) AS any_null_date, bool_and(coalesce(l_linenumber = l_linenumber, false)) AS all_same, count(*) FILTER (WHERE l_suppkey != l_partkey) AS n_mismatch FROM lineitem",
     "limit_offset": "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 10 OFFSET 100",
     "supervoxel_roots": "SELECT c_custkey AS supervoxel_id, CAST(root AS VARCHAR) AS mapped_root FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS root FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey",

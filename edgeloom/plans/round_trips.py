@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeloom.functions import scalars as S
-from edgeloom.operators import graph, template
+from edgeloom.operators import graph, quality, template
 from edgeloom.plans.queries import customer_graph, induced, supplier_ids, supply_edges, table
 from edgeloom.plans.queries import _EDGES, _INDUCED, _XREFS, _xrefs
 from edgeloom.sinks import files
@@ -121,8 +121,32 @@ def edge_schema(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(found.schema)], "place bigint, name string, type string")
 
 
+def metadata_tables(spark: SparkSession, d: str) -> DataFrame:
+    """A metadata file for each nation: its lines as read back."""
+    path = fresh_folder(spark, "metadata")
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("DataSet"), F.when(F.col("n_nationkey") % 4 != 0, F.concat("n_name", F.lit("\n of "), "r_name")).alias("Curator"), F.lit("JRC2018U").alias("Template"))
+    files.metadata_files(named, path, "n_nationkey")
+    return spark.read.text(path + "/*").select(F.regexp_extract(F.input_file_name(), "n_nationkey=([0-9]+)", 1).cast("bigint").alias("nation"), F.col("value").alias("line"))
+
+
+def inventory_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Files of customers' names by nation, as an inventory that reads none of them."""
+    path = fresh_folder(spark, "inventory")
+    table(spark, d, "customer").repartition("c_nationkey").select("c_nationkey", F.col("c_name").alias("value")).write.partitionBy("c_nationkey").text(path)
+    found = readers.artifacts(spark, path, "part-*")
+    return found.groupBy(F.regexp_extract("folder", "c_nationkey=([0-9]+)$", 1).cast("bigint").alias("nation")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("files"))
+
+
+def stored_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Columns of the edge contract as a file keeps them, with their types, rows, nulls and greatest values."""
+    path = fresh_folder(spark, "profile")
+    supply_edges(spark, d).withColumn("weight", F.when(F.col("weight") % 5 != 0, F.col("weight"))).write.parquet(path)
+    return quality.profile(readers.parquet(spark, path, schemas.EDGES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (ordered_tsv, chunked_files, tsv_types, graph_files, envelope_files, edge_file_stored, skeleton_rows, file_inventory, metadata_lines, ids_in_memory, ontology_document, edge_schema)
+    f.__name__: f for f in (ordered_tsv, chunked_files, tsv_types, graph_files, envelope_files, edge_file_stored, skeleton_rows, file_inventory, metadata_lines, ids_in_memory, ontology_document, edge_schema, metadata_tables, inventory_sizes, stored_profile)
 }
 
 _FACTS = f"SELECT replace(a.vfb_id, '_', ':') AS s, replace(b.vfb_id, '_', ':') AS t, weight FROM ({_INDUCED}) e JOIN ({_XREFS}) a ON CAST(e.source AS VARCHAR) = a.accession JOIN ({_XREFS}) b ON CAST(e.target AS VARCHAR) = b.accession WHERE weight > 48"
@@ -142,4 +166,11 @@ ORACLES: dict[str, str] = {
     "ontology_document": "SELECT unnest([" + ", ".join(f"'{x}'" for x in _HEAD) + f"""]) AS value UNION ALL SELECT DISTINCT 'Declaration(NamedIndividual(' || i || '))' FROM (SELECT s AS i FROM ({_FACTS}) UNION ALL SELECT t FROM ({_FACTS}))
       UNION ALL SELECT 'ObjectPropertyAssertion(Annotation(n2o:weight "' || weight || '"^^xsd:integer) {template.PROPERTY} ' || s || ' ' || t || ')' FROM ({_FACTS})""",
     "edge_schema": "SELECT * FROM (VALUES (CAST(0 AS BIGINT), 'source', 'bigint'), (CAST(1 AS BIGINT), 'target', 'bigint'), (CAST(2 AS BIGINT), 'weight', 'bigint')) AS t(place, name, type)",
+    "metadata_tables": """SELECT CAST(n_nationkey AS BIGINT) AS nation, unnest(CASE WHEN n_nationkey % 4 != 0 THEN ['DataSet: ' || n_name, 'Curator: ' || n_name || ' of ' || r_name, 'Template: JRC2018U'] ELSE ['DataSet: ' || n_name, 'Template: JRC2018U'] END) AS line
+      FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "inventory_sizes": "SELECT CAST(c_nationkey AS BIGINT) AS nation, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS size, CAST(1 AS BIGINT) AS files FROM customer GROUP BY ALL",
+    "stored_profile": """WITH e AS (SELECT l_suppkey AS source, l_partkey AS target, CASE WHEN CAST(l_quantity AS BIGINT) % 5 != 0 THEN CAST(l_quantity AS BIGINT) END AS weight FROM lineitem)
+      SELECT CAST(place AS BIGINT) AS place, name, 'bigint' AS type, rows, nulls, CAST(most AS VARCHAR) AS most FROM (
+        SELECT 0 AS place, 'source' AS name, count(*) AS rows, count(*) - count(source) AS nulls, max(source) AS most FROM e
+        UNION ALL SELECT 1, 'target', count(*), count(*) - count(target), max(target) FROM e UNION ALL SELECT 2, 'weight', count(*), count(*) - count(weight), max(weight) FROM e)""",
 }

@@ -130,6 +130,14 @@ def metadata(spark: SparkSession, path: str, **fields: str) -> None:
     out.close()
 
 
+def metadata_files(df: DataFrame, path: str, key: str) -> None:
+    """A file of ``key: value`` lines for each row, in a folder named after its ``key`` column; null fields have no line."""
+    fields = [c for c in df.columns if c != key]
+    lines = F.array_compact(F.array(*[F.concat(F.lit(f"{c}: "), F.regexp_replace(F.col(f"`{c}`").cast("string"), r"\s*[\r\n]+\s*", " ")) for c in fields]))
+    each = df.select(key, F.array_join(lines, "\n").alias("value")).repartition(key).sortWithinPartitions(key, "value")
+    each.write.mode("overwrite").partitionBy(key).text(path)
+
+
 def deletions(plan: DataFrame) -> DataFrame:
     """Folder and file name pattern to delete before files are made anew; :func:`delete_planned` carries it out."""
     return plan.filter("delete_first").select("folder", F.explode(F.array(F.lit("volume*"), F.lit("thumbnail*"))).alias("pattern"))
