@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.operators import mapping, volumes
+from edgeloom.operators import mapping, spaces, volumes
 from edgeloom.plans.queries import table
 from edgeloom.sinks import shapes
 from edgeloom.sources import readers
@@ -101,7 +101,19 @@ def skeleton_files(spark, d):
     return readers.skeletons(spark, path + "/*/*").withColumn("mesh", _of_file("path")).drop("path")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (volume_synapses, volume_strengths, mesh_voxels, mesh_open_edges, roots_as_of, mesh_files, grid_files, skeleton_files)}
+def bridged_points(spark, d):
+    """Line items as points through an affine bridge and a field whose nodes are parts; those outside it have no place."""
+    c = F.col
+    node = lambda k: ((c("p_partkey") * k % 11 - 5) / 8).cast("double")
+    nodes = table(spark, d, "part").select((c("p_partkey") % 5).alias("i"), F.floor(c("p_partkey") / 5).cast("bigint").alias("j"), F.lit(0).alias("k"), node(7).alias("dx"), node(3).alias("dy"), node(4).alias("dz"))
+    nodes = nodes.union(nodes.withColumn("k", F.lit(1)).withColumn("dx", -c("dx")))
+    field = spaces.field_of(nodes.filter("i < 4 OR j < 30"), (0.0, 0.0, 0.0), (4.0, 4.0, 32.0))
+    bridges = spaces.Spaces().affine("RAW", "MID", [[0.25, 0, 0, 0], [0, 1, 0, 2], [0, 0, 0.5, 0]]).displacement("MID", "TEMPLATE", field)
+    points = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_quantity").distinct().select("l_partkey", "l_suppkey", "l_quantity", (c("l_partkey") % 72).alias("x"), (c("l_suppkey") * 5 % 160).alias("y"), c("l_quantity").alias("z"))
+    return bridges.transform(points, "RAW", "TEMPLATE", via="MID")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (volume_synapses, volume_strengths, mesh_voxels, mesh_open_edges, roots_as_of, mesh_files, grid_files, skeleton_files, bridged_points)}
 
 _SOLIDS = "SELECT s_suppkey AS mesh, s_suppkey * 37 % 400 AS cx, s_suppkey * 53 % 300 AS cy, s_nationkey * 8 AS cz, s_suppkey % {step} + {least} + 0.5 AS r FROM supplier"
 _SYNAPSES = "SELECT l_suppkey AS source, l_partkey AS target, l_partkey % 400 AS x, l_orderkey * 7 % 300 AS y, l_quantity * 4 AS z FROM lineitem"
@@ -138,4 +150,13 @@ ORACLES: dict[str, str] = {
     "skeleton_files": """WITH p AS (SELECT p_partkey % 7 AS mesh, p_partkey // 7 AS place, p_partkey AS old, row_number() OVER (PARTITION BY p_partkey % 7 ORDER BY p_partkey) AS sample, p_size FROM part)
       SELECT p.mesh, p.sample, p_size % 8 AS kind, CAST(old AS DOUBLE) AS x, p_size / 4 AS y, CAST(0.5 AS DOUBLE) AS z, CAST(0.25 AS DOUBLE) AS radius, coalesce(q.sample, -1) AS parent
       FROM p LEFT JOIN (SELECT mesh AS m, place AS q, sample FROM p) q ON m = p.mesh AND p.place > 0 AND q.q = (p.place - 1) // 2""",
+    "bridged_points": """WITH n AS (SELECT p_partkey % 5 AS i, p_partkey // 5 AS j, k, (p_partkey * 7 % 11 - 5) / 8 * CASE WHEN k = 1 THEN -1 ELSE 1 END AS dx, (p_partkey * 3 % 11 - 5) / 8 AS dy, (p_partkey * 4 % 11 - 5) / 8 AS dz
+        FROM part, (VALUES (0), (1)) AS t(k) WHERE p_partkey % 5 < 4 OR p_partkey // 5 < 30),
+      m AS (SELECT max(i) AS mi, max(j) AS mj FROM n),
+      p AS (SELECT DISTINCT l_partkey, l_suppkey, l_quantity, (l_partkey % 72) * 0.25 AS x, (l_suppkey * 5 % 160) + 2 AS y, CAST(l_quantity AS DOUBLE) * 0.5 AS z FROM lineitem),
+      u AS (SELECT *, CAST(least(floor(x / 4), mi - 1) AS BIGINT) AS ci, CAST(least(floor(y / 4), mj - 1) AS BIGINT) AS cj FROM p, m),
+      w AS (SELECT l_partkey, l_suppkey, l_quantity, count(*) AS corners, sum(f * dx) AS dx, sum(f * dy) AS dy, sum(f * dz) AS dz FROM (
+        SELECT u.l_partkey, u.l_suppkey, u.l_quantity, n.dx, n.dy, n.dz, (1 - abs(x / 4 - n.i)) * (1 - abs(y / 4 - n.j)) * (1 - abs(z / 32 - n.k)) AS f
+        FROM u JOIN n ON n.i IN (ci, ci + 1) AND n.j IN (cj, cj + 1) AND x / 4 <= mi AND y / 4 <= mj) c GROUP BY ALL HAVING count(*) = 8)
+      SELECT p.l_partkey, p.l_suppkey, p.l_quantity, CAST(x + dx AS DOUBLE) AS x, CAST(y + dy AS DOUBLE) AS y, CAST(z + dz AS DOUBLE) AS z FROM p LEFT JOIN w USING (l_partkey, l_suppkey, l_quantity)""",
 }
