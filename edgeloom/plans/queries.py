@@ -425,6 +425,15 @@ def deletion_patterns(spark, d):
     return files.deletions(artifact_plan(spark, d))
 
 
+def synapse_bursts(spark, d):
+    """Bursts of a pair, as the stream's plan gives them over a table at rest; every third synapse comes twice."""
+    from edgeloom.streaming import edges as streams
+
+    held = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 20).alias("pre"), (F.col("event_id") % 7).alias("post"), F.col("event_id").alias("synapse_id"))
+    found = streams.sessions(held.union(held.filter("synapse_id % 3 = 0")), gap="2 hours")
+    return found.select(F.date_format("begins", "yyyy-MM-dd HH:mm:ss").alias("begins"), F.date_format("ends", "yyyy-MM-dd HH:mm:ss").alias("ends"), "source", "target", "weight")
+
+
 def windowed_synapses(spark, d):
     """Synapses counted by pair and window, as the stream's plan gives them over a table at rest."""
     from edgeloom.streaming import edges as streams
@@ -448,7 +457,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ambiguous_report, value_counts, batch_number, chunk_per_sample, try_int_cast, registry_malformed, in_out_strength, path_query_bag, url_rewrite, voxel_occupancy, first_xref, json_envelope,
         envelope_rows, artifact_plan, matrix_unpivot, bool_checks, group_checks, limit_offset, supervoxel_roots, volume_edges, nodes_limited,
         edge_pairs, edge_downstream, edge_regions, registered_images, rows_with_gaps, preview_rows,
-        edge_synapses, template_extra, site_xrefs, mapped_edges, date_stamps, chunks_by_segment, grid_scaled, missing_texts, registry_outcomes, usable_ids, local_folders, artifact_state, deletion_patterns, windowed_synapses, running_weights,
+        edge_synapses, template_extra, site_xrefs, mapped_edges, date_stamps, chunks_by_segment, grid_scaled, missing_texts, registry_outcomes, usable_ids, local_folders, artifact_state, deletion_patterns, windowed_synapses, synapse_bursts, running_weights,
         batch_of_items,
     )
 }
@@ -526,6 +535,9 @@ ORACLES: dict[str, str] = {
     "local_folders": "SELECT page_id AS body_id, f AS folder, f || '/volume.swc' AS swc_path, f || '/volume_man.obj' AS obj_path, f || '/volume.nrrd' AS nrrd_path FROM (SELECT page_id, regexp_replace(replace(url, 'http://', '/data/'), '/[^/]*$', '') AS f FROM pages WHERE page_id % 2 = 0)",
     "artifact_state": "SELECT CAST(c_custkey AS VARCHAR) AS root_id, '/images/' || c_custkey AS folder, coalesce(bool_or(o_orderkey % 4 = 0), false) AS has_swc, coalesce(bool_or(o_orderkey % 4 = 1), false) AS has_obj, coalesce(bool_or(o_orderkey % 4 = 2), false) AS has_nrrd FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey",
     "deletion_patterns": "SELECT '/images/' || o_orderkey AS folder, unnest(['volume*', 'thumbnail*']) AS pattern FROM orders WHERE o_orderpriority = '1-URGENT' AND (o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)",
+    "synapse_bursts": """SELECT strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS begins, strftime(max(ts) + INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS ends, source, target, count(*) AS weight FROM (
+      SELECT *, sum(CASE WHEN ts >= last + INTERVAL 2 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY source, target ORDER BY ts) AS burst FROM (
+        SELECT ts, user_id % 20 AS source, event_id % 7 AS target, lag(ts) OVER (PARTITION BY user_id % 20, event_id % 7 ORDER BY ts) AS last FROM events) a) b GROUP BY source, target, burst""",
     "windowed_synapses": "SELECT strftime(ts, '%Y-%m-%d') AS day, user_id % 20 AS source, event_id % 7 AS target, count(*) AS weight FROM events WHERE user_id % 20 < 15 GROUP BY ALL",
     "running_weights": f"SELECT source, target, CAST(sum(weight) AS BIGINT) AS weight FROM ({_EDGES}) GROUP BY ALL HAVING sum(weight) > 60",
     "batch_of_items": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CAST((row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1) // 1000 AS BIGINT) AS batch FROM lineitem",

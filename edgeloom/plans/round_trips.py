@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeloom.functions import scalars as S
-from edgeloom.operators import graph, quality, template
+from edgeloom.operators import graph, quality, summaries, template, versions
 from edgeloom.plans.queries import customer_graph, induced, supplier_ids, supply_edges, table
 from edgeloom.plans.queries import _EDGES, _INDUCED, _XREFS, _xrefs
 from edgeloom.sinks import files
@@ -145,8 +146,27 @@ def stored_profile(spark: SparkSession, d: str) -> DataFrame:
     return quality.profile(readers.parquet(spark, path, schemas.EDGES))
 
 
+def version_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Edges that two stored versions don't share: line items without returned ones, and without those of the fifth line."""
+    path = fresh_folder(spark, "versions")
+    name = "edgeloom_" + re.sub(r"\W", "_", path.rsplit("/", 1)[-1])
+    held = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("source"), F.col("l_partkey").alias("target"), F.col("l_quantity").cast("bigint").alias("weight"), "l_returnflag", "l_linenumber")
+    old = versions.stored(held.filter("l_returnflag != 'R'"), name + "_old", 8, path + "/old")
+    new = versions.stored(held.filter("l_linenumber != 5"), name + "_new", 8, path + "/new")
+    return versions.changes(old, new).withColumns({n: S.text(F.col(n)) for n in ("before", "after")})
+
+
+def merged_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """Partners and weights of parts from summaries that were made and stored apart, for each return flag."""
+    path = fresh_folder(spark, "summaries")
+    held = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("source"), F.col("l_partkey").alias("target"), F.col("l_quantity").cast("bigint").alias("weight"), "l_returnflag")
+    for flag in ("N", "R", "A"):
+        summaries.summarised(held.filter(F.col("l_returnflag") == flag), "target", "source").write.parquet(f"{path}/{flag}")
+    return summaries.estimates(summaries.merged(*[spark.read.parquet(f"{path}/{flag}") for flag in ("A", "N", "R")]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (ordered_tsv, chunked_files, tsv_types, graph_files, envelope_files, edge_file_stored, skeleton_rows, file_inventory, metadata_lines, ids_in_memory, ontology_document, edge_schema, metadata_tables, inventory_sizes, stored_profile)
+    f.__name__: f for f in (ordered_tsv, chunked_files, tsv_types, graph_files, envelope_files, edge_file_stored, skeleton_rows, file_inventory, metadata_lines, ids_in_memory, ontology_document, edge_schema, metadata_tables, inventory_sizes, stored_profile, version_changes, merged_summaries)
 }
 
 _FACTS = f"SELECT replace(a.vfb_id, '_', ':') AS s, replace(b.vfb_id, '_', ':') AS t, weight FROM ({_INDUCED}) e JOIN ({_XREFS}) a ON CAST(e.source AS VARCHAR) = a.accession JOIN ({_XREFS}) b ON CAST(e.target AS VARCHAR) = b.accession WHERE weight > 48"
@@ -173,4 +193,9 @@ ORACLES: dict[str, str] = {
       SELECT CAST(place AS BIGINT) AS place, name, 'bigint' AS type, rows, nulls, CAST(most AS VARCHAR) AS most FROM (
         SELECT 0 AS place, 'source' AS name, count(*) AS rows, count(*) - count(source) AS nulls, max(source) AS most FROM e
         UNION ALL SELECT 1, 'target', count(*), count(*) - count(target), max(target) FROM e UNION ALL SELECT 2, 'weight', count(*), count(*) - count(weight), max(weight) FROM e)""",
+    "version_changes": """WITH e AS (SELECT l_suppkey AS source, l_partkey AS target, CAST(l_quantity AS BIGINT) AS weight, l_returnflag, l_linenumber FROM lineitem),
+      a AS (SELECT source, target, CAST(sum(weight) AS BIGINT) AS before FROM e WHERE l_returnflag != 'R' GROUP BY ALL), b AS (SELECT source, target, CAST(sum(weight) AS BIGINT) AS after FROM e WHERE l_linenumber != 5 GROUP BY ALL)
+      SELECT source, target, CASE WHEN before IS NULL THEN 'added' WHEN after IS NULL THEN 'removed' ELSE 'changed' END AS change, CAST(before AS VARCHAR) AS before, CAST(after AS VARCHAR) AS after FROM a FULL JOIN b USING (source, target) WHERE before IS DISTINCT FROM after""",
+    "merged_summaries": """SELECT l_partkey AS node, count(DISTINCT l_suppkey) AS n_partners, count(*) AS edges, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total,
+      quantile_disc(CAST(l_quantity AS BIGINT), 0.5) AS weight_50, quantile_disc(CAST(l_quantity AS BIGINT), 0.9) AS weight_90 FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY ALL""",
 }
