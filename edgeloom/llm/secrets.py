@@ -2,7 +2,7 @@
 
 A candidate is a value of at least 6 characters, of a word of at least 12 with a digit, of a word with a key such as
 ``password=``, or of one of the three words after a word that names a secret: each value with its key in JSON, connection strings and lists, the password of an address, and each run between quotes, brackets
-and separators; and a block of a private key is one candidate.  Its features: length; how often the character class changes and how common its letter pairs are (character transitions);
+and separators; and a block of a private key is one candidate, whose words are no others.  Its features: length; how often the character class changes and how common its letter pairs are (character transitions);
 shares of digits, capitals and distinct characters; how much of it dictionary words cover; known issuers' beginnings;
 shapes of numbers, hashes and identifiers; words of secrecy and of harmlessness in its key, among the three words
 before and the two after; and the path it comes from.
@@ -12,6 +12,8 @@ table of one's own :func:`labelled_findings` makes one from rules.  Features of
 expressions as those of documents.  Training is on the driver from at most ``MOST_FINDINGS`` rows; the forest is then
 one SQL expression, so a scan is a projection: no shuffle, no Python on executors, and a row's findings stay in the row.
 
+A finding's place is that of its word, a block's that of its first word.
+
 Defined cases: null and empty texts have no findings; a value found twice in a text is two findings; with labels of one
 class only every score is that class; a missing path is empty; repeated rows each give their findings; extra columns
 are ignored by :func:`findings` and kept by :func:`redact`.
@@ -54,41 +56,68 @@ _PIECE = rf"{_LOGIN}|{_KEYED}|{_RUN}"
 _NAMES_SECRET = f"(?i)(?<![A-Za-z])(?:{_KEYS})(?![A-Za-z])"
 _HOLDS_KEY = rf"""(?i)(?:{_KEYS})[A-Za-z0-9_.-]{{0,40}}{_JOIN}.{{6}}"""
 
+_BLOCK = "(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----"
+_SPACE = "[\\x20\\x09-\\x0D]+"
+#: Only a block holds this, since a word holds no space.
+_IS_BLOCK = "contains({}, 'PRIVATE KEY-----')"
+
+
+def _in_pieces(of_segment: str, of_block: str) -> str:
+    """An array of what stands for each word, and for each whole block of a private key, of @text@; ``s`` is the text between blocks, ``b`` a block."""
+    between = f"""transform(array(regexp_extract_all(@text@, {_literal(_BLOCK)}, 0)), bs ->
+      flatten(transform(split(@text@, {_literal(_BLOCK)}), (s, k) -> IF(k < size(bs), concat({of_segment}, transform(array(bs[k]), b -> {of_block})), {of_segment}))))[0]"""
+    return f"""IF({_IS_BLOCK.format("@text@")}, {between}, transform(array(@text@), s -> {of_segment})[0])"""
+
+
+#: Words and blocks, and the space behind each.
+_WORDS = _in_pieces(f"split(s, {_literal(_SPACE)})", "b")
+_SPACES = _in_pieces(f"concat(regexp_extract_all(s, {_literal(_SPACE)}, 0), array(''))", "''")
+
+#: Of a text with blocks, the place of each word and block among the words of the whole text.
+_PLACES = f"""
+IF({_IS_BLOCK.format("@text@")}, transform(array(regexp_extract_all(@text@, {_literal(_BLOCK)}, 0)), bs -> transform(array(split(@text@, {_literal(_BLOCK)})), ss ->
+  transform(array(transform(ss, (s, k) -> size(split(s, {_literal(_SPACE)})) - 1 + IF(k < size(bs), size(split(bs[k], {_literal(_SPACE)})) - 1, 0))), ns ->
+    flatten(transform(ss, (s, k) -> transform(array(aggregate(slice(ns, 1, k), 0, (n, x) -> n + x)), first -> transform(
+      sequence(0, size(split(s, {_literal(_SPACE)})) - IF(k < size(bs), 0, 1)), j -> first + least(j, size(split(s, {_literal(_SPACE)})) - 1)))[0])))[0])[0])[0], array())
+"""
+
+# words are looked at cheaply first: few are long or hold a sign that a key or a login needs, and few texts name a secret
 _CANDIDATES = f"""
-transform(array(split(coalesce(@text@, ''), '[\\\\x20\\\\x09-\\\\x0D]+')), w -> transform(array(transform(w, x -> length(x) >= 3 AND x RLIKE {_literal(_NAMES_SECRET)})), names ->
+transform(array({_WORDS}), w -> transform(array({_PLACES}), places -> transform(array(IF(@text@ RLIKE {_literal(_NAMES_SECRET)}, transform(w, x -> length(x) >= 3 AND x RLIKE {_literal(_NAMES_SECRET)}), array())), names ->
   transform(
     filter(sequence(0, size(w) - 1), i -> length(w[i]) >= 6 AND (
-      length(w[i]) >= 12 AND w[i] RLIKE '[0-9]' OR w[i] RLIKE {_literal(_HOLDS_KEY)} OR w[i] RLIKE {_literal(_LOGIN)}
+      length(w[i]) >= 12 AND w[i] RLIKE '[0-9]' OR {_IS_BLOCK.format("w[i]")}
+      OR (contains(w[i], '=') OR contains(w[i], ':')) AND (w[i] RLIKE {_literal(_HOLDS_KEY)} OR contains(w[i], '://') AND w[i] RLIKE {_literal(_LOGIN)})
       OR coalesce(get(names, i - 1), false) OR coalesce(get(names, i - 2), false) OR coalesce(get(names, i - 3), false))),
     i -> named_struct(
-      'at', i, 'word', w[i],
-      'before', array_join(slice(w, greatest(i - 2, 1), least(i, 3)), ' '),
-      'after', array_join(slice(w, i + 2, 2), ' '))))[0])[0]
+      'piece', i, 'at', coalesce(get(places, i), i), 'word', w[i],
+      'before', IF({_IS_BLOCK.format("w[i]")}, '', array_join(transform(slice(w, greatest(i - 2, 1), least(i, 3)), x -> IF({_IS_BLOCK.format("x")}, '', x)), ' ')),
+      'after', IF({_IS_BLOCK.format("w[i]")}, '', array_join(transform(slice(w, i + 2, 2), x -> IF({_IS_BLOCK.format("x")}, '', x)), ' ')))))[0])[0])[0]
+"""
+
+#: Key and value of a piece of a word; each pattern is tried once, and only where the piece holds its sign.
+_SPLIT = f"""
+transform(array(named_struct('login', IF(contains(m, '://'), regexp_extract(m, {_literal(f"^{_LOGIN}$")}, 1), ''), 'keyed', (contains(m, '=') OR contains(m, ':')) AND m RLIKE {_literal(f"^{_KEYED}$")})), x -> CASE
+  WHEN x.login != '' THEN named_struct('key', 'password', 'value', rtrim({_literal('.' + chr(92))}, x.login))
+  WHEN x.keyed THEN named_struct('key', regexp_extract(m, {_literal(f"^{_KEYED}$")}, 1), 'value', rtrim({_literal('.' + chr(92))}, regexp_extract(m, {_literal(f"^{_KEYED}$")}, 2)))
+  ELSE named_struct('key', '', 'value', rtrim({_literal('.' + chr(92))}, m)) END)[0]
 """
 
 _PAIRS_OF_WORDS = f"""
-flatten(transform(@found@, c -> transform(regexp_extract_all(c.word, {_literal(_PIECE)}, 0), m -> named_struct('at', c.at, 'word', c.word, 'before', c.before, 'after', c.after,
-  'key', CASE WHEN m RLIKE {_literal(f"^{_LOGIN}$")} THEN 'password' ELSE regexp_extract(m, {_literal(f"^{_KEYED}$")}, 1) END,
-  'value', rtrim('.\\\\', CASE WHEN m RLIKE {_literal(f"^{_LOGIN}$")} THEN regexp_extract(m, {_literal(f"^{_LOGIN}$")}, 1)
-    WHEN m RLIKE {_literal(f"^{_KEYED}$")} THEN regexp_extract(m, {_literal(f"^{_KEYED}$")}, 2) ELSE m END)))))
+flatten(transform(@found@, c -> IF({_IS_BLOCK.format("c.word")},
+  array(named_struct('piece', c.piece, 'at', c.at, 'word', c.word, 'before', '', 'after', '', 'key', 'private key', 'value', c.word)),
+  transform(transform(regexp_extract_all(c.word, {_literal(_PIECE)}, 0), m -> {_SPLIT}), p -> named_struct('piece', c.piece, 'at', c.at, 'word', c.word, 'before', c.before, 'after', c.after, 'key', p.key, 'value', p.value)))))
 """
 
 #: A value that is a key and its value (export:PASSWORD=...) gives that value too.
 _PARTS = f"""
-flatten(transform({_PAIRS_OF_WORDS}, c -> IF(c.value RLIKE {_literal(f"^{_KEYED}$")},
-  array(c, named_struct('at', c.at, 'word', c.word, 'before', c.before, 'after', c.after,
+flatten(transform({_PAIRS_OF_WORDS}, c -> IF((contains(c.value, '=') OR contains(c.value, ':')) AND NOT {_IS_BLOCK.format("c.value")} AND c.value RLIKE {_literal(f"^{_KEYED}$")},
+  array(c, named_struct('piece', c.piece, 'at', c.at, 'word', c.word, 'before', c.before, 'after', c.after,
     'key', regexp_extract(c.value, {_literal(f"^{_KEYED}$")}, 1), 'value', regexp_extract(c.value, {_literal(f"^{_KEYED}$")}, 2))), array(c))))
 """
 
-_BLOCK = "(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----"
-#: Blocks of private keys, at the word where the first equal one begins.
-_BLOCKS = f"""
-transform(regexp_extract_all(coalesce(@text@, ''), {_literal(_BLOCK)}, 0), m -> named_struct(
-  'at', size(split(left(@text@, locate(m, @text@) - 1), '[\\\\x20\\\\x09-\\\\x0D]+')) - 1, 'word', m, 'before', '', 'after', '', 'key', 'private key', 'value', m))
-"""
-
 _FEATURES = rf"""
-transform(filter(@parts@, c -> length(c.value) >= 6), c -> named_struct('at', c.at, 'value', c.value, 'x', named_struct(
+transform(filter(@parts@, c -> length(c.value) >= 6), c -> named_struct('piece', c.piece, 'at', c.at, 'value', c.value, 'x', named_struct(
   'length', CAST(length(c.value) AS DOUBLE),
   'changes', (size(regexp_extract_all(c.value, '[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+', 0)) - 1) / CAST(length(c.value) AS DOUBLE),
   'pairs', size(regexp_extract_all(lower(c.value), '{_PAIRS}', 0)) / CAST(length(c.value) AS DOUBLE),
@@ -109,15 +138,15 @@ transform(filter(@parts@, c -> length(c.value) >= 6), c -> named_struct('at', c.
 
 
 def _featured(docs: DataFrame, path: str | None) -> DataFrame:
-    """``docs`` with the array ``found``: at, value and features x of each candidate."""
+    """``docs`` with the array ``found``: piece (of the text, where a block is one), at, value and features x of each candidate."""
     text, where = F.col("text"), F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
-    held = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "secret_text" and c != "secret_path"], text.alias("secret_text"), where.alias("secret_path"))
-    parts = f"concat({_PARTS.replace('@found@', _CANDIDATES)}, {_BLOCKS})".replace("@text@", "secret_text")
+    held = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "secret_text" and c != "secret_path"], F.coalesce(text, F.lit("")).alias("secret_text"), where.alias("secret_path"))
+    parts = _PARTS.replace("@found@", _CANDIDATES).replace("@text@", "secret_text")
     return held.withColumn("found", F.expr(_FEATURES.replace("@parts@", parts).replace("@path@", "secret_path"))).drop("secret_text", "secret_path")
 
 
 def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
-    """``text``, ``path`` and ``label`` of ``n`` findings made by rules from hashes of their numbers; the same each time."""
+    """``text``, ``path``, ``label`` and ``shape`` (the rule) of ``n`` findings made by rules from hashes of their numbers; the same each time."""
     hexed = "sha2(concat('finding ', id), 256)"
     letters = f"translate(base64(unhex({hexed})), '+/=', 'xyz')"
     capitals = f"upper(translate({letters}, '0189', 'abcd'))"
@@ -132,7 +161,8 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
     name = "element_at(array('hunter', 'tiger', 'moon', 'blue', 'Falcon', 'rocket', 'Coffee'), CAST(pmod(xxhash64(id, 8), 7) AS INT) + 1)"
     secret = [
         f"concat('AKIA', substr({capitals}, 1, 16))",
-        f"concat('token = \"', substr({hexed}, 1, 40), '\"')",
+        f"concat('secret = ', chr(39), substr({hexed}, 1, 48), chr(39))",
+        f"concat('api_key = \"', substr({hexed}, 1, CAST(28 + id % 8 AS INT)), '\"')",
         f"concat('password=', substr({hexed}, 1, 18))",
         f"concat('ghp_', substr({letters}, 1, 36))",
         f"concat('aws_secret_access_key=', substr({letters}, 1, 40))",
@@ -198,6 +228,7 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
         f"concat_ws(' ', {word.format(1)}, {word.format(2)}, {word.format(3)}, {core}, {after(4)}, {after(5)}) AS text",
         "element_at(array('src/main', 'src3', 'docs/readme', 'tests/unit', 'crawl'), CAST(pmod(xxhash64(id, 9), 5) AS INT) + 1) AS path",
         f"CAST(kind < {len(secret)} AS INT) AS label",
+        "kind AS shape",
     )
 
 
@@ -257,23 +288,25 @@ def train(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH) -> list:
 
 
 def scored(docs: DataFrame, labelled: DataFrame | None = None, path: str | None = "source") -> DataFrame:
-    """``docs`` with the array ``found``: at (the word's place), value and score of each candidate."""
+    """``docs`` with the array ``found``: piece, at (the word's place), value and score of each candidate."""
     forest = train(labelled if labelled is not None else labelled_findings(docs.sparkSession))
-    return _featured(docs, path).withColumn("found", F.expr(f"transform(found, c -> named_struct('at', c.at, 'value', c.value, 'score', {forest_sql(forest, 'c.x')}))"))
+    return _featured(docs, path).withColumn("found", F.expr(f"transform(found, c -> named_struct('piece', c.piece, 'at', c.at, 'value', c.value, 'score', {forest_sql(forest, 'c.x')}))"))
 
 
 def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str | None = "source", threshold: float = 0.5) -> DataFrame:
     """One row per candidate: doc_id, at, value, score and is_secret."""
     columns = ["doc_id", "text", *([path] if path else [])]
-    return scored(docs.select(*columns), labelled, path).select("doc_id", F.inline("found")).withColumn("is_secret", F.col("score") >= threshold)
+    return scored(docs.select(*columns), labelled, path).select("doc_id", F.inline("found")).drop("piece").withColumn("is_secret", F.col("score") >= threshold)
 
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, path: str | None = "source", threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced, longest first; ``n_chars`` follows the text."""
+    """``docs`` with every secret in ``text`` replaced where it stands, and nowhere else; ``n_chars`` follows the text."""
     columns = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text", *([F.col(path).alias("path")] if path else []))
-    values = f"array_sort(array_distinct(transform(filter(found, c -> c.score >= {threshold}D), c -> c.value)), (a, b) -> length(b) - length(a))"
-    found = scored(held, labelled, "path" if path else None)
-    clean = found.withColumn("clean", F.expr(f"aggregate({values}, text, (t, v) -> replace(t, v, '{mark}'))"))
+    found = scored(held, labelled, "path" if path else None).withColumn("found", F.expr(f"filter(found, c -> c.score >= {threshold}D)"))
+    # of a word's secrets the longest goes first
+    at = f"aggregate(array_sort(transform(filter(found, c -> c.piece = i), c -> c.value), (a, b) -> length(b) - length(a)), w, (t, v) -> replace(t, v, '{mark}'))"
+    new = f"transform(array(transform(found, c -> c.piece)), held -> transform(zip_with({_WORDS}, {_SPACES}, (w, space) -> named_struct('w', w, 'space', space)), (p, i) -> concat(IF(array_contains(held, i), {at.replace(', w,', ', p.w,')}, p.w), p.space)))[0]"
+    clean = found.withColumn("clean", F.expr(f"IF(size(found) = 0, text, array_join({new.replace('@text@', 'text')}, ''))"))
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
     return clean.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in columns])
