@@ -434,6 +434,17 @@ def synapse_bursts(spark, d):
     return found.select(F.date_format("begins", "yyyy-MM-dd HH:mm:ss").alias("begins"), F.date_format("ends", "yyyy-MM-dd HH:mm:ss").alias("ends"), "source", "target", "weight")
 
 
+def edges_by_sql(spark, d):
+    """Summed edges between registered ids with their strengths, from the SQL table functions."""
+    from edgeloom.functions import tables
+
+    ids = table(spark, d, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("id")).union(table(spark, d, "part").filter("p_size <= 25").select("p_partkey"))
+    for name, held in (("edges", supply_edges(spark, d)), ("ids", ids), ("xrefs", _xrefs(spark, d))):
+        held.createOrReplaceTempView(f"edgeloom_{name}")
+    tables.register(spark, "edgeloom_edges", "edgeloom_ids", "edgeloom_xrefs", prefix="edgeloom_")
+    return spark.sql("SELECT e.source, e.target, e.weight, s.outgoing, s.in_degree FROM edgeloom_edges_summed(40) e JOIN edgeloom_node_strengths() s ON e.source = s.node")
+
+
 def windowed_synapses(spark, d):
     """Synapses counted by pair and window, as the stream's plan gives them over a table at rest."""
     from edgeloom.streaming import edges as streams
@@ -457,7 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ambiguous_report, value_counts, batch_number, chunk_per_sample, try_int_cast, registry_malformed, in_out_strength, path_query_bag, url_rewrite, voxel_occupancy, first_xref, json_envelope,
         envelope_rows, artifact_plan, matrix_unpivot, bool_checks, group_checks, limit_offset, supervoxel_roots, volume_edges, nodes_limited,
         edge_pairs, edge_downstream, edge_regions, registered_images, rows_with_gaps, preview_rows,
-        edge_synapses, template_extra, site_xrefs, mapped_edges, date_stamps, chunks_by_segment, grid_scaled, missing_texts, registry_outcomes, usable_ids, local_folders, artifact_state, deletion_patterns, windowed_synapses, synapse_bursts, running_weights,
+        edge_synapses, template_extra, site_xrefs, mapped_edges, date_stamps, chunks_by_segment, grid_scaled, missing_texts, registry_outcomes, usable_ids, local_folders, artifact_state, deletion_patterns, windowed_synapses, synapse_bursts, edges_by_sql, running_weights,
         batch_of_items,
     )
 }
@@ -538,6 +549,9 @@ ORACLES: dict[str, str] = {
     "synapse_bursts": """SELECT strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS begins, strftime(max(ts) + INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS ends, source, target, count(*) AS weight FROM (
       SELECT *, sum(CASE WHEN ts >= last + INTERVAL 2 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY source, target ORDER BY ts) AS burst FROM (
         SELECT ts, user_id % 20 AS source, event_id % 7 AS target, lag(ts) OVER (PARTITION BY user_id % 20, event_id % 7 ORDER BY ts) AS last FROM events) a) b GROUP BY source, target, burst""",
+    "edges_by_sql": f"""WITH e AS ({_EDGES}), i AS (SELECT s_suppkey AS id FROM supplier WHERE s_acctbal > 0 UNION SELECT p_partkey FROM part WHERE p_size <= 25),
+      s AS (SELECT node, CAST(sum(w) AS BIGINT) AS outgoing, CAST(count(*) FILTER (WHERE NOT way) AS BIGINT) AS in_degree FROM (SELECT source AS node, weight AS w, true AS way FROM e UNION ALL SELECT target, 0, false FROM e) GROUP BY node)
+      SELECT source, target, weight, outgoing, in_degree FROM (SELECT source, target, CAST(sum(weight) AS BIGINT) AS weight FROM e WHERE source IN (SELECT id FROM i) AND target IN (SELECT id FROM i) GROUP BY ALL) p JOIN s ON node = source WHERE weight > 40""",
     "windowed_synapses": "SELECT strftime(ts, '%Y-%m-%d') AS day, user_id % 20 AS source, event_id % 7 AS target, count(*) AS weight FROM events WHERE user_id % 20 < 15 GROUP BY ALL",
     "running_weights": f"SELECT source, target, CAST(sum(weight) AS BIGINT) AS weight FROM ({_EDGES}) GROUP BY ALL HAVING sum(weight) > 60",
     "batch_of_items": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CAST((row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1) // 1000 AS BIGINT) AS batch FROM lineitem",
