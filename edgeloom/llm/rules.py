@@ -217,12 +217,11 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", a
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA, cost: float = COST, base: bool = True) -> DataFrame:
     """The rows of ``docs`` that the rules keep; each row is judged by itself.
 
-    Labelled texts are counted first, for the cutoffs, and then all rows on their way through, so that no copy of the texts
-    is written.  Without ``base`` the base rules, which no label bounds, don't decide: shortness and repetition are then only
+    Texts are counted for the cutoffs, and again on their way through, so that none is shuffled or written: counting twice
+    costs less than moving all texts to the labels of some.  Without ``base`` the base rules, which no label bounds, don't decide: shortness and repetition are then only
     what the rules of that name make of them, under the same bound on false rejections as all others.
     """
-    labelled = docs.join(labels.filter("quality in (0, 1)").select("doc_id"), "doc_id", "left_semi")
-    counts = written(counted(labelled, stratum), "labelled-counts")
+    counts = written(counted(docs, stratum), "rule-counts")
     cutoffs = fit_cutoffs(counts, labels, alpha, delta, cost, base)
     forget(counts)
     return _judged(counted(docs, stratum, keep=True), cutoffs, base).filter("kept").select("row.*")
