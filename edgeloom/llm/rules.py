@@ -218,8 +218,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
     """The rows of ``docs`` that the rules keep; each row is judged by itself.
 
     Texts are counted for the cutoffs, and again on their way through, so that none is shuffled or written: counting twice
-    costs less than moving all texts to the labels of some.  Without ``base`` the base rules, which no label bounds, don't decide: shortness and repetition are then only
-    what the rules of that name make of them, under the same bound on false rejections as all others.
+    costs less than moving all texts to the labels of some.  Without ``base`` the base rules, which no label bounds, don't
+    decide: shortness and repetition are then only what the rules of that name make of them, under the same bound on false
+    rejections as all others.
     """
     counts = written(counted(docs, stratum), "rule-counts")
     cutoffs = fit_cutoffs(counts, labels, alpha, delta, cost, base)
