@@ -47,6 +47,8 @@ MOST_CONTEXTS = 1024
 RANGES = (32, 6, 1)
 #: Window starts that are hashed at a time, and symbols of contexts that share a suffix array.
 SEGMENT, ARRAY_SYMBOLS = 1 << 20, 1 << 17
+#: Symbols of short texts that are hashed together.
+_TOGETHER = 1 << 15
 _MULTIPLY, _ROTATE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -110,6 +112,53 @@ def contexts(data: np.ndarray, least: int, gram: int) -> list[tuple[int, int, in
     return out
 
 
+def contexts_of(texts: list[np.ndarray], least: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Text, anchor hash, context digest, first window and windows of the contexts of all texts, as :func:`contexts` gives them.
+
+    Short texts are hashed together, since a call of numpy costs more than the work that it does for one.
+    """
+    found: list[tuple[np.ndarray, ...]] = []
+    held: list[tuple[int, np.ndarray]] = []
+
+    def flush() -> None:
+        if not held:
+            return
+        data = np.concatenate([t for _, t in held])
+        lengths = np.array([len(t) for _, t in held])
+        begins = np.cumsum(lengths) - lengths
+        ends = begins + lengths - least + 1  # behind the last window
+        h = gram_hashes(data, gram)
+        keys = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
+        at = (sliding_least(keys, least - gram + 1) & _PLACE).astype(np.int64)
+        new = np.concatenate([[True], at[1:] != at[:-1]])
+        new[begins] = True
+        starts = np.flatnonzero(new)
+        of = np.searchsorted(begins, starts, side="right") - 1
+        inside = starts < ends[of]
+        stops = np.minimum(np.append(starts[1:], len(at)), ends[of])[inside]
+        starts, of = starts[inside], of[inside]
+        raw, size = memoryview(data.view(np.uint8)), data.itemsize
+        digests = np.fromiter((xxhash.xxh3_64_intdigest(raw[size * s : size * (e + least - 1)]) for s, e in zip(starts.tolist(), stops.tolist(), strict=True)), np.uint64, len(starts))
+        which = np.array([i for i, _ in held])
+        found.append((which[of], h[at[starts]].view(np.int64), (digests ^ np.uint64(1 << 63)).view(np.int64), starts - begins[of], stops - starts))
+        held.clear()
+
+    symbols = 0
+    for i, text in enumerate(texts):
+        if len(text) >= _TOGETHER:
+            rows = contexts(text, least, gram)
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+            found.append((np.full(len(rows), i), *(np.array(c, np.int64) for c in columns)))
+        elif len(text) >= least:
+            held.append((i, text))
+            symbols += len(text)
+        if symbols >= _TOGETHER:
+            flush()
+            symbols = 0
+    flush()
+    return tuple(np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 5
+
+
 def join_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Sorted disjoint spans; touching ones are joined."""
     out: list[tuple[int, int]] = []
@@ -239,14 +288,9 @@ def _occurrences(docs: DataFrame, least: int, symbols: Symbols) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            columns = [[] for _ in range(5)]
-            for i, text in enumerate(batch.column(2)):
-                for row in contexts(symbols.of(text.as_py()), least, symbols.gram):
-                    for column, value in zip(columns, (i, *row), strict=True):
-                        column.append(value)
-            take = pa.array(columns[0], pa.int32())
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
-            arrays = [batch.column(0).take(take), batch.column(1).take(take), *(pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=True))]
+            i, fp, digest, at, runs = contexts_of([symbols.of(t.as_py()) for t in batch.column(2)], least, symbols.gram)
+            take = pa.array(i.astype(np.int32))
+            arrays = [batch.column(0).take(take), batch.column(1).take(take), pa.array(fp), pa.array(digest), pa.array(at), pa.array(runs.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "fp", "digest", "at", "runs"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()

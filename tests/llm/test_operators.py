@@ -338,6 +338,21 @@ def test_groups_hold_every_occurrence(spark):
             assert [x for s in suffix.join_spans(covered.get(d, [])) for x in s] == spans[d]
 
 
+def test_contexts_of_many_texts_are_those_of_each():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(6)
+    texts = [cases.prose(rng.randint(0, 400), i) for i in range(60)] + ["", "a", "a " * 40_000, "ab" * 300, cases.prose(9000, 99), cases.prose(60, 3), cases.prose(60, 3)]
+    rng.shuffle(texts)
+    for symbols, least in ((suffix.BYTES, 400), (suffix.BYTES, 64), (suffix.WORDS, 50), (suffix.WORDS, 8)):
+        of = [symbols.of(t) for t in texts]
+        found = list(zip(*(x.tolist() for x in suffix.contexts_of(of, least, symbols.gram)), strict=True))
+        assert sorted(found) == sorted((i, *row) for i, t in enumerate(of) for row in suffix.contexts(t, least, symbols.gram)) and found
+    assert [len(x) for x in suffix.contexts_of([np.zeros(0, np.uint8)], 400, 64)] == [0] * 5
+
+
 def test_maximal_repeats_have_all_occurrences():
     import random
 
