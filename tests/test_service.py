@@ -2,6 +2,7 @@
 
 import json
 import random
+from pathlib import Path
 
 import pytest
 
@@ -105,7 +106,7 @@ from tests.test_service import ROWS
 assert sorted(map(tuple, rows)) == ROWS
 print("whole")
 """
-    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=Path(__file__).parent.parent)
     assert "whole" in done.stdout, done.stderr[-2000:]
     assert sorted(map(int, (tmp_path / "tries").read_text().split())) == [0, 1000, 2000, 3000, 3000]
 
