@@ -248,17 +248,42 @@ def set_keys(hashes: np.ndarray) -> np.ndarray:
     return keys ^ np.arange(KEYS, dtype=np.uint64) * np.uint64(0x94D049BB133111EB)
 
 
+def _merged(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Labels of places (the least place of each component) after the links (p[i], q[i])."""
+    while True:
+        left, right = label[p], label[q]
+        least = np.minimum(left, right)
+        new = label.copy()
+        np.minimum.at(new, left, least)
+        np.minimum.at(new, right, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def wide_links(a: np.ndarray, b: np.ndarray, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``a`` and of ``b`` (four words each) within the radius."""
-    found, step = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], max(1, (1 << 18) // max(1, len(b)))
-    b0, b1 = np.ascontiguousarray(b[:, 0]), np.ascontiguousarray(b[:, 1])
-    for at in range(0, len(a), step):
-        part = a[at : at + step]
+    """A spanning forest of the links between rows of ``a`` and of ``b`` (a node and four words each) within the radius.
+
+    Pairs are looked at a strip at a time, and those whose ends are joined already are dropped there: no more than a strip's
+    pairs are held, however many near copies a group has.
+    """
+    nodes, at = np.unique(np.concatenate([a[:, 0], b[:, 0]]), return_inverse=True)
+    in_a, in_b, label = at[: len(a)], at[len(a) :], np.arange(len(nodes))
+    words_a, words_b = (np.ascontiguousarray(x[:, 1:]).view(np.uint64) for x in (a, b))
+    b0, b1 = np.ascontiguousarray(words_b[:, 0]), np.ascontiguousarray(words_b[:, 1])
+    step = max(1, (1 << 18) // max(1, len(b)))
+    for k in range(0, len(a), step):
+        part, places = words_a[k : k + step], in_a[k : k + step]
         half = np.bitwise_count(part[:, :1] ^ b0) + np.bitwise_count(part[:, 1:2] ^ b1)
         x, y = np.nonzero(half <= _WIDE_HALF)
-        near = np.bitwise_count(part[x] ^ b[y]).sum(1, dtype=np.int64) <= radius
-        found.append((at + x[near], y[near]))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        apart = label[places[x]] != label[in_b[y]]
+        x, y = x[apart], y[apart]
+        near = np.bitwise_count(part[x] ^ words_b[y]).sum(1, dtype=np.int64) <= radius
+        if near.any():
+            label = _merged(label, places[x[near]], in_b[y[near]])
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[label[moved]], nodes[moved]
 
 
 def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -346,14 +371,9 @@ def _candidate_links(nodes: DataFrame, members: DataFrame, tile_rows: int) -> Da
             us, vs = [], []
             for sides in batch.column(0):
                 sides = [x.values.to_numpy(zero_copy_only=False).reshape(-1, 5) for x in sides.values]
-                a, b = sides[0], sides[-1]
-                x, y = wide_links(np.ascontiguousarray(a[:, 1:]).view(np.uint64), np.ascontiguousarray(b[:, 1:]).view(np.uint64))
-                u, v = a[x, 0], b[y, 0]
-                u, v = u[u != v], v[u != v]
-                if len(u) > len(a) + len(b):
-                    u, v = _forest(u, v)
-                us.append(np.minimum(u, v))
-                vs.append(np.maximum(u, v))
+                u, v = wide_links(sides[0], sides[-1])
+                us.append(u)
+                vs.append(v)
             if us:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
 

@@ -751,3 +751,27 @@ def test_components_are_complete_or_an_error(spark):
     with pytest.raises(RuntimeError):
         simhash.connected(chain, rounds=2)
     assert {(r["node"], r["root"]) for r in simhash.connected(chain).collect()} == {(i, 0) for i in range(1, 41)}
+
+
+def test_large_groups_of_near_copies_need_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    rng, bits = np.random.default_rng(5), np.int64(1) << np.arange(60)
+    rows = np.empty((3000, 5), np.int64)
+    rows[:, 0] = rng.permutation(3000) - 1500
+    rows[:, 1:] = rng.integers(-(2**62), 2**62, (3, 4))[np.arange(3000) % 3]
+    rows[:, 1] ^= bits[rng.integers(0, 60, 3000)]
+    a, b = rows[:2000], rows[1000:]
+    tracemalloc.start()
+    u, v = simhash.wide_links(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6  # all pairs within the radius take 21 MB and more
+    joined = {n: n for n in rows[:, 0].tolist()}
+    for x, y in zip(u.tolist(), v.tolist(), strict=True):
+        assert x < y
+        joined[y] = x  # a forest of least nodes: each node is named once
+    assert len(set(v.tolist())) == len(v) == 2997
+    assert len({(k, joined[n]) for k, n in zip((np.arange(3000) % 3).tolist(), rows[:, 0].tolist(), strict=True)}) == 3
