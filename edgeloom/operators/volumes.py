@@ -1,10 +1,10 @@
 """Closed triangle meshes: points inside them, edges of the synapses inside, and their voxels.
 
 A mesh is rows of triangles: ``mesh``, ``face`` and the corners ``ax ay az bx by bz cx cy cz``.  Whether a point lies inside
-is the parity of the triangles that a ray along x crosses.  Points and triangles meet in the cells of a grid over (y, z),
-never all with all.  A triangle is filed under the cell size that suits its own extent (a power of four), where it lies in
-at most four cells, and a point looks into one cell of each size in use, so that neither large triangles nor small cells
-multiply rows.
+is the parity of the triangles that a ray along x crosses.  Lines along x that have points meet triangles in the cells of a
+grid over (y, z), never all with all, and points then meet only the parts of their lines that are inside.  A triangle is
+filed under the cell size that suits its own extent (a power of four), where it lies in at most four cells, and a line looks
+into one cell of each size in use, so that neither large triangles nor small cells multiply rows.
 
 Crossings are half-open: a ray through an edge or corner shared by triangles counts once, and either triangle computes the
 edge's side from the same numbers in the same order, so that rounding opens no gap.  Of points on the surface, those are
@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 
 from edgeloom.operators import edges
 from edgeloom.operators.artifacts import EXTENT, PITCH
+from edgeloom.sources.shared import written
 
 CORNERS = tuple(c + axis for c in "abc" for axis in "xyz")
 #: Voxels of a block's edge: triangles find their blocks first, and their voxels only there.
 BLOCK = 16
+#: The level of what has no end.
+_OPEN = 1024
 _CROSSED = (("x", "y", "z"), ("y", "z", "x"), ("z", "x", "y"))
 
 
@@ -90,44 +93,82 @@ def _cell(x: Column, level: Column) -> Column:
     return F.floor(x / F.pow(F.lit(4.0), level)).cast("bigint")
 
 
-def memberships(points: DataFrame, meshes: DataFrame) -> DataFrame:
-    """Distinct ``x``, ``y``, ``z`` of ``points`` with each ``mesh`` that holds them."""
+def _level(extent: Column) -> Column:
+    """The power of four that is no less than ``extent``."""
+    return F.ceil(F.log2(extent) / 2).cast("int")
+
+
+def _filed(held: DataFrame, low: Column, high: Column, name: str) -> DataFrame:
+    return held.select("*", F.explode(F.sequence(_cell(low, F.col("level")), _cell(high, F.col("level")))).alias(name))
+
+
+def _levels(held: DataFrame) -> Column:
+    """The levels in use; cell sizes are powers of four of a double, so there are few."""
+    found = sorted(r["level"] for r in held.select("level").distinct().collect())
+    return F.explode(F.array(*map(F.lit, found)).cast("array<int>")).alias("level")
+
+
+def _inner(lines: DataFrame, meshes: DataFrame) -> DataFrame:
+    """``mesh``, ``low``, ``high``: the parts of each line along x (distinct ``y``, ``z``) that lie in a mesh, ``low`` itself included.
+
+    Crossings are sorted along a line; between the last and the last but one, the third and the fourth last, and so on it is
+    inside.  ``low`` is null where an open mesh leaves an odd number of crossings.
+    """
     c = F.col
     (y0, y1), (z0, z1) = _span("y"), _span("z")
     extent = F.greatest(y1 - y0, z1 - z0)
-    filed = _whole(meshes).withColumn("level", F.when(extent > 0, F.ceil(F.log2(extent) / 2)).cast("int")).filter("level IS NOT NULL")
-    # cell sizes are powers of four of a double, so there are few
-    levels = sorted(r["level"] for r in filed.select("level").distinct().collect())
-    filed = filed.select("*", F.explode(F.sequence(_cell(y0, c("level")), _cell(y1, c("level")))).alias("row"))
-    filed = filed.select("*", F.explode(F.sequence(_cell(z0, c("level")), _cell(z1, c("level")))).alias("column"))
-    places = points.select(*[c(n).cast("double").alias(n) for n in "xyz"]).filter(_finite("x") & _finite("y") & _finite("z")).distinct()
-    seen = places.select("*", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")).alias("level"))
-    seen = seen.select("*", _cell(c("y"), c("level")).alias("row"), _cell(c("z"), c("level")).alias("column"))
-    met = seen.join(filed, ["level", "row", "column"])
+    filed = _whole(meshes).withColumn("level", F.when(extent > 0, _level(extent))).filter("level IS NOT NULL")
+    levels = _levels(filed)
+    filed = _filed(_filed(filed, y0, y1, "row"), z0, z1, "column")
+    seen = lines.select("*", levels).select("*", _cell(c("y"), c("level")).alias("row"), _cell(c("z"), c("level")).alias("column"))
     nx, ny, nz = _normal()
-    # the plane's x less the point's, times the normal's x
-    ahead = nx * (c("ax") - c("x")) + ny * (c("ay") - c("y")) + nz * (c("az") - c("z"))
-    met = met.filter(_crossed(c("y"), c("z"))).filter(((ahead > 0) & (nx > 0)) | ((ahead < 0) & (nx < 0)))
-    return met.groupBy("x", "y", "z", "mesh").agg(F.count(F.lit(1)).alias("n")).filter("n % 2 = 1").drop("n")
+    at = c("ax") + (ny * (c("ay") - c("y")) + nz * (c("az") - c("z"))) / nx
+    met = seen.join(filed, ["level", "row", "column"]).filter(_crossed(c("y"), c("z")) & (nx != 0)).select("mesh", "y", "z", at.alias("high"))
+    along = Window.partitionBy("mesh", "y", "z").orderBy(F.desc("high"))
+    parts = met.select("*", F.row_number().over(along).alias("n"), F.lead("high").over(along).alias("low"))
+    return parts.filter("n % 2 = 1 AND (low IS NULL OR low < high)").drop("n")
 
 
 def inside(points: DataFrame, meshes: DataFrame) -> DataFrame:
-    """``points`` (``x``, ``y``, ``z`` and whatever else) with each ``mesh`` that holds them; an older ``mesh`` column is replaced."""
-    found = memberships(points, meshes).select("mesh", *[F.col(n).alias(f"_{n}") for n in "xyz"])
-    same = F.lit(True)
-    for n in "xyz":
-        same = same & (F.col(n).cast("double") == F.col(f"_{n}"))
-    return points.drop("mesh").join(found, same).drop("_x", "_y", "_z")
+    """``points`` (``x``, ``y``, ``z`` and whatever else) with each ``mesh`` that holds them; an older ``mesh`` column is replaced.
+
+    Triangles meet the lines along x that have points, each once, and points then the parts of their lines that are inside.
+    A part is filed under the power of four that suits its length, in at most two cells along x; one without a low end, of a
+    mesh that isn't closed, is in a cell that every point looks into.
+    """
+    c = F.col
+    held = points.drop("mesh")
+    held = held.select(F.struct(*[F.col(f"`{n}`") for n in held.columns]).alias("row"), *[c(n).cast("double").alias(n) for n in "xyz"])
+    held = held.filter(_finite("x") & _finite("y") & _finite("z"))
+    parts = _inner(held.select("y", "z").distinct(), meshes).withColumn("level", F.coalesce(_level(c("high") - c("low")), F.lit(_OPEN)))
+    parts = written(parts, "inner-parts")
+    levels = _levels(parts)
+    open_end = c("level") == _OPEN
+    filed = _filed(parts, F.when(~open_end, c("low")).otherwise(0.0), F.when(~open_end, c("high")).otherwise(0.0), "cell")
+    seen = held.select("*", levels).select("*", F.when(~open_end, _cell(c("x"), c("level"))).otherwise(0).alias("cell"))
+    met = seen.join(filed, ["y", "z", "level", "cell"]).filter((c("x") < c("high")) & (c("low").isNull() | (c("x") >= c("low"))))
+    return met.select("row.*", "mesh")
+
+
+def memberships(points: DataFrame, meshes: DataFrame) -> DataFrame:
+    """Distinct ``x``, ``y``, ``z`` of ``points`` with each ``mesh`` that holds them."""
+    return inside(points.select(*[F.col(n).cast("double").alias(n) for n in "xyz"]).distinct(), meshes)
 
 
 def from_synapses(synapses: DataFrame, ids: DataFrame | None, meshes: DataFrame, threshold: int = 0) -> DataFrame:
     """``mesh``, ``source``, ``target`` and ``weight``: synapses inside each mesh counted by pair, counts over the threshold.
 
     Synapses have ``x``, ``y``, ``z`` and ends under any of the known names; both ends must be in ``ids`` if given.
+    Pairs with no more synapses than the threshold meet no mesh, and a pair's only synapse needs no counting, so what is
+    shuffled once more is only what has to be summed.
     """
     held = edges.renamed(synapses).select("source", "target", "x", "y", "z").filter("source IS NOT NULL AND target IS NOT NULL")
-    held = inside(held if ids is None else edges.within(held, ids), meshes)
-    return edges.over(held.groupBy("mesh", "source", "target").agg(F.count(F.lit(1)).alias("weight")), threshold)
+    held = held if ids is None else edges.within(held, ids)
+    pair = F.count(F.lit(1)).over(Window.partitionBy("source", "target"))
+    found = inside(held.withColumn("of_pair", pair).filter(F.col("of_pair") > threshold), meshes)
+    one = found.filter("of_pair = 1").select("mesh", "source", "target", F.lit(1).cast("bigint").alias("weight"))
+    more = found.filter("of_pair > 1").groupBy("mesh", "source", "target").agg(F.count(F.lit(1)).alias("weight"))
+    return edges.over(one.union(more), threshold)
 
 
 def region_strengths(volume_edges: DataFrame) -> DataFrame:

@@ -134,6 +134,24 @@ def test_no_join_is_a_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan
 
 
+def test_a_line_of_points_meets_triangles_once(spark):
+    box = solid("tet", [(0, 0, 0), (8, 0, 0), (0, 8, 0), (0, 0, 8)], TETRA) + [("open", 0, 3.0, 0.0, 0.0, 3.0, 8.0, 0.0, 3.0, 0.0, 8.0)]
+    points = spark.createDataFrame([(i, i * 0.25 - 2, 1.0, 1.0) for i in range(40)], "n int, x double, y double, z double")
+    parts = volumes._inner(points.select("y", "z").distinct(), spark.createDataFrame(box, MESH))
+    assert sorted((r["mesh"], r["low"], r["high"]) for r in parts.collect()) == [("open", None, 3.0), ("tet", 0.0, 6.0)]
+    found = {(r["mesh"], r["x"]) for r in volumes.inside(points, spark.createDataFrame(box, MESH)).collect()}
+    xs = [i * 0.25 - 2 for i in range(40)]
+    assert found == {("tet", x) for x in xs if 0 <= x < 6} | {("open", x) for x in xs if x < 3}
+
+
+def test_pairs_of_one_synapse_are_not_grouped(spark):
+    df = spark.createDataFrame([(1, 2, 1.0, 1.0, 1.0), (1, 3, 1.0, 1.0, 1.0), (1, 3, 1.5, 1.0, 1.0), (2, 3, 9.0, 9.0, 9.0)], "pre_root_id bigint, post_root_id bigint, x double, y double, z double")
+    mesh = spark.createDataFrame(solid("tet", [(0, 0, 0), (8, 0, 0), (0, 8, 0), (0, 0, 8)], TETRA), MESH)
+    found = volumes.from_synapses(df, None, mesh)
+    assert sorted((r["source"], r["target"], r["weight"]) for r in found.collect()) == [(1, 2, 1), (1, 3, 2)]
+    assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 # voxels
 
 
