@@ -118,3 +118,13 @@ def test_bursts_of_a_stream_are_those_of_a_table(spark, tmp_path):
     assert [f for f in found if f[2] != 9] == want
     rest = streams.sessions(spark.createDataFrame(sent, SYNAPSES), gap="3 minutes")
     assert sorted((r["begins"], r["ends"], r["source"], r["target"], r["weight"]) for r in rest.collect()) == want
+
+
+def test_counts_merge_to_exact_partners_and_weights(spark):
+    rng = random.Random(8)
+    rows = [(1, i % 9000, rng.randrange(5000)) for i in range(12000)] + [(2, 7, None), (3, 7, 4), (3, 7, 4), (3, 8, None), (None, 1, 1)]
+    parts = [summaries.counted(spark.createDataFrame(rows[i::3], EDGES)) for i in range(3)]
+    found = {r["node"]: tuple(r)[1:] for r in summaries.exact(summaries.merged_counts(*parts)).collect()}
+    ordered = sorted(w for s, _, w in rows if s == 1)
+    assert found[1] == (9000, 12000, sum(ordered), ordered[5999], ordered[10799])
+    assert found[2] == (1, 1, 0, None, None) and found[3] == (2, 3, 8, 4, 4) and len(found) == 3
