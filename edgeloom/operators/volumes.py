@@ -27,6 +27,8 @@ from edgeloom.sources.shared import written
 CORNERS = tuple(c + axis for c in "abc" for axis in "xyz")
 #: Voxels of a block's edge: triangles find their blocks first, and their voxels only there.
 BLOCK = 16
+#: Rows that one task groups into voxels, about.
+PIECE_ROWS = 500_000
 #: The level of what has no end.
 _OPEN = 1024
 _CROSSED = (("x", "y", "z"), ("y", "z", "x"), ("z", "x", "y"))
@@ -225,8 +227,8 @@ def _exploded(held: DataFrame, ranges: dict[str, tuple[Column, Column]]) -> Data
     return held
 
 
-def surface(meshes: DataFrame, size: tuple[int, int, int], pitch: tuple[float, float, float] = PITCH) -> DataFrame:
-    """Distinct ``mesh``, ``i``, ``j``, ``k`` of the voxels (closed boxes) that share a point with a triangle."""
+def _touched(meshes: DataFrame, size: tuple[int, int, int], pitch: tuple[float, float, float]) -> DataFrame:
+    """``mesh``, ``i``, ``j``, ``k`` of the voxels of :func:`surface`, once for each triangle."""
     c = F.col
     held, bounds = _in_voxels(meshes, pitch), {}
     # first and last voxel that the bounding box touches
@@ -237,7 +239,12 @@ def surface(meshes: DataFrame, size: tuple[int, int, int], pitch: tuple[float, f
     held = _exploded(held, {f"b{axis}": (F.floor(c(f"f{axis}") / BLOCK), F.floor(c(f"l{axis}") / BLOCK)) for axis in "xyz"})
     held = held.filter(_touches({axis: (c(f"b{axis}") + 0.5) * BLOCK for axis in "xyz"}, BLOCK / 2))
     held = _exploded(held, {n: (F.greatest(c(f"f{axis}"), c(f"b{axis}") * BLOCK), F.least(c(f"l{axis}"), c(f"b{axis}") * BLOCK + BLOCK - 1)) for n, axis in zip("ijk", "xyz", strict=True)})
-    return held.filter(_touches({axis: c(n) + 0.5 for n, axis in zip("ijk", "xyz", strict=True)}, 0.5)).select("mesh", "i", "j", "k").distinct()
+    return held.filter(_touches({axis: c(n) + 0.5 for n, axis in zip("ijk", "xyz", strict=True)}, 0.5)).select("mesh", "i", "j", "k")
+
+
+def surface(meshes: DataFrame, size: tuple[int, int, int], pitch: tuple[float, float, float] = PITCH) -> DataFrame:
+    """Distinct ``mesh``, ``i``, ``j``, ``k`` of the voxels (closed boxes) that share a point with a triangle."""
+    return _touched(meshes, size, pitch).distinct()
 
 
 def interior(meshes: DataFrame, size: tuple[int, int, int], pitch: tuple[float, float, float] = PITCH) -> DataFrame:
@@ -259,8 +266,13 @@ def interior(meshes: DataFrame, size: tuple[int, int, int], pitch: tuple[float,
 def voxels(meshes: DataFrame, pitch: tuple[float, float, float] = PITCH, extent: tuple[float, float, float] = EXTENT) -> DataFrame:
     """``mesh``, ``i``, ``j``, ``k``, ``on_surface`` and ``value`` (255) of every voxel that a solid fills or touches.
 
-    Voxels outside the extent are left out; a solid that reaches beyond it is cut there.
+    Voxels outside the extent are left out; a solid that reaches beyond it is cut there.  A small table of triangles makes a
+    large one of voxels: triangles are spread over all tasks, voxels leave these ungrouped, and are counted before they are
+    grouped in tasks of ``PIECE_ROWS`` each, so that no task's memory grows with the meshes.
     """
-    size = grid_size(pitch, extent)
-    both = surface(meshes, size, pitch).withColumn("on", F.lit(True)).unionByName(interior(meshes, size, pitch).withColumn("on", F.lit(False)))
+    size, keys = grid_size(pitch, extent), ("mesh", "i", "j", "k")
+    spread = meshes.select("mesh", *CORNERS).repartition(int(meshes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "mesh", *CORNERS)
+    both = _touched(spread, size, pitch).withColumn("on", F.lit(True)).unionByName(interior(spread, size, pitch).withColumn("on", F.lit(False)))
+    both = written(both, "voxels")
+    both = both.repartition(both.count() // PIECE_ROWS + 1, *keys)
     return both.groupBy("mesh", "i", "j", "k").agg(F.bool_or("on").alias("on_surface")).withColumn("value", F.lit(255).cast("smallint"))

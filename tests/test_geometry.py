@@ -243,3 +243,12 @@ def test_roots_as_of_nothing(spark):
     assert [(r["root"], r["since"]) for r in mapping.roots_as_of(asked, history).collect()] == [(None, None)]
     assert [(r["root"], r["since"]) for r in mapping.roots_as_of(asked, history.limit(0)).collect()] == [(None, None)]
     assert mapping.roots_as_of(asked.limit(0), history).collect() == []
+
+
+def test_voxels_are_grouped_in_pieces_of_bounded_size(spark, monkeypatch):
+    df = spark.createDataFrame(solid("tet", [(0, 0, 0), (12, 0, 0), (0, 12, 0), (0, 0, 12)], TETRA), MESH)
+    whole = {tuple(r) for r in volumes.voxels(df, (1, 1, 1), (20, 20, 20)).collect()}
+    monkeypatch.setattr(volumes, "PIECE_ROWS", 50)
+    pieces = volumes.voxels(df, (1, 1, 1), (20, 20, 20))
+    assert {tuple(r) for r in pieces.collect()} == whole
+    assert pieces.rdd.getNumPartitions() > len(whole) // 50
