@@ -25,6 +25,8 @@ AXES = ("x", "y", "z")
 #: A step back through a field is a search, each round of which meets the field again.
 _COSTS = {"affine": 1, "field": 2, "field back": 8}
 ROUNDS = 12
+#: Corners that one task puts together into cells, about.
+PIECE_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -46,7 +48,9 @@ def field_of(nodes: DataFrame, origin: tuple[float, float, float], spacing: tupl
     held = nodes.select(*[F.col(n).cast("bigint").alias(n) for n in "ijk"], F.struct(*[F.col(f"d{a}").cast("double").alias(a) for a in AXES]).alias("d"))
     of = F.explode(F.array(*[F.struct(F.lit("".join(map(str, k))).alias("corner"), *[(F.col(n) - o).alias(f"c{n}") for n, o in zip("ijk", k, strict=True)]) for k in corners])).alias("at")
     vectors = [F.min(F.when(F.col("at.corner") == "".join(map(str, k)), F.col("d"))).alias("d" + "".join(map(str, k))) for k in corners]
-    cells = held.select("d", of).groupBy("at.ci", "at.cj", "at.ck").agg(*vectors)
+    # dealt by cell before they are sorted into cells, so that no task's memory grows with the field
+    dealt = held.select("d", of).repartition(nodes.count() * len(corners) // PIECE_ROWS + 1, "at.ci", "at.cj", "at.ck")
+    cells = dealt.groupBy("at.ci", "at.cj", "at.ck").agg(*vectors)
     whole = written(cells.dropna(subset=["d" + "".join(map(str, k)) for k in corners]), "field-cells")
     most = whole.agg(*[F.max(f"c{n}").alias(n) for n in "ijk"]).first()
     return Field(whole, tuple(map(float, origin)), tuple(map(float, spacing)), tuple(-1 if m is None else m + 1 for m in most))

@@ -108,3 +108,16 @@ def test_an_empty_field_and_no_points(spark):
     rows, held = points(spark, 5)
     near(coordinates(none.transform(held, "A", "B")), {i: None for i in range(5)})
     assert none.transform(held.limit(0), "A", "B").collect() == []
+
+
+def test_cells_are_put_together_in_pieces(spark, monkeypatch):
+    from edgeloom.operators import spaces
+
+    nodes = spark.range(4 * 4 * 4).selectExpr("id % 4 AS i", "id div 4 % 4 AS j", "id div 16 AS k", "id * 0.5 AS dx", "id * 0.25 AS dy", "-id AS dz")
+    whole = spaces.field_of(nodes, (0, 0, 0), (1, 1, 1))
+    monkeypatch.setattr(spaces, "PIECE_ROWS", 64)
+    dealt, old = [], type(nodes).repartition
+    monkeypatch.setattr(type(nodes), "repartition", lambda self, n, *c: dealt.append(n) or old(self, n, *c))
+    pieces = spaces.field_of(nodes, (0, 0, 0), (1, 1, 1))
+    assert dealt == [9] and pieces.most == whole.most == (3, 3, 3)
+    assert sorted(map(repr, pieces.cells.collect())) == sorted(map(repr, whole.cells.collect())) and pieces.cells.count() == 27
