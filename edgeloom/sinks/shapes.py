@@ -1,7 +1,7 @@
 """Writers of skeletons, meshes and grids: one text file for each neuron, in a folder ``mesh=<id>``.
 
-Files go through Spark's own commit: what a failed task has written is never seen.  All tasks make lines; the lines of one
-file are sorted (on disk where they don't fit) and written by one task.  An older folder is replaced, and ids are texts.
+What a failed task has written is never seen (:mod:`edgeloom.sinks.folders`).  All tasks make lines; the lines of one file
+are sorted (on disk where they don't fit) and written by one task.  An older folder is replaced, and ids are texts.
 """
 
 from __future__ import annotations
@@ -11,13 +11,7 @@ from pyspark.sql import functions as F
 
 from edgeloom.functions.scalars import scaled
 from edgeloom.operators import skeletons as trees
-
-
-def _one_file_each(lines: DataFrame, path: str, *order: str) -> None:
-    """``line`` of each ``mesh`` in the given order."""
-    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lines.filter("mesh IS NOT NULL").repartition(n, "mesh").sortWithinPartitions("mesh", *order)
-    dealt.select("mesh", F.col("line").alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("mesh").text(path)
+from edgeloom.sinks.folders import one_file_each
 
 
 def meshes(vertices: DataFrame, faces: DataFrame, path: str) -> None:
@@ -38,13 +32,13 @@ def meshes(vertices: DataFrame, faces: DataFrame, path: str) -> None:
     lines = placed.select("mesh", F.lit(0).alias("kind"), F.col("place").alias("n"), F.lit(0).alias("part"), F.concat_ws(" ", F.lit("v"), "x", "y", "z").alias("line")).unionByName(
         sides.select("mesh", F.lit(1).alias("kind"), F.col("face").cast("bigint").alias("n"), F.col("part").cast("int").alias("part"), F.concat_ws(" ", F.lit("f"), "a", "b", "c").alias("line"))
     )
-    _one_file_each(lines, path, "kind", "n", "part")
+    one_file_each(lines.filter("mesh IS NOT NULL"), path, "mesh", "kind", "n", "part")
 
 
 def skeletons(samples: DataFrame, path: str) -> None:
     """Skeleton files of ``samples`` (``mesh``, ``sample``, ``kind``, ``x``, ``y``, ``z``, ``radius``, ``parent``), parents before children."""
     ordered = trees.renumbered(samples)
-    _one_file_each(ordered.select("mesh", F.col("sample").alias("n"), F.concat_ws(" ", "sample", "kind", "x", "y", "z", "radius", "parent").alias("line")), path, "n")
+    one_file_each(ordered.filter("mesh IS NOT NULL").select("mesh", F.col("sample").alias("n"), F.concat_ws(" ", "sample", "kind", "x", "y", "z", "radius", "parent").alias("line")), path, "mesh", "n")
 
 
 def _row(filled: Column, width: int, value: Column) -> Column:
@@ -63,4 +57,4 @@ def grids(voxels: DataFrame, path: str, size: tuple[int, int, int], pitch: tuple
     rows = every.join(held, ["mesh", "j", "k"], "left").select("mesh", F.col("k").alias("n"), "j", _row(F.coalesce("filled", F.array().cast("array<int>")), size[0], scaled(value).cast("string")).alias("line"))
     fields = ["NRRD0004", "type: uint8", "dimension: 3", "sizes: " + " ".join(map(str, size)), "encoding: text", "spacings: " + " ".join(map(repr, pitch)), ""]
     head = names.select("mesh", F.lit(-1).alias("n"), F.posexplode(F.array(*map(F.lit, fields))).alias("j", "line"))
-    _one_file_each(rows.unionByName(head), path, "n", "j")
+    one_file_each(rows.unionByName(head).filter("mesh IS NOT NULL"), path, "mesh", "n", "j")
