@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeloom.functions.scalars import date_stamp
-from edgeloom.operators.slices import batches
+from edgeloom.operators.slices import numbered
 from edgeloom.operators.template import COLUMNS, document
+from edgeloom.sinks.folders import one_file_each
 from edgeloom.sources.shared import forget, workspace, written
 
 
@@ -26,6 +27,15 @@ def _options(writer):
     return writer.options(**_CELLS).option("header", True)
 
 
+def _cells(*values: Column) -> Column:
+    """A row's line."""
+    return F.to_csv(F.struct(*values), _CELLS)
+
+
+def _head(columns: list[str]) -> Column:
+    return _cells(*[F.lit(c).alias(f"_{i}") for i, c in enumerate(columns)])
+
+
 def _checkpointed(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` with its rows on shared storage, partitions and rows in the order that they have, and where they are."""
     context = df.sparkSession.sparkContext
@@ -78,9 +88,8 @@ def tsv(df: DataFrame, path: str, *order: str, drop: tuple[str, ...] = ()) -> No
     Write :func:`tsv_folder` instead where one file isn't required.
     """
     columns = [c for c in df.columns if c not in drop]
-    cells = lambda *values: F.to_csv(F.struct(*values), _CELLS)
-    head = df.sparkSession.range(1).select(cells(*[F.lit(c).alias(f"_{i}") for i, c in enumerate(columns)]).alias("line")).first()["line"]
-    _one_file(df, order, cells(*[F.col(f"`{c}`") for c in columns]), path, head)
+    head = df.sparkSession.range(1).select(_head(columns).alias("line")).first()["line"]
+    _one_file(df, order, _cells(*[F.col(f"`{c}`") for c in columns]), path, head)
 
 
 def template_tsv(template: DataFrame, path: str, order: str) -> None:
@@ -95,10 +104,12 @@ def tsv_folder(df: DataFrame, path: str) -> None:
 
 
 def chunked_tsv(df: DataFrame, path: str, size: int, *order: str) -> None:
-    """Files of ``size`` rows in folders ``chunk=n`` under a dated folder."""
+    """Files of a header and ``size`` rows, in their order, in folders ``chunk=n`` under a dated folder."""
     stamp = df.sparkSession.range(1).select(date_stamp().alias("d")).first()["d"]
-    chunked = batches(df, size, *order, name="chunk")
-    _options(chunked.repartition("chunk").write.mode("overwrite").partitionBy("chunk")).csv(f"{path}_{stamp}")
+    chunk = F.floor(F.col("_number") / size).cast("bigint").alias("chunk")
+    line = _cells(*[F.col(f"`{c}`") for c in df.columns])
+    headed = F.when(F.col("_number") % size == 0, F.concat(_head(df.columns), F.lit("\n"), line)).otherwise(line)
+    one_file_each(numbered(df, *order, name="_number").select(chunk, "_number", headed.alias("line")), f"{path}_{stamp}", "chunk", "_number")
 
 
 def lines(df: DataFrame, path: str, gzip: bool = False) -> None:
@@ -134,8 +145,7 @@ def metadata_files(df: DataFrame, path: str, key: str) -> None:
     """A file of ``key: value`` lines for each row, in a folder named after its ``key`` column; null fields have no line."""
     fields = [c for c in df.columns if c != key]
     lines = F.array_compact(F.array(*[F.concat(F.lit(f"{c}: "), F.regexp_replace(F.col(f"`{c}`").cast("string"), r"\s*[\r\n]+\s*", " ")) for c in fields]))
-    each = df.select(key, F.array_join(lines, "\n").alias("value")).repartition(key).sortWithinPartitions(key, "value")
-    each.write.mode("overwrite").partitionBy(key).text(path)
+    one_file_each(df.select(key, F.array_join(lines, "\n").alias("line")), path, key, "line")
 
 
 def deletions(plan: DataFrame) -> DataFrame:

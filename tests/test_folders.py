@@ -1,9 +1,11 @@
 """Many files in folders of their keys."""
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
-from edgeloom.sinks import folders, shapes
+from edgeloom.plans import round_trips
+from edgeloom.sinks import files, folders, shapes
 
 
 def contents(root):
@@ -56,3 +58,31 @@ def test_meshes_are_written_without_a_process_for_each_file(spark, tmp_path):
     made = contents(tmp_path / "m")
     assert made["mesh=7"] == "v 0.5 21.0 1.0\nv 0.5 22.0 1.0\nv 0.5 23.0 1.0\nf 1 2 3\n" and len(made) == 100
     assert not list((tmp_path / "m").rglob(".*.crc"))
+
+
+def test_chunks_have_headers_and_their_rows_in_order(spark, tmp_path):
+    table = spark.range(1050).select((F.col("id") * 37 % 1050).alias("k"), F.when(F.col("id") % 3 == 0, 'a "b"\tc').when(F.col("id") % 3 == 1, "").alias("v \t1")).repartition(7)
+    files.chunked_tsv(table, str(tmp_path / "c"), 100, "k")
+    (out,) = tmp_path.glob("c_*")
+    made = contents(out)
+    assert sorted(made) == sorted(f"chunk={i}" for i in range(11)) and not list(out.rglob(".*.crc"))
+    value = {(i * 37) % 1050: '"a ""b""\tc"' if i % 3 == 0 else "" for i in range(1050)}
+    for i in range(11):
+        assert made[f"chunk={i}"] == 'k\t"v \t1"\n' + "".join(f"{k}\t{value[k]}\n" for k in range(100 * i, min(100 * i + 100, 1050)))
+    back = spark.read.options(sep="\t", header=True, escape='"').csv(str(out))
+    assert back.columns == ["k", "v \t1", "chunk"] and back.count() == 1050
+
+
+def test_chunked_files_open_no_file_for_its_header(spark, tmp_path, monkeypatch):
+    spark.range(1200).select(*[F.col("id").alias(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    given = []
+    monkeypatch.setattr(DataFrameReader, "schema", lambda self, schema, was=DataFrameReader.schema: given.append(schema) or was(self, schema))
+    found = round_trips.chunked_files(spark, str(tmp_path))
+    assert any("l_extendedprice string" in str(x) for x in given)
+    assert [tuple(r) for r in found.orderBy("chunk").collect()] == [(0, 1000, 0, 499500), (1, 200, 1000, 219900)]
+
+
+def test_metadata_files_share_the_writer(spark, tmp_path):
+    files.metadata_files(spark.createDataFrame([(1, "a\n b", None), (2, "c", "d"), (None, "e", "f")], "id int, x string, y string"), str(tmp_path / "m"), "id")
+    assert contents(tmp_path / "m") == {"id=1": "x: a b\n", "id=2": "x: c\ny: d\n", "id=__HIVE_DEFAULT_PARTITION__": "x: e\ny: f\n"}
+    assert not list((tmp_path / "m").rglob(".*.crc"))
