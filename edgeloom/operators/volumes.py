@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgeloom.operators import edges
+from edgeloom.operators import edges, tallies
 from edgeloom.operators.artifacts import EXTENT, PITCH
 from edgeloom.sources.shared import written
 
@@ -173,6 +173,20 @@ def from_synapses(synapses: DataFrame, ids: DataFrame | None, meshes: DataFrame,
     return edges.over(one.union(more), threshold)
 
 
+def strengths_from_synapses(synapses: DataFrame, ids: DataFrame | None, meshes: DataFrame) -> DataFrame:
+    """The rows of :func:`region_strengths` for all edges of :func:`from_synapses`, whose many rows aren't made."""
+    held = _synapses(synapses, ids)
+    end = F.inline(F.array(*[F.struct(F.col(k).alias("node"), F.lit(i).alias("kind")) for i, k in enumerate(("source", "target"))]))
+    return tallies.counted(held.select(end, "x", "y", "z"), _whole(meshes), ("outgoing", "incoming"))
+
+
+def _synapses(synapses: DataFrame, ids: DataFrame | None) -> DataFrame:
+    """Synapses with both ends, and those in ``ids`` if given, at a place that can be in a mesh."""
+    held = edges.renamed(synapses).select("source", "target", *[F.col(n).cast("double").alias(n) for n in "xyz"])
+    held = held.filter("source IS NOT NULL AND target IS NOT NULL").filter(_finite("x") & _finite("y") & _finite("z"))
+    return held if ids is None else written(edges.within(held, ids), "synapses")
+
+
 def region_strengths(volume_edges: DataFrame) -> DataFrame:
     """``mesh``, ``node`` and its outgoing and incoming weight there; nodes in neither direction have no row."""
     ends = volume_edges.select("mesh", "weight", F.explode(F.array(*[F.struct(F.col(k).alias("node"), F.lit(k == "source").alias("out")) for k in ("source", "target")])).alias("end"))

@@ -48,7 +48,7 @@ def volume_synapses(spark, d):
 
 def volume_strengths(spark, d):
     """Incoming and outgoing synapses of each neuron in each solid."""
-    return volumes.region_strengths(volumes.from_synapses(placed_synapses(spark, d), None, volumes.triangles(*supplier_solids(spark, d, 20, 30))))
+    return volumes.strengths_from_synapses(placed_synapses(spark, d), None, volumes.triangles(*supplier_solids(spark, d, 20, 30)))
 
 
 def mesh_voxels(spark, d):

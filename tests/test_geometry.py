@@ -152,6 +152,77 @@ def test_pairs_of_one_synapse_are_not_grouped(spark):
     assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def shuffled(spark, run):
+    """What ``run`` gives, and how many rows its stages wrote to shuffles."""
+    store, java = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    stages = lambda: store.stageList(java.jvm.java.util.ArrayList(), False, False, java.new_array(java.jvm.double, 0), java.jvm.java.util.ArrayList())
+    before = {(x.stageId(), x.attemptId()) for found in [stages()] for x in (found.apply(i) for i in range(found.size()))}
+    got = run()
+    found = stages()
+    return got, sum(x.shuffleWriteRecords() for x in (found.apply(i) for i in range(found.size())) if (x.stageId(), x.attemptId()) not in before)
+
+
+def nested(spark, n):
+    """Solids around one point, and points in most of them: pairs of two synapses each."""
+    solids = [r for k in range(n) for r in solid(f"s{k}", [(-k - 9, -k - 9, -k - 9), (3 * k + 50, 0, 0), (0, 3 * k + 50, 0), (0, 0, 3 * k + 50)], TETRA)]
+    rng = random.Random(8)
+    synapses = [(i // 2, 1000 + i // 20, rng.randint(0, 5), rng.randint(0, 5), rng.randint(0, 5)) for i in range(600)]
+    return spark.createDataFrame(solids, MESH), spark.createDataFrame(synapses, "pre_root_id bigint, post_root_id bigint, x int, y int, z int"), solids, synapses
+
+
+def test_strengths_shuffle_no_row_for_each_point_and_mesh(spark):
+    meshes, df, solids, synapses = nested(spark, 60)
+    found, rows = shuffled(spark, lambda: volumes.strengths_from_synapses(df, None, meshes).collect())
+    want = Counter()
+    for a, b, *_ in synapses:
+        for k in range(60):
+            want[f"s{k}", a, "outgoing"] += 1
+            want[f"s{k}", b, "incoming"] += 1
+    assert {(r["mesh"], r["node"], n): r[n] for r in found for n in ("outgoing", "incoming") if r[n]} == want
+    assert rows < 60 * len(synapses) / 10
+
+
+@pytest.mark.parametrize("sizes", [(7, 5, 40), (40, 9, 7), (2000, 50, 1000)])
+def test_strengths_in_blocks_match_loops(spark, monkeypatch, sizes):
+    """Blocks, steps and meshes are cut anywhere; one node has half of all synapses."""
+    for name, n in zip(("POINTS", "TRIANGLES", "STEP"), sizes, strict=True):
+        monkeypatch.setattr(volumes.tallies, name, n)
+    rng, rows = random.Random(6), meshes()
+    by = {}
+    for r in rows:
+        by.setdefault(r[0], []).append(r)
+    synapses = [(7 if rng.random() < 0.5 else rng.choice([1, 2, 3, None]), rng.choice([1, 2, 7]), *[rng.uniform(0, 9) for _ in range(3)]) for _ in range(150)]
+    synapses += synapses[:20] + [(1, 2, math.nan, 1.0, 1.0), (1, 2, 1.0, math.inf, 1.0), (1, 2, 1.0, 1.0, None)]
+    df = spark.createDataFrame(synapses, "pre_root_id bigint, post_root_id bigint, x double, y double, z double")
+    want = {}
+    for a, b, *p in synapses:
+        for m, tri in by.items():
+            if a is not None and None not in p and all(map(math.isfinite, p)) and winds(p, tri):
+                want.setdefault((m, a), [0, 0])[0] += 1
+                want.setdefault((m, b), [0, 0])[1] += 1
+    found = volumes.strengths_from_synapses(df, None, spark.createDataFrame(rows, MESH)).collect()
+    assert len(found) == len(want) and {(r["mesh"], r["node"]): [r["outgoing"], r["incoming"]] for r in found} == want
+    pairs = volumes.from_synapses(df, None, spark.createDataFrame(rows, MESH))
+    assert {tuple(r) for r in volumes.region_strengths(pairs).select("mesh", "node", "outgoing", "incoming").collect()} == {(*k, *n) for k, n in want.items()}
+
+
+def test_blocks_agree_with_the_join_on_borders_and_open_meshes(spark):
+    """Points on surfaces, edges and corners, solids that share faces, a lone triangle and a null mesh."""
+    corners = list(itertools.product((0, 4), (0, 4), (0, 4)))
+    quads = [(0, 1, 3, 2), (4, 6, 7, 5), (0, 4, 5, 1), (2, 3, 7, 6), (0, 2, 6, 4), (1, 5, 7, 3)]
+    faces = [t for a, b, c, d in quads for t in ((a, b, c), (a, c, d))]
+    df = spark.createDataFrame(solid("left", corners, faces) + solid(None, [(x + 4, y, z) for x, y, z in corners], faces) + [("open", 0, 3.0, 0.0, 0.0, 3.0, 8.0, 0.0, 3.0, 0.0, 8.0)] + solid("flat", [(0, 0, 0), (1, 1, 1), (2, 2, 2), (3, 3, 3)], TETRA), MESH)
+    points = [(i, -i, float(x), float(y), float(z)) for i, (x, y, z) in enumerate(itertools.product(range(-1, 10), range(-1, 6), range(-1, 6)))]
+    table = spark.createDataFrame(points, "pre_root_id bigint, post_root_id bigint, x double, y double, z double")
+    found = volumes.from_synapses(table, None, df).collect()
+    want = volumes.inside(table.withColumnRenamed("pre_root_id", "n"), df).collect()
+    assert sorted((r["source"], str(r["mesh"])) for r in found) == sorted((r["n"], str(r["mesh"])) for r in want) and {None, "open", "left"} == {r["mesh"] for r in found}
+    none = spark.createDataFrame([], MESH)
+    assert volumes.from_synapses(table, None, none).collect() == [] and volumes.from_synapses(table.limit(0), None, df).collect() == []
+    with pytest.raises(Exception, match="missing or non-finite corner"):
+        volumes.from_synapses(table, None, spark.createDataFrame([("b", 0, math.nan, *[0.0] * 8)], MESH)).collect()
+
+
 # voxels
 
 
