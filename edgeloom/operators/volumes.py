@@ -161,16 +161,14 @@ def from_synapses(synapses: DataFrame, ids: DataFrame | None, meshes: DataFrame,
     """``mesh``, ``source``, ``target`` and ``weight``: synapses inside each mesh counted by pair, counts over the threshold.
 
     Synapses have ``x``, ``y``, ``z`` and ends under any of the known names; both ends must be in ``ids`` if given.
-    Pairs with no more synapses than the threshold meet no mesh, and a pair's only synapse needs no counting, so what is
-    shuffled once more is only what has to be summed.
+    Pairs with no more synapses than the threshold meet no mesh.  Synapses of a pair meet a mesh in one task, so that none of
+    the many rows of pairs and meshes is shuffled.
     """
-    held = edges.renamed(synapses).select("source", "target", "x", "y", "z").filter("source IS NOT NULL AND target IS NOT NULL")
-    held = held if ids is None else edges.within(held, ids)
-    pair = F.count(F.lit(1)).over(Window.partitionBy("source", "target"))
-    found = inside(held.withColumn("of_pair", pair).filter(F.col("of_pair") > threshold), meshes)
-    one = found.filter("of_pair = 1").select("mesh", "source", "target", F.lit(1).cast("bigint").alias("weight"))
-    more = found.filter("of_pair > 1").groupBy("mesh", "source", "target").agg(F.count(F.lit(1)).alias("weight"))
-    return edges.over(one.union(more), threshold)
+    held = _synapses(synapses, ids)
+    if threshold > 0:
+        pair = F.count(F.lit(1)).over(Window.partitionBy("source", "target"))
+        held = written(held.withColumn("of_pair", pair).filter(F.col("of_pair") > threshold).drop("of_pair"), "synapses")
+    return edges.over(tallies.counted(held.withColumn("kind", F.lit(0)), _whole(meshes), ("weight",)), threshold)
 
 
 def strengths_from_synapses(synapses: DataFrame, ids: DataFrame | None, meshes: DataFrame) -> DataFrame:

@@ -223,6 +223,13 @@ def test_blocks_agree_with_the_join_on_borders_and_open_meshes(spark):
         volumes.from_synapses(table, None, spark.createDataFrame([("b", 0, math.nan, *[0.0] * 8)], MESH)).collect()
 
 
+def test_edges_of_synapses_shuffle_no_row_for_each_point_and_mesh(spark):
+    meshes, df, solids, synapses = nested(spark, 60)
+    found, rows = shuffled(spark, lambda: volumes.from_synapses(df, None, meshes).collect())
+    assert {(r["mesh"], r["source"], r["target"]): r["weight"] for r in found} == Counter((f"s{k}", a, b) for a, b, *_ in synapses for k in range(60))
+    assert rows < 60 * len(synapses) / 10
+
+
 # voxels
 
 
