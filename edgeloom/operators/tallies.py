@@ -4,7 +4,8 @@ The result has about as many rows as there are points times meshes that hold the
 be grouped.  Points are sorted by key and packed into blocks, meshes into blocks of whole meshes, and each pair of blocks is
 one step of a product: it holds every point of its keys and every triangle of its meshes, so its counts are final.  What is
 written and shuffled is the points and the triangles, once; blocks bound what a task holds.  Only the keys at either end of
-a block, which the next block may hold too, are summed afterwards, so that a key with any number of points is spread.
+a block, which the next block may hold too, are summed afterwards, so that a key with any number of points is spread.  Meshes
+of the same triangles under several names meet points once; their rows get each name on the way out.
 
 Within a pair, the rules are those of :mod:`edgeloom.operators.volumes`: the same crossings, by the same arithmetic.  Where a
 triangle crosses a line matters only by its rank among the points' ``x``, so crossings are sorted as whole numbers.  A mesh's
@@ -90,40 +91,35 @@ def _point_packer(keys: list[str]):
     return pack
 
 
-def _mesh_packer(corners: tuple[str, ...]):
-    """Triangles sorted by mesh as blocks of whole meshes."""
-    most, first_rows = TRIANGLES, _first_rows()
+def _mesh_packer():
+    """Meshes' names and triangles as blocks of whole meshes."""
+    most = TRIANGLES
 
     def pack(batches):
         import numpy as np
         import pyarrow as pa
 
-        def block(table, first):
-            names = table["mesh"].filter(pa.array(first)).combine_chunks()
-            held = np.stack([table[n].to_numpy() for n in corners]), (np.cumsum(first) - 1).astype(np.int32)
-            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), *[pa.array([v.tobytes()], pa.binary()) for v in held]], names=["meshes", "corners", "of"])
+        def block(held):
+            names, shapes = (pa.concat_arrays([b.column(n) for b in held]) for n in ("meshes", "shape"))
+            corners = shapes.flatten().flatten().to_numpy().reshape(-1, 9).T
+            of = np.repeat(np.arange(len(shapes), dtype=np.int32), shapes.value_lengths().to_numpy())
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), *[pa.array([v.tobytes()], pa.binary()) for v in (corners, of)]], names=["meshes", "corners", "of"])
 
         held, rows = [], 0
         for batch in batches:
             held.append(batch)
-            rows += batch.num_rows
-            if rows < most:
-                continue
-            table = pa.Table.from_batches(held).combine_chunks()
-            first = first_rows([pa.concat_arrays(table["mesh"].chunks)])
-            last = int(np.flatnonzero(first)[-1])  # the last mesh may go on
-            if last:
-                yield block(table.slice(0, last), first[:last])
-            held, rows = table.slice(last).to_batches(), len(table) - last
+            rows += len(batch.column("shape").flatten())
+            if rows >= most:
+                yield block(held)
+                held, rows = [], 0
         if rows:
-            table = pa.Table.from_batches(held).combine_chunks()
-            yield block(table, first_rows([pa.concat_arrays(table["mesh"].chunks)]))
+            yield block(held)
 
     return pack
 
 
 def _counter(keys: list[str], names: list[str]):
-    """Pairs of blocks as ``mesh``, keys and a count for each kind of point, where any of them is over 0."""
+    """Pairs of blocks as ``meshes`` of the same triangles, keys and a count for each kind of point, where any of them is over 0."""
     step = STEP
 
     def count(batches):
@@ -239,7 +235,10 @@ def _counter(keys: list[str], names: list[str]):
             counts = np.zeros((len(names), begin.sum()), np.int64)
             counts[kind, np.cumsum(begin) - 1] = 1 if n is None else n
             of_mesh, of_key = np.divmod(pair[begin], len(held[0]))
-            yield pa.RecordBatch.from_arrays([meshes.take(pa.array(of_mesh + mesh)), *[k.take(pa.array(of_key)) for k in held], *map(pa.array, counts)], names=["mesh", *keys, *names])
+            rows = max(1, step // int(meshes.value_lengths().to_numpy().max()))
+            for i in range(0, len(of_mesh), rows):
+                some = slice(i, i + rows)
+                yield pa.RecordBatch.from_arrays([meshes.take(pa.array(of_mesh[some] + mesh)), *[k.take(pa.array(of_key[some])) for k in held], *map(pa.array, counts[:, some])], names=["meshes", *keys, *names])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -264,11 +263,12 @@ def counted(points: DataFrame, meshes: DataFrame, kinds: tuple[str, ...]) -> Dat
     binary = lambda some: [T.StructField(n, T.BinaryType()) for n in some]
     blocks = held.repartitionByRange(max(held.count() // POINTS + 1, at_once), *keys, "x", "y", "z").sortWithinPartitions(*keys)
     blocks = written(blocks.mapInArrow(_point_packer(keys), T.StructType([T.StructField("whole", T.BooleanType()), *fields, *binary(_PARTS)])), "blocks-of-points")
-    kind = meshes.schema["mesh"].dataType
+    kind = T.ArrayType(meshes.schema["mesh"].dataType)
+    shapes = meshes.groupBy("mesh").agg(F.sort_array(F.collect_list(F.array(*corners))).alias("shape")).repartition(max(meshes.count() // TRIANGLES + 1, at_once), "shape")
+    shapes = shapes.groupBy("shape").agg(F.collect_list(F.struct("mesh")).alias("same")).select(F.col("same.mesh").alias("meshes"), "shape")
+    solids = written(shapes.mapInArrow(_mesh_packer(), T.StructType([T.StructField("meshes", T.ArrayType(kind)), *binary(("corners", "of"))])), "blocks-of-meshes")
+    schema = T.StructType([T.StructField("meshes", kind), *[T.StructField(k, held.schema[k].dataType) for k in keys], *[T.StructField(n, T.LongType()) for n in names]])
     # without the hint, a small side would be broadcast and only blocks of the other be dealt to tasks
-    solids = meshes.select("mesh", *corners).repartition(max(meshes.count() // TRIANGLES + 1, at_once), "mesh").sortWithinPartitions("mesh")
-    solids = written(solids.mapInArrow(_mesh_packer(tuple(corners)), T.StructType([T.StructField("meshes", T.ArrayType(kind)), *binary(("corners", "of"))])), "blocks-of-meshes")
-    schema = T.StructType([T.StructField("mesh", kind), *[T.StructField(k, held.schema[k].dataType) for k in keys], *[T.StructField(n, T.LongType()) for n in names]])
     product = lambda some: blocks.filter(some).hint("shuffle_replicate_nl").crossJoin(solids).mapInArrow(_counter(keys, names), schema)
-    parts = product("NOT whole").groupBy("mesh", *keys).agg(*[F.sum(n).alias(n) for n in names])
-    return product("whole").union(parts).toDF("mesh", *called, *kinds)
+    parts = product("NOT whole").groupBy("meshes", *keys).agg(*[F.sum(n).alias(n) for n in names])
+    return product("whole").union(parts).select(F.explode("meshes"), *keys, *names).toDF("mesh", *called, *kinds)

@@ -230,6 +230,20 @@ def test_edges_of_synapses_shuffle_no_row_for_each_point_and_mesh(spark):
     assert rows < 60 * len(synapses) / 10
 
 
+def test_solids_of_the_same_triangles_are_packed_once_and_counted_for_each_name(spark, monkeypatch):
+    """Three names for one solid, its triangles in another order, and one that differs in a corner."""
+    monkeypatch.setattr(volumes.tallies, "STEP", 5)
+    corners = [(0, 0, 0), (8, 0, 0), (0, 8, 0), (0, 0, 8)]
+    solids = solid("a", corners, TETRA) + solid("b", corners, TETRA[::-1]) + solid("c", corners, TETRA) + solid("d", [*corners[:3], (0, 0, 9)], TETRA)
+    df = spark.createDataFrame([(i % 4, i % 6, 1.0 + i % 2, 1.0, 1.0 + i % 3) for i in range(48)], "pre_root_id bigint, post_root_id bigint, x double, y double, z double")
+    tables, kept = [], volumes.tallies.written
+    monkeypatch.setattr(volumes.tallies, "written", lambda *given: tables.append(kept(*given)) or tables[-1])
+    found = volumes.from_synapses(df, None, spark.createDataFrame(solids, MESH)).collect()
+    want = Counter((m, i % 4, i % 6) for i in range(48) for m in "abcd")
+    assert {(r["mesh"], r["source"], r["target"]): r["weight"] for r in found} == want and len(found) == len(want)
+    assert sorted(sorted(m) for r in tables[1].collect() for m in r["meshes"]) == [["a", "b", "c"], ["d"]]
+
+
 # voxels
 
 
